@@ -36,11 +36,14 @@ def percentile_scores(
             for name, (value, member) in metrics.items()
         )
     )
-    entries = df.select(*ids, F.explode(entries).alias("e")).select(*ids, "e.metric", "e.value")
+    entries = (
+        df.select(*ids, F.explode(entries).alias("e"))
+        .select(*ids, "e.metric", "e.value")
+        .filter(F.col("value").isNotNull())
+    )
     pool = [*within, "metric"]
     counted = (
-        entries.filter(F.col("value").isNotNull())
-        .groupBy(*pool, "value")
+        entries.groupBy(*pool, "value")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("whole", F.floor("value"))
         .withColumn("fine", F.floor(F.col("value") * 1024))
@@ -50,8 +53,12 @@ def percentile_scores(
     score = upto.join(size, pool).select(
         *pool, "value", (F.lit(100.0) * F.col("at_or_below") / F.col("size")).alias("score")
     )
+    # Only pool members are joined: rows outside of it would share one empty value.
+    # The score side has one row per value, so a much shared value can be split.
+    scored = entries.join(score, [*pool, "value"]).select(*ids, "metric", "score")
+    outside = df.select(*ids, F.lit(None).cast("string").alias("metric"), F.lit(None).cast("double").alias("score"))
     return (
-        entries.join(score, [*pool, "value"], "left")
+        scored.unionByName(outside)
         .groupBy(*ids)
         .agg(
             *(

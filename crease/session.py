@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(app: str = "crease", master: str | None = None, **settings: str) -> SparkSession:
@@ -34,3 +35,14 @@ def shared_folder(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="crease-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def staged(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write a frame that several jobs read, and return the written table.
+
+    It lies in the shared folder, so a lost executor costs nothing but its own tasks,
+    and later jobs read only the columns they need. The folder is the cluster's to clean.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

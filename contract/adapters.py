@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crease.functions.scalars import batting_result, count_if, overs_notation, phase_for_over, total
+from crease.functions.scalars import batting_result, overs_notation, phase_for_over, total
 
 # Columns that put the balls of an innings in order; together they are unique.
 BALL_ORDER = (
@@ -89,40 +89,43 @@ def balls(spark: SparkSession, folder: str) -> DataFrame:
     ).withColumn("phase", phase_for_over("over"))
 
 
-def _innings_totals(spark: SparkSession, folder: str) -> DataFrame:
+def _match_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs, wickets, legal balls and balls of both innings, one row per match."""
+    measures = {
+        "runs": F.col("total_runs"),
+        "wickets": F.col("wicket_count"),
+        "legal_balls": F.col("is_legal_ball"),
+        "balls": F.lit(1),
+    }
     return (
         balls(spark, folder)
-        .groupBy("match_number", "match_id", "season", "innings", "batting_team")
+        .groupBy("match_number")
         .agg(
-            total("total_runs").alias("runs"),
-            total("wicket_count").alias("wickets"),
-            total("is_legal_ball").alias("legal_balls"),
+            *(
+                F.coalesce(total(F.when(F.col("innings") == n, m)), F.lit(0)).alias(f"{name}_{n}")
+                for n in (1, 2)
+                for name, m in measures.items()
+            )
         )
     )
 
 
-def winners(spark: SparkSession, folder: str) -> DataFrame:
-    """Side with more runs per match; NULL for a tie and for every 25th match."""
-    def of(number, column):
-        return F.max(F.when(F.col("innings") == number, F.col(column)))
+def _team(match: str, number: int) -> str:
+    """Side that bats in the first or second innings of a match."""
+    even, odd = (_side(match, True), _side(match, False))[:: 1 if number == 1 else -1]
+    return f"case when {match} % 2 = 0 then {even} else {odd} end"
 
-    scores = (
-        _innings_totals(spark, folder)
-        .groupBy("match_number")
-        .agg(
-            F.coalesce(of(1, "runs"), F.lit(0)).alias("r1"),
-            F.coalesce(of(2, "runs"), F.lit(0)).alias("r2"),
-            of(1, "batting_team").alias("b1"),
-            of(2, "batting_team").alias("b2"),
-        )
-    )
-    played = F.col("match_number") % 25 != 0
-    return scores.select(
-        "match_number",
-        F.when(played & (F.col("r1") > F.col("r2")), F.col("b1"))
-        .when(played & (F.col("r2") > F.col("r1")), F.col("b2"))
-        .alias("winner"),
-    )
+
+# Side with more runs; NULL for a tie and for every 25th match.
+_WINNER = (
+    "case when match_number % 25 = 0 then null"
+    f" when runs_1 > runs_2 then {_team('match_number', 1)}"
+    f" when runs_2 > runs_1 then {_team('match_number', 2)} end as winner"
+)
+
+
+def winners(spark: SparkSession, folder: str) -> DataFrame:
+    return _match_totals(spark, folder).selectExpr("match_number", _WINNER)
 
 
 def deliveries(spark: SparkSession, folder: str) -> DataFrame:
@@ -135,35 +138,41 @@ def deliveries(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def innings(spark: SparkSession, folder: str) -> DataFrame:
+    """Both innings of a match from one row of totals; one without a ball is left out."""
+    def one(n: int) -> str:
+        fields = ", ".join(f"{c}_{n} as {c}" for c in ("runs", "wickets", "legal_balls", "balls"))
+        return f"struct({n} as innings, {_team('match_number', n)} as batting_team, {fields})"
+
     return (
-        _innings_totals(spark, folder)
-        .join(winners(spark, folder), "match_number", "left")
+        _match_totals(spark, folder)
+        .selectExpr(
+            "cast(match_number as string) as match_id",
+            "cast(2008 + match_number % 18 as int) as season",
+            _WINNER,
+            f"inline(array({one(1)}, {one(2)}))",
+        )
+        .filter("balls > 0")
+        .drop("balls")
         .withColumn("batting_result", batting_result("batting_team", "winner"))
         .withColumn("overs", overs_notation("legal_balls"))
-        .drop("match_number")
     )
 
 
-def matches(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per 64 orders, with or without a ball."""
-    numbers = (
-        read(spark, folder, "orders")
-        .groupBy(F.expr("o_orderkey div 64").alias("match_number"))
-        .agg(count_if(F.col("o_orderstatus") == "F").alias("orders_done"))
-    )
+def matches(spark: SparkSession, folder: str, results: bool = True) -> DataFrame:
+    """One row per 64 orders, with or without a ball; the winner if ``results``."""
+    numbers = read(spark, folder, "orders").select(F.expr("o_orderkey div 64").alias("match_number")).distinct()
+    if results:
+        numbers = numbers.join(winners(spark, folder), "match_number", "left")
     toss_first = "(match_number div 3) % 2 = 0"
-    return (
-        numbers.join(winners(spark, folder), "match_number", "left")
-        .selectExpr(
-            "cast(match_number as string) as match_id",
-            "cast(2008 + match_number % 18 as int) as season",
-            "case when match_number % 12 = 11 then null else concat('C', cast(match_number % 12 as string)) end as city",
-            "concat('V', cast(match_number % 12 as string), ', C', cast(match_number % 12 as string)) as venue",
-            f"{_side('match_number', True)} as team_1",
-            f"{_side('match_number', False)} as team_2",
-            "winner",
-            f"case when {toss_first} then {_side('match_number', True)} else {_side('match_number', False)} end as toss_winner",
-        )
+    return numbers.selectExpr(
+        "cast(match_number as string) as match_id",
+        "cast(2008 + match_number % 18 as int) as season",
+        "case when match_number % 12 = 11 then null else concat('C', cast(match_number % 12 as string)) end as city",
+        "concat('V', cast(match_number % 12 as string), ', C', cast(match_number % 12 as string)) as venue",
+        f"{_side('match_number', True)} as team_1",
+        f"{_side('match_number', False)} as team_2",
+        *(["winner"] if results else []),
+        f"case when {toss_first} then {_side('match_number', True)} else {_side('match_number', False)} end as toss_winner",
     )
 
 

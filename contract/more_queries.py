@@ -20,6 +20,7 @@ from contract.queries import (
     register,
 )
 from crease.functions.scalars import rounded
+from crease.session import staged
 from crease.operators import (
     checkpoints,
     evaluate,
@@ -159,6 +160,11 @@ def _scored(spark, sf):
     return frame(spark, sf).withColumn("win_probability", F.expr(f"cast({_CHANCE} as double)"))
 
 
+def _stored(spark, sf):
+    """Scored checkpoints as a table: choosing a match and showing it are two reads."""
+    return staged(_scored(spark, sf), "scored")
+
+
 @register("a21_match_swing", SCORED + "select * from swings")
 def _(spark, sf):
     return selections.match_swing(_scored(spark, sf))
@@ -166,7 +172,7 @@ def _(spark, sf):
 
 @register("l04_choose_match", SCORED + "select * from chosen")
 def _(spark, sf):
-    return selections.choose_match(_scored(spark, sf))
+    return selections.choose_match(_stored(spark, sf))
 
 
 @register(
@@ -174,7 +180,7 @@ def _(spark, sf):
     SCORED + f"select {', '.join(selections.CURVE_COLUMNS)} from scored where match_id in (select match_id from chosen)",
 )
 def _(spark, sf):
-    return selections.match_curve(_scored(spark, sf))
+    return selections.match_curve(_stored(spark, sf))
 
 
 @register(
@@ -200,7 +206,7 @@ from upto
 )
 def _(spark, sf):
     chance = F.expr(f"(({_CHANCE}) % 99 + 1) / cast(100 as double)")
-    scored = frame(spark, sf).select("batting_team_won", chance.alias("p"))
+    scored = staged(frame(spark, sf).select("batting_team_won", chance.alias("p")), "scored")
     metrics = evaluate.classification_metrics(scored, "batting_team_won", "p")
     return rounded(metrics, {"accuracy": 6, "log_loss": 6, "roc_auc": 6})
 
@@ -286,7 +292,7 @@ from frame join sides using (match_id)
 """,
 )
 def _(spark, sf):
-    split = features.training_split(frame(spark, sf), ["match_id"])
+    split = features.training_split(staged(frame(spark, sf), "frame"), ["match_id"])
     return split.select(
         "match_id", "innings", "over_number", "current_score", "balls_bowled", "last_over_runs", "is_train"
     )
@@ -314,7 +320,7 @@ from frame group by batting_team_won
 """,
 )
 def _(spark, sf):
-    weighted = features.balanced_class_weight(frame(spark, sf), "batting_team_won")
+    weighted = features.balanced_class_weight(staged(frame(spark, sf), "frame"), "batting_team_won")
     return weighted.groupBy("batting_team_won").agg(
         F.count(F.lit(1)).alias("rows"), F.max("weight").alias("weight")
     )
@@ -471,7 +477,9 @@ def _pick(name: str, subject: str, value: str, source: str, order: str, label: s
 
 
 def _season_report(spark, sf):
-    return reports.season_summary(A.matches(spark, sf), A.balls(spark, sf), A.innings(spark, sf))
+    return reports.season_summary(
+        A.matches(spark, sf, results=False), A.balls(spark, sf), A.innings(spark, sf)
+    )
 
 
 @register(
@@ -525,9 +533,12 @@ def _season_report(spark, sf):
     ),
 )
 def _(spark, sf):
-    matches, balls, innings = A.matches(spark, sf), A.balls(spark, sf), A.innings(spark, sf)
+    # Ten reports read these tables, so they are stored first, as in a warehouse.
+    matches, balls, innings = (
+        staged(table(spark, sf), table.__name__) for table in (A.matches, A.deliveries, A.innings)
+    )
     return facts.insight_facts(
-        season=_season_report(spark, sf),
+        season=reports.season_summary(matches, balls, innings),
         toss=reports.toss_impact_by_season(matches),
         chasing=reports.chasing_vs_defending(matches, innings),
         venues=reports.venue_summary(matches, innings),
@@ -536,7 +547,7 @@ def _(spark, sf):
         death_bowlers=reports.top_death_bowlers(balls),
         batting=summaries.batting_summary(balls),
         bowling=summaries.bowling_summary(balls),
-        phase_gaps=summaries.phase_gap(summaries.phase_summary(A.deliveries(spark, sf))),
+        phase_gaps=summaries.phase_gap(summaries.phase_summary(balls)),
         min_team_matches=40,
     )
 

@@ -47,7 +47,9 @@ select * from per_season join ball_part using (season) join score_part using (se
 """,
 )
 def _(spark, sf):
-    return reports.season_summary(A.matches(spark, sf), A.balls(spark, sf), A.innings(spark, sf))
+    return reports.season_summary(
+        A.matches(spark, sf, results=False), A.balls(spark, sf), A.innings(spark, sf)
+    )
 
 
 @register(
@@ -65,7 +67,7 @@ group by m.season
 )
 def _(spark, sf):
     return reports.season_summary(
-        A.matches(spark, sf), A.balls(spark, sf), A.innings(spark, sf), exact=False
+        A.matches(spark, sf, results=False), A.balls(spark, sf), A.innings(spark, sf), exact=False
     )
 
 

@@ -24,17 +24,22 @@ def get_spark(app: str = "crease", master: str | None = None, **settings: str) -
     return builder.getOrCreate()
 
 
+# Folders made for local sessions that name none, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, as the cluster names it in
     ``spark.checkpoint.dir``. Only a local session gets a folder of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="crease-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="crease-")
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def staged(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -149,20 +149,23 @@ def training_split(
     part, whole = train_share
     text = F.concat_ws("|", F.lit(str(seed)), *(F.col(c).cast("string") for c in unit))
     keys = list(dict.fromkeys([*strata, *unit]))
-    # A stratum may be NULL; the key of a window or join may not.
-    units = (
-        frame.select(*keys)
-        .distinct()
-        .withColumn("__stratum", F.to_json(F.struct(*strata)) if strata else F.lit(""))
-        .withColumn("__hash", F.md5(text))
-        .withColumn("__coarse", F.substring("__hash", 1, 3))
-        .withColumn("__fine", F.substring("__hash", 1, 6))
+    # A stratum may be NULL; the key of a window or join may not, so it is taken as text.
+    stratum = ["__stratum"] if strata else []
+    units = frame.select(*keys).distinct().withColumn("__hash", F.md5(text))
+    if strata:
+        units = units.withColumn("__stratum", F.to_json(F.struct(*strata)))
+    units = units.withColumns(
+        {"__coarse": F.substring("__hash", 1, 3), "__fine": F.substring("__hash", 1, 6)}
     )
     placed = running_totals(
-        units, ["__stratum"], ["__coarse", "__fine"], ["__hash", *unit], {"__place": F.lit(1)}
+        units, stratum, ["__coarse", "__fine"], ["__hash", *unit], {"__place": F.lit(1)}
     )
-    sizes = units.groupBy("__stratum").agg(F.count(F.lit(1)).alias("__size"))
-    sides = placed.join(sizes, "__stratum").select(
+    if strata:
+        sizes = units.groupBy(*stratum).agg(F.count(F.lit(1)).alias("__size"))
+        placed = placed.join(sizes, stratum)
+    else:
+        placed = placed.withColumn("__size", units.agg(F.count(F.lit(1))).scalar())
+    sides = placed.select(
         *(F.col(c).alias(f"__k_{c}") for c in keys),
         flag(F.col("__place") * whole <= F.col("__size") * part).alias(name),
     )

@@ -49,12 +49,14 @@ def good_documents(scanned: DataFrame) -> DataFrame:
 
 def skipped_files(scanned: DataFrame) -> DataFrame:
     """Files that could not be read, with the reason."""
-    reason = F.concat(F.lit("not a valid match document: "), F.substring(CORRUPT, 1, 200))
+    # Naming a second column matters: Spark refuses to read the corrupt record alone.
+    extent = F.when(F.col("info").isNull(), "no").otherwise("only partly a")
+    reason = F.concat(extent, F.lit(" valid match document: "), F.substring(CORRUPT, 1, 200))
     return scanned.filter(F.col(CORRUPT).isNotNull()).select("file", reason.alias("error"))
 
 
 def require_matches(documents: DataFrame) -> DataFrame:
     """The documents, or an error when there is none."""
-    if documents.isEmpty():
+    if documents.select(F.size("innings")).first() is None:
         raise NoMatches("no match document could be read; check the input folder")
     return documents

@@ -5,64 +5,69 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from crease import constants as K
 from crease.functions.scalars import flag, present, ratio
-from crease.operators.running import running_totals
-
-# Overs in one block of a running total; a real innings is one block.
-OVERS_PER_BLOCK = 512
+from crease.operators.running import ROWS_PER_TASK, bounded_blocks, running_totals
 
 
 def over_snapshots(
     balls: DataFrame,
     keys: Sequence[str],
-    path: Sequence[str],
     order: Sequence[str],
     legal: Column,
     measures: dict[str, Column],
+    carry: Sequence[str] = (),
     balls_per_over: int = K.BALLS_PER_OVER,
     dedupe: str | None = None,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Rows after which the count of legal balls is a full number of overs.
+    """State after every ball at which the count of legal balls is a full number of overs.
+
+    Gives the keys, ``balls_bowled``, ``over_number``, the running total of each
+    measure under its name, ``last_<measure>``, the total since the snapshot before,
+    and the ``carry`` columns of the ball. An illegal ball right after the end of an
+    over is a snapshot of its own; ``dedupe="last"`` keeps the last one of each over.
 
-    Adds ``balls_bowled``, ``over_number``, the running total of each measure under
-    its name, and ``last_<measure>``: the total since the snapshot before. An illegal
-    ball right after the end of an over is a snapshot of its own; ``dedupe="last"``
-    keeps only the last one of each over.
+    The rows between two snapshots are one group of an aggregate: the balls up to the
+    legal one that ends an over share its number, and each later illegal ball is alone.
+    So the totals since the last snapshot are sums, formed before the shuffle, and no
+    ball looks for an earlier snapshot.
 
-    ``keys``, ``path`` and ``order`` are those of
-    :func:`crease.operators.running.running_totals`. The difference to the snapshot
-    before is taken within chunks of overs; the last over of a chunk also goes to the
-    next one, so that no chunk needs rows of another.
+    ``rows_per_task=None`` skips the check of the size of the keys, for innings that
+    are known to be small, such as those parsed from one document each.
     """
     if dedupe not in (None, "last"):
         raise ValueError("dedupe is None or 'last'")
-    keys, names = list(keys), list(measures)
-    counted = running_totals(balls, keys, path, order, {"balls_bowled": legal, **measures})
-    ends = counted.filter(
-        (F.col("balls_bowled") > 0) & (F.col("balls_bowled") % balls_per_over == 0)
-    ).withColumn("over_number", F.expr(f"balls_bowled div {balls_per_over}"))
-
-    chunk = F.expr(f"over_number div {OVERS_PER_BLOCK}")
-    closes_chunk = (F.col("over_number") + 1) % OVERS_PER_BLOCK == 0
-    ends = ends.withColumn(
-        "__chunk", F.explode(F.when(closes_chunk, F.array(chunk, chunk + 1)).otherwise(F.array(chunk)))
+    keys, names, order = list(keys), list(measures), list(order)
+    balls = balls.withColumns({f"__{n}": m for n, m in measures.items()}).withColumn("__legal", legal)
+    path: list[str] = []
+    if rows_per_task is not None:
+        balls, path, order = bounded_blocks(balls, keys, order, rows_per_task)
+    counted = running_totals(
+        balls,
+        keys,
+        path,
+        order,
+        {"balls_bowled": F.col("__legal"), "__place": F.lit(1), **{n: F.col(f"__{n}") for n in names}},
     )
-    along = W.partitionBy(*keys, "__chunk").orderBy("over_number", *order)
-    if dedupe == "last":
-        following = F.lead("over_number").over(along)
-        ends = (
-            ends.withColumn("__next", following)
-            .filter(F.col("__next").isNull() | (F.col("__next") != F.col("over_number")))
-            .drop("__next")
-        )
+    bowled = F.col("balls_bowled")
+    over = F.greatest(F.expr(f"(balls_bowled + {balls_per_over - 1}) div {balls_per_over}"), F.lit(1))
+    extra_end = (F.col("__legal") == 0) & (bowled > 0) & (bowled % balls_per_over == 0)
+    alone = F.when(extra_end, F.col("__place")).otherwise(F.lit(0)) if dedupe is None else F.lit(0)
+    at_end = {c: F.max_by(F.col(c), F.col("__place")).alias(c) for c in (*names, *carry)}
     return (
-        ends.withColumns({f"last_{n}": F.col(n) - F.coalesce(F.lag(n).over(along), F.lit(0)) for n in names})
-        .filter(F.col("__chunk") == chunk)
-        .drop("__chunk")
+        counted.withColumn("over_number", over)
+        .withColumn("__alone", alone)
+        .groupBy(*keys, "over_number", "__alone")
+        .agg(
+            F.max("balls_bowled").alias("balls_bowled"),
+            *at_end.values(),
+            *(F.sum(f"__{n}").cast("bigint").alias(f"last_{n}") for n in names),
+        )
+        .filter(F.col("balls_bowled") == F.col("over_number") * balls_per_over)
+        .drop("__alone")
     )
 
 
@@ -72,27 +77,27 @@ def over_checkpoints(
     balls_per_over: int = K.BALLS_PER_OVER,
     max_overs: int = K.OVERS_PER_INNINGS,
     dedupe: str | None = None,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Score, wickets and rates at the end of each over of decided matches.
 
-    ``order`` puts the balls of an innings in sequence and starts with ``over``.
+    ``order`` puts the balls of an innings in sequence.
     """
     keys = ["match_id", "season", "innings", "batting_team", "winner"]
     known = F.col("season").isNotNull() & F.col("innings").isNotNull() & F.col("match_id").isNotNull()
-    balls = (
-        deliveries.filter(present("winner", "batting_team") & known)
-        .select(*keys, *order, "total_runs", "wicket_count", "is_legal_ball")
-        .withColumn("__block", F.expr(f"over div {OVERS_PER_BLOCK}"))
+    balls = deliveries.filter(present("winner", "batting_team") & known).select(
+        *keys, *order, "total_runs", "wicket_count", "is_legal_ball"
     )
     ends = over_snapshots(
         balls,
         keys,
-        ["__block"],
         order,
         F.col("is_legal_ball"),
         {"runs": F.col("total_runs"), "wickets": F.col("wicket_count")},
+        (),
         balls_per_over,
         dedupe,
+        rows_per_task,
     )
     return ends.select(
         "match_id",

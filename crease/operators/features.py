@@ -182,15 +182,19 @@ def season_decay_weight(frame: DataFrame, decay: float = K.SEASON_DECAY, name: s
 
 
 def balanced_class_weight(frame: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Add rows / (classes * rows of the class), so that every class weighs the same."""
-    rows = frame.agg(F.count(label)).scalar()
-    sizes = frame.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("__size"))
-    classes = sizes.agg(F.count(F.lit(1))).scalar()
-    return (
-        frame.join(sizes, label, "left")
-        .withColumn(name, rows / (classes * F.col("__size")))
-        .drop("__size")
+    """Add rows / (classes * rows of the class) for a label of 0 and 1.
+
+    The three counts are single values put into the plan. A join on the label would
+    move half of all rows to one place.
+    """
+    counts = frame.agg(
+        F.count(label).alias("rows"),
+        F.count(F.when(F.col(label) == 1, 1)).alias("ones"),
+        F.count_distinct(label).alias("classes"),
     )
+    rows, ones, classes = (counts.select(c).scalar() for c in counts.columns)
+    same = F.when(F.col(label) == 1, ones).when(F.col(label) == 0, rows - ones)
+    return frame.withColumn(name, F.try_divide(rows, classes * same))
 
 
 def rows_per_innings(frame: DataFrame) -> DataFrame:

@@ -3,7 +3,8 @@
 ``cume_dist() over (order by x)`` without a partition runs in one task. Here the
 pool is reduced to one row per distinct value, the counts are summed up along the
 values with :func:`running_totals`, and the share is joined back by value. All
-metrics of a call go through one pass, as one long table.
+metrics of a call go through one pass, as one long table. The blocks are the whole
+part and the 1024ths of a value, which suits rates and percentages.
 """
 
 from __future__ import annotations

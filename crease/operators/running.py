@@ -9,19 +9,52 @@ summed up level by level in the same way.
 ``path`` names the columns that cut the order, coarse to fine. Read as a tuple they
 must not decrease along the order. A block is one value of the whole tuple; it must
 hold few enough rows for one task. Each level must have few enough values under one
-value of the level above.
+value of the level above. An empty path is for keys known to be small.
+
+Where no column cuts the order, :func:`bounded_blocks` checks how many rows the
+largest key has and, only if they are too many, makes blocks by a range shuffle.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from crease.session import staged
+
 _BEFORE = "__before_"
 
+# Most rows of a key that one task is given.
+ROWS_PER_TASK = 1_000_000
+
+
+def bounded_blocks(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int = ROWS_PER_TASK
+) -> tuple[DataFrame, list[str], list[str]]:
+    """The rows, and a path and order for :func:`running_totals` with no large block.
+
+    One aggregate over the keys alone tells the largest group. If it fits a task, the
+    path is empty. Otherwise the rows are shuffled by range of key and order, so that
+    a large key is spread over as many partitions as it needs, and are written with
+    the number of their partition as the block. A row number keeps equal rows apart,
+    so many copies of one row are spread as well.
+    """
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    largest, rows = sizes.agg(F.max("n"), F.sum("n")).first()
+    if not rows or largest <= limit:
+        return df, [], list(order)
+    blocks = 2 * math.ceil(rows / limit)
+    spread = (
+        df.withColumn("__copy", F.monotonically_increasing_id())
+        .repartitionByRange(blocks, *keys, *order, "__copy")
+        .withColumn("__block", F.spark_partition_id())
+    )
+    return staged(spread, "blocks"), ["__block"], [*order, "__copy"]
+
 
 def running_totals(
     df: DataFrame,
@@ -38,13 +71,15 @@ def running_totals(
     """
     names = list(measures)
     block = [*keys, *path]
+    upto = W.partitionBy(*block).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    inside = df.withColumns({n: F.sum(m).over(upto).cast("bigint") for n, m in measures.items()})
+    if not path:
+        return inside
     totals = df.groupBy(*block).agg(*(F.sum(m).cast("bigint").alias(n) for n, m in measures.items()))
     before = _totals_before(totals, list(keys), list(path), names)
     before = before.filter(_any_nonzero(names)).select(
         *block, *(F.col(n).alias(_BEFORE + n) for n in names)
     )
-    upto = W.partitionBy(*block).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    inside = df.withColumns({n: F.sum(m).over(upto).cast("bigint") for n, m in measures.items()})
     return (
         inside.join(before, block, "left")
         .withColumns({n: F.col(n) + F.coalesce(F.col(_BEFORE + n), F.lit(0)) for n in names})

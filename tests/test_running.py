@@ -9,7 +9,7 @@ from crease.operators.checkpoints import over_snapshots
 from crease.operators.evaluate import roc_auc
 from crease.operators.features import training_split
 from crease.operators.percentile import percentile_scores
-from crease.operators.running import row_numbers, running_totals
+from crease.operators.running import bounded_blocks, row_numbers, running_totals
 
 
 def make_balls(seed, keys=7, most=4000):
@@ -66,20 +66,41 @@ def fold(data, dedupe):
     return out
 
 
-@pytest.mark.parametrize("dedupe", [None, "last"])
-@pytest.mark.parametrize("seed", [2, 3])
-def test_snapshots_equal_a_sequential_fold(spark, seed, dedupe):
-    # 4,000 balls of one key are more than 512 overs: several blocks and chunks.
-    data = make_balls(seed)
-    df = spark.createDataFrame(data, COLUMNS).withColumn("block", F.expr("n div 700"))
+def snapshots(df, dedupe, rows_per_task):
     found = over_snapshots(
-        df, ["key"], ["block"], ["n"], F.col("legal"), {"r": F.col("runs"), "w": F.col("wickets")}, dedupe=dedupe
+        df,
+        ["key"],
+        ["n"],
+        F.col("legal"),
+        {"r": F.col("runs"), "w": F.col("wickets")},
+        carry=["n"],
+        dedupe=dedupe,
+        rows_per_task=rows_per_task,
     )
-    got = {
+    return {
         (x["key"], x["n"]): (x["over_number"], x["balls_bowled"], x["r"], x["w"], x["last_r"], x["last_w"])
         for x in found.collect()
     }
-    assert got == fold(data, dedupe)
+
+
+# The largest key has 4,000 balls: it fits one task, is cut into blocks, or is not checked.
+@pytest.mark.parametrize("rows_per_task", [10_000, 500, None])
+@pytest.mark.parametrize("dedupe", [None, "last"])
+@pytest.mark.parametrize("seed", [2, 3])
+def test_snapshots_equal_a_sequential_fold(spark, seed, dedupe, rows_per_task):
+    data = make_balls(seed)
+    assert snapshots(spark.createDataFrame(data, COLUMNS), dedupe, rows_per_task) == fold(data, dedupe)
+
+
+def test_a_large_key_is_spread_and_so_are_copies_of_a_row(spark):
+    data = [(0, 5, 1, 1, 0)] * 3000 + [(1, n, 1, 1, 0) for n in range(30)]
+    df = spark.createDataFrame(data, COLUMNS)
+    blocks, path, order = bounded_blocks(df, ["key"], ["n"], limit=200)
+    sizes = [r["count"] for r in blocks.groupBy("key", *path).count().collect()]
+    assert path == ["__block"] and max(sizes) <= 1000 and sum(sizes) == len(data)
+    found = row_numbers(blocks, ["key"], path, order, "place").filter("key = 0")
+    assert found.select("place").distinct().count() == 3000
+    assert bounded_blocks(df, ["key"], ["n"], limit=3000)[1] == []
 
 
 def test_percentiles_keep_ties_and_pools(spark):

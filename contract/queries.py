@@ -351,13 +351,13 @@ def _(spark, sf):
     cast(sum(is_legal_ball) as bigint) as death_balls,
     100e0 * sum(batter_runs) / sum(is_legal_ball) as death_strike_rate,
     100e0 * sum(case when batter_runs in (4, 6) then 1 else 0 end) / sum(is_legal_ball) as death_boundary_pct
-  from balls where phase = 'Death' and batter is not null group by batter having sum(is_legal_ball) >= 60)
+  from balls where phase = 'Death' and batter is not null group by batter having sum(is_legal_ball) >= 120)
 select *, 0.70e0 * {_share('death_strike_rate')} + 0.30e0 * {_share('death_boundary_pct')} as death_batting_index
 from death
 """,
 )
 def _(spark, sf):
-    return indexes.death_batting_index(A.balls(spark, sf), min_balls=60)
+    return indexes.death_batting_index(A.balls(spark, sf))
 
 
 @register(

@@ -102,10 +102,15 @@ def runs_conceded() -> Column:
 
 
 def dismissals_of(player: Column | str, players_out: Column | str = "players_out") -> Column:
-    """How often the player is named in the joined list of players out."""
-    player = _col(player)
-    names = F.split(_col(players_out), K.LIST_SEPARATOR)
-    return F.coalesce(F.size(F.filter(names, lambda name: name == player)), F.lit(0))
+    """How often the player is named in the joined list of players out.
+
+    The names that remain without the player are counted, not filtered by a lambda,
+    which keeps the expression in generated code.
+    """
+    player, players_out = _col(player), _col(players_out)
+    names = F.split(players_out, K.LIST_SEPARATOR)
+    named = F.size(names) - F.size(F.array_remove(names, player))
+    return F.when(players_out.isNotNull() & player.isNotNull(), named).otherwise(F.lit(0))
 
 
 def batting_result(team: Column | str, winner: Column | str) -> Column:

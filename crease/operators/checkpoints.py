@@ -22,6 +22,7 @@ def over_snapshots(
     balls_per_over: int = K.BALLS_PER_OVER,
     dedupe: str | None = None,
     rows_per_task: int | None = ROWS_PER_TASK,
+    size_keys: Sequence[str] | None = None,
 ) -> DataFrame:
     """State after every ball at which the count of legal balls is a full number of overs.
 
@@ -36,7 +37,8 @@ def over_snapshots(
     ball looks for an earlier snapshot.
 
     ``rows_per_task=None`` skips the check of the size of the keys, for innings that
-    are known to be small, such as those parsed from one document each.
+    are known to be small, such as those parsed from one document each. ``size_keys``
+    are those of the keys that tell innings apart, if fewer than all do.
     """
     if dedupe not in (None, "last"):
         raise ValueError("dedupe is None or 'last'")
@@ -44,7 +46,7 @@ def over_snapshots(
     balls = balls.withColumns({f"__{n}": m for n, m in measures.items()}).withColumn("__legal", legal)
     path: list[str] = []
     if rows_per_task is not None:
-        balls, path, order = bounded_blocks(balls, keys, order, rows_per_task)
+        balls, path, order = bounded_blocks(balls, list(size_keys or keys), order, rows_per_task)
     counted = running_totals(
         balls,
         keys,
@@ -98,6 +100,7 @@ def over_checkpoints(
         balls_per_over,
         dedupe,
         rows_per_task,
+        size_keys=["match_id", "innings"],
     )
     return ends.select(
         "match_id",

@@ -25,8 +25,9 @@ BOWLING_TOTALS = ("bowling_wickets", "bowling_balls", "bowling_runs", "bowling_d
 def player_totals(deliveries: DataFrame) -> DataFrame:
     """Batting and bowling totals per player; 0 in a discipline never taken part in.
 
-    A ball gives a row for its batter and one for its bowler. One aggregate over both
-    replaces a full outer join of two; partial sums are formed before the shuffle.
+    Two aggregates with a short union of their results, and one more sum by player,
+    in place of a full outer join. Each reads its own columns and forms partial sums
+    before the shuffle.
     """
     batting = {
         "batting_runs": F.col("batter_runs"),
@@ -42,15 +43,18 @@ def player_totals(deliveries: DataFrame) -> DataFrame:
     }
     names = (*BATTING_TOTALS, *BOWLING_TOTALS)
 
-    def entry(player: str, measures: dict[str, Column]) -> Column:
-        return F.struct(
-            F.col(player).alias("player"),
-            *(measures.get(n, F.lit(0)).cast("int").alias(n) for n in names),
+    def one_role(player: str, measures: dict[str, Column]) -> DataFrame:
+        sums = (
+            deliveries.filter(present(player))
+            .groupBy(F.col(player).alias("player"))
+            .agg(*(total(m).alias(n) for n, m in measures.items()))
         )
+        none = F.lit(0).cast("bigint")
+        return sums.select("player", *(F.col(n) if n in measures else none.alias(n) for n in names))
 
     return (
-        deliveries.select(F.inline(F.array(entry("batter", batting), entry("bowler", bowling))))
-        .filter(present("player"))
+        one_role("batter", batting)
+        .unionByName(one_role("bowler", bowling))
         .groupBy("player")
         .agg(*(total(n).alias(n) for n in names))
     )

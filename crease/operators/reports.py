@@ -25,8 +25,8 @@ def season_summary(
     innings score once per ball. The multiples are applied to per-match totals, so
     the joined rows are never built.
 
-    One scan of the balls feeds both distinct counts: a ball gives a batter and a
-    bowler row, which are combined per match and player before they are moved.
+    No distinct count is made over the balls: they are added up per match and player
+    first, and the few rows that leaves are counted per season.
     """
     per_match = innings.groupBy("match_id").agg(
         F.count(F.lit(1)).alias("innings_count"),
@@ -35,36 +35,17 @@ def season_summary(
     )
     header = matches.select("match_id", "season").join(per_match, "match_id", "left")
 
-    none = F.lit(None).cast("int")
-    people = (
-        deliveries.select(
-            "match_id",
-            F.explode(
-                F.array(
-                    F.struct(
-                        F.lit("batter").alias("role"),
-                        F.col("batter").alias("player"),
-                        F.col("total_runs").alias("runs"),
-                        F.col("wicket_count").alias("wickets"),
-                        F.col("is_legal_ball").alias("legal"),
-                    ),
-                    F.struct(
-                        F.lit("bowler").alias("role"),
-                        F.col("bowler").alias("player"),
-                        none.alias("runs"),
-                        none.alias("wickets"),
-                        none.alias("legal"),
-                    ),
-                )
-            ).alias("p"),
-        )
-        .select("match_id", "p.*")
-        .groupBy("match_id", "role", "player")
-        .agg(
-            F.count(F.lit(1)).alias("balls"),
-            total("runs").alias("runs"),
-            total("wickets").alias("wickets"),
-            total("legal").alias("legal"),
+    none = F.lit(None).cast("bigint")
+    batters = deliveries.groupBy("match_id", F.col("batter").alias("player")).agg(
+        F.count(F.lit(1)).alias("balls"),
+        total("total_runs").alias("runs"),
+        total("wicket_count").alias("wickets"),
+        total("is_legal_ball").alias("legal"),
+    )
+    bowlers = deliveries.select("match_id", F.col("bowler").alias("player")).distinct()
+    people = batters.withColumn("role", F.lit("batter")).unionByName(
+        bowlers.select(
+            "*", *(none.alias(c) for c in ("balls", "runs", "wickets", "legal")), F.lit("bowler").alias("role")
         )
     )
 

@@ -38,22 +38,29 @@ def bounded_blocks(
     """The rows, and a path and order for :func:`running_totals` with no large block.
 
     One aggregate over the keys alone tells the largest group. If it fits a task, the
-    path is empty. Otherwise the rows are shuffled by range of key and order, so that
-    a large key is spread over as many partitions as it needs, and are written with
-    the number of their partition as the block. A row number keeps equal rows apart,
-    so many copies of one row are spread as well.
+    path is empty and nothing is moved. Otherwise the rows of the large keys, and only
+    they, are shuffled by range of key and order, so that a key is spread over as many
+    partitions as it needs, and are written with the number of their partition as the
+    block. A row number keeps equal rows apart, so many copies of one row are spread
+    as well. ``keys`` may be some of the keys of the totals.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    largest, rows = sizes.agg(F.max("n"), F.sum("n")).first()
-    if not rows or largest <= limit:
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    is_large = F.col("__n") > limit
+    large_rows = sizes.agg(F.sum(F.when(is_large, F.col("__n")))).first()[0]
+    if not large_rows:
         return df, [], list(order)
-    blocks = 2 * math.ceil(rows / limit)
+    # At most one key per ``limit`` rows is large, so the list is short enough to send.
+    large = F.broadcast(staged(sizes.filter(is_large).select(*keys), "large_keys"))
     spread = (
-        df.withColumn("__copy", F.monotonically_increasing_id())
-        .repartitionByRange(blocks, *keys, *order, "__copy")
+        df.join(large, list(keys), "left_semi")
+        .withColumn("__copy", F.monotonically_increasing_id())
+        .repartitionByRange(2 * math.ceil(large_rows / limit), *keys, *order, "__copy")
         .withColumn("__block", F.spark_partition_id())
     )
-    return staged(spread, "blocks"), ["__block"], [*order, "__copy"]
+    rest = df.join(large, list(keys), "left_anti").withColumns(
+        {"__copy": F.lit(0).cast("bigint"), "__block": F.lit(0)}
+    )
+    return rest.unionByName(staged(spread, "blocks")), ["__block"], [*order, "__copy"]
 
 
 def running_totals(

@@ -98,6 +98,7 @@ def test_a_large_key_is_spread_and_so_are_copies_of_a_row(spark):
     blocks, path, order = bounded_blocks(df, ["key"], ["n"], limit=200)
     sizes = [r["count"] for r in blocks.groupBy("key", *path).count().collect()]
     assert path == ["__block"] and max(sizes) <= 1000 and sum(sizes) == len(data)
+    assert blocks.filter("key = 1").select("__block").distinct().count() == 1
     found = row_numbers(blocks, ["key"], path, order, "place").filter("key = 0")
     assert found.select("place").distinct().count() == 3000
     assert bounded_blocks(df, ["key"], ["n"], limit=3000)[1] == []

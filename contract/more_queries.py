@@ -20,7 +20,6 @@ from contract.queries import (
     register,
 )
 from crease.functions.scalars import rounded
-from crease.session import staged
 from crease.operators import (
     checkpoints,
     evaluate,
@@ -32,6 +31,7 @@ from crease.operators import (
     selections,
     summaries,
 )
+from crease.session import staged
 
 # --- checkpoints ------------------------------------------------------------
 
@@ -533,7 +533,8 @@ def _season_report(spark, sf):
 def _(spark, sf):
     # Ten reports read these tables, so they are stored first, as in a warehouse.
     matches, balls, innings = (
-        staged(table(spark, sf), table.__name__) for table in (A.matches, A.deliveries, A.innings)
+        staged(table(spark, sf).drop("match_number", *A.BALL_ORDER[2:]), table.__name__)
+        for table in (A.matches, A.deliveries, A.innings)
     )
     return facts.insight_facts(
         season=reports.season_summary(matches, balls, innings),

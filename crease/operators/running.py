@@ -31,6 +31,9 @@ _BEFORE = "__before_"
 # Most rows of a key that one task is given.
 ROWS_PER_TASK = 1_000_000
 
+# Most keys that are sent to every task as a list.
+SHORT_LIST = 100_000
+
 
 def bounded_blocks(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int = ROWS_PER_TASK
@@ -44,20 +47,24 @@ def bounded_blocks(
     block. A row number keeps equal rows apart, so many copies of one row are spread
     as well. ``keys`` may be some of the keys of the totals.
     """
+    keys, order = list(keys), list(order)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    is_large = F.col("__n") > limit
-    large_rows = sizes.agg(F.sum(F.when(is_large, F.col("__n")))).first()[0]
-    if not large_rows:
-        return df, [], list(order)
-    # At most one key per ``limit`` rows is large, so the list is short enough to send.
-    large = F.broadcast(staged(sizes.filter(is_large).select(*keys), "large_keys"))
-    spread = (
-        df.join(large, list(keys), "left_semi")
-        .withColumn("__copy", F.monotonically_increasing_id())
-        .repartitionByRange(2 * math.ceil(large_rows / limit), *keys, *order, "__copy")
-        .withColumn("__block", F.spark_partition_id())
+    large = sizes.filter(F.col("__n") > limit)
+    count, rows = large.agg(F.count(F.lit(1)), F.sum("__n")).first()
+    if not count:
+        return df, [], order
+    names = staged(large.select(*keys), "large_keys")
+    if count <= SHORT_LIST:
+        names = F.broadcast(names)
+    # The row number is stored before it takes part in a shuffle: a task that runs again
+    # may number its rows in another way, and a row must not change its place then.
+    numbered = staged(
+        df.join(names, keys, "left_semi").withColumn("__copy", F.monotonically_increasing_id()), "large"
+    )
+    spread = numbered.repartitionByRange(2 * math.ceil(rows / limit), *keys, *order, "__copy").withColumn(
+        "__block", F.spark_partition_id()
     )
-    rest = df.join(large, list(keys), "left_anti").withColumns(
+    rest = df.join(names, keys, "left_anti").withColumns(
         {"__copy": F.lit(0).cast("bigint"), "__block": F.lit(0)}
     )
     return rest.unionByName(staged(spread, "blocks")), ["__block"], [*order, "__copy"]

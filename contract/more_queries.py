@@ -476,7 +476,7 @@ def _pick(name: str, subject: str, value: str, source: str, order: str, label: s
 
 def _season_report(spark, sf):
     return reports.season_summary(
-        A.matches(spark, sf, results=False), A.balls(spark, sf), A.innings(spark, sf)
+        A.matches(spark, sf, results=False), A.balls(spark, sf), A.innings(spark, sf), ordered=False
     )
 
 
@@ -531,22 +531,20 @@ def _season_report(spark, sf):
     ),
 )
 def _(spark, sf):
-    # Ten reports read these tables, so they are stored first, as in a warehouse.
-    matches, balls, innings = (
-        staged(table(spark, sf).drop("match_number", *A.BALL_ORDER[2:]), table.__name__)
-        for table in (A.matches, A.deliveries, A.innings)
-    )
+    # Several reports read these two small tables, so they are stored first.
+    matches, innings = staged(A.matches(spark, sf), "matches"), staged(A.innings(spark, sf), "innings")
+    balls = A.balls(spark, sf)
     return facts.insight_facts(
-        season=reports.season_summary(matches, balls, innings),
-        toss=reports.toss_impact_by_season(matches),
-        chasing=reports.chasing_vs_defending(matches, innings),
-        venues=reports.venue_summary(matches, innings),
-        teams=reports.team_summary(matches),
-        phase_batters=reports.top_batters_by_phase(balls),
+        season=reports.season_summary(matches, balls, innings, ordered=False),
+        toss=reports.toss_impact_by_season(matches, ordered=False),
+        chasing=reports.chasing_vs_defending(matches, innings, ordered=False),
+        venues=reports.venue_summary(matches, innings, ordered=False),
+        teams=reports.team_summary(matches, ordered=False),
+        phase_batters=reports.top_batters_by_phase(balls, ordered=False),
         death_bowlers=reports.top_death_bowlers(balls),
-        batting=summaries.batting_summary(balls),
-        bowling=summaries.bowling_summary(balls),
-        phase_gaps=summaries.phase_gap(summaries.phase_summary(balls)),
+        batting=summaries.batting_summary(balls, ordered=False),
+        bowling=summaries.bowling_summary(balls, ordered=False),
+        phase_gaps=summaries.phase_gap(summaries.phase_summary(A.deliveries(spark, sf))),
         min_team_matches=40,
     )
 
@@ -574,7 +572,9 @@ def _(spark, sf):
 )
 def _(spark, sf):
     matches = A.matches(spark, sf)
-    figures = facts.team_figures(reports.team_summary(matches), reports.toss_impact_by_season(matches))
+    figures = facts.team_figures(
+        reports.team_summary(matches, ordered=False), reports.toss_impact_by_season(matches, ordered=False)
+    )
     average = F.col("figure") == "average_toss_win_pct"
     return figures.withColumn("value", F.when(average, F.round("value", 6)).otherwise(F.col("value")))
 
@@ -608,7 +608,7 @@ _BEST = "player_impact_score desc, player"
     ),
 )
 def _(spark, sf):
-    return facts.player_figures(indexes.player_impact(A.balls(spark, sf)))
+    return facts.player_figures(indexes.player_impact(A.balls(spark, sf), ordered=False))
 
 
 @register(
@@ -636,7 +636,8 @@ def _(spark, sf):
 def _(spark, sf):
     matches, innings = A.matches(spark, sf), A.innings(spark, sf)
     return facts.venue_figures(
-        reports.venue_summary(matches, innings), indexes.venue_par_score(matches, innings)
+        reports.venue_summary(matches, innings, ordered=False),
+        indexes.venue_par_score(matches, innings, ordered=False),
     )
 
 
@@ -646,7 +647,7 @@ def _(spark, sf):
     "order by player_impact_score desc, player limit 20",
 )
 def _(spark, sf):
-    impact = indexes.player_impact(A.balls(spark, sf)).filter(F.col("impact_eligible") == 1)
+    impact = indexes.player_impact(A.balls(spark, sf), ordered=False).filter(F.col("impact_eligible") == 1)
     return selections.head_by(impact, 20, F.desc("player_impact_score"), "player").select(
         "player", "role_signal", "player_impact_score"
     )
@@ -658,7 +659,7 @@ def _(spark, sf):
     f"order by role_signal <> 'All-rounder', {_BEST} limit 1",
 )
 def _(spark, sf):
-    return selections.best_of_role(indexes.player_impact(A.balls(spark, sf)), "All-rounder").select(
+    return selections.best_of_role(indexes.player_impact(A.balls(spark, sf), ordered=False), "All-rounder").select(
         "player", "role_signal"
     )
 
@@ -670,7 +671,7 @@ def _(spark, sf):
     + " union all (select 'bottom', venue, city from venue_summary order by avg_first_innings_score, venue, city limit 1)",
 )
 def _(spark, sf):
-    venues = reports.venue_summary(A.matches(spark, sf), A.innings(spark, sf))
+    venues = reports.venue_summary(A.matches(spark, sf), A.innings(spark, sf), ordered=False)
     ends = {"top": selections.top_row, "bottom": selections.bottom_row}
     top, bottom = (
         pick(venues, "avg_first_innings_score", ["venue", "city"]).select(F.lit(name).alias("place"), "venue", "city")

@@ -417,7 +417,7 @@ from strength group by team
 """,
 )
 def _(spark, sf):
-    return indexes.phase_strength_pivot(indexes.team_phase_strength(A.balls(spark, sf)))
+    return indexes.phase_strength_pivot(indexes.team_phase_strength(A.balls(spark, sf), ordered=False))
 
 
 VENUE_PAR = """

@@ -159,6 +159,11 @@ def number_text(value: Column | str) -> Column:
     return F.regexp_replace(text, r"\.?0+$", "")
 
 
+def in_order(df, ordered: bool, *columns):
+    """Rows in display order, or as they are when another operator reads them next."""
+    return df.orderBy(*columns) if ordered else df
+
+
 def rounded(df, digits: dict[str, int]):
     """Round the named columns for display; operators themselves never round."""
     return df.withColumns({name: F.round(name, n) for name, n in digits.items() if name in df.columns})

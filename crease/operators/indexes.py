@@ -9,6 +9,7 @@ from crease import constants as K
 from crease.functions.scalars import (
     count_if,
     dismissals_of,
+    in_order,
     is_boundary,
     is_dot,
     present,
@@ -93,6 +94,7 @@ def player_impact(
     deliveries: DataFrame,
     min_bat_balls: int = K.MIN_IMPACT_BALLS,
     min_bowl_balls: int = K.MIN_IMPACT_BALLS,
+    ordered: bool = True,
 ) -> DataFrame:
     """Impact score and role of every player; only eligible ones enter the pools."""
     players = bowling_rates(batting_rates(player_totals(deliveries)))
@@ -122,7 +124,7 @@ def player_impact(
         .when(bowl >= bat * F.lit(K.ROLE_DOMINANCE), "Bowler")
         .otherwise("All-rounder")
     )
-    return (
+    report = (
         scores.withColumns(
             {
                 "batting_score": batting_score,
@@ -147,8 +149,8 @@ def player_impact(
             "wickets_per_over",
             "dot_ball_pct",
         )
-        .orderBy(F.desc("impact_eligible"), F.desc("player_impact_score"), "player")
     )
+    return in_order(report, ordered, F.desc("impact_eligible"), F.desc("player_impact_score"), "player")
 
 
 def death_batting_totals(deliveries: DataFrame, min_balls: int = K.MIN_DEATH_BALLS) -> DataFrame:
@@ -267,7 +269,9 @@ def team_phase_totals(deliveries: DataFrame, min_innings: int = K.MIN_PHASE_INNI
     )
 
 
-def team_phase_strength(deliveries: DataFrame, min_innings: int = K.MIN_PHASE_INNINGS) -> DataFrame:
+def team_phase_strength(
+    deliveries: DataFrame, min_innings: int = K.MIN_PHASE_INNINGS, ordered: bool = True
+) -> DataFrame:
     """Percentile of a team's run rate among the teams of the same phase."""
     teams = team_phase_totals(deliveries, min_innings).select(
         "team",
@@ -283,7 +287,7 @@ def team_phase_strength(deliveries: DataFrame, min_innings: int = K.MIN_PHASE_IN
         {"team_phase_strength_score": (F.col("run_rate"), F.lit(True))},
         within=["phase"],
     )
-    return scores.orderBy("phase", F.desc("team_phase_strength_score"), "team")
+    return in_order(scores, ordered, "phase", F.desc("team_phase_strength_score"), "team")
 
 
 def phase_strength_pivot(strength: DataFrame) -> DataFrame:
@@ -361,18 +365,19 @@ def venue_par_score(
     innings: DataFrame,
     min_matches: int = K.MIN_VENUE_MATCHES,
     approximate_median: bool = False,
+    ordered: bool = True,
 ) -> DataFrame:
     """Score statistics and chase record per ground in one aggregate.
 
     Grouping keeps a missing city as a group of its own, so no null-safe join of two
     aggregates is needed; a ground with no chase gets 0.
     """
-    return (
+    report = (
         venue_matches(matches, innings)
         .groupBy("venue", "city")
         .agg(*_score_measures(approximate_median), *_chase_measures())
         .filter(F.col("matches") >= min_matches)
         .withColumn("chasing_win_pct", safe_rate("chasing_wins", "chase_matches", 100))
         .drop("chase_matches", "chasing_wins")
-        .orderBy(F.desc("venue_par_score"), "venue", "city")
     )
+    return in_order(report, ordered, F.desc("venue_par_score"), "venue", "city")

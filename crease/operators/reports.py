@@ -2,7 +2,8 @@
 
 Every report is a ``DataFrame -> DataFrame`` function. Results are not rounded; see
 :data:`crease.plans.reports.REPORTS` for the digits used on export. Missing text is
-NULL in all input tables.
+NULL in all input tables. ``ordered=False`` leaves out the final sort, for reports
+that feed another operator.
 """
 
 from __future__ import annotations
@@ -12,11 +13,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from crease import constants as K
-from crease.functions.scalars import count_if, present, ratio, runs_conceded, total
+from crease.functions.scalars import count_if, in_order, present, ratio, runs_conceded, total
 
 
 def season_summary(
-    matches: DataFrame, deliveries: DataFrame, innings: DataFrame, exact: bool = True
+    matches: DataFrame, deliveries: DataFrame, innings: DataFrame, exact: bool = True, ordered: bool = True
 ) -> DataFrame:
     """Matches, players used, runs, wickets and rates per season.
 
@@ -80,7 +81,7 @@ def season_summary(
         .agg(*(total(c).alias(c) for c in summed))
     )
     known = F.col("player").isNotNull()
-    return (
+    report = (
         per_player.groupBy("season")
         .agg(
             count_if((F.col("role") == "batter") & known).alias("batters_used"),
@@ -97,13 +98,13 @@ def season_summary(
             ratio("runs", "legal", 6).alias("run_rate"),
             ratio("score_sum", "score_count").alias("avg_innings_score"),
         )
-        .orderBy("season")
     )
+    return in_order(report, ordered, "season")
 
 
-def toss_impact_by_season(matches: DataFrame) -> DataFrame:
+def toss_impact_by_season(matches: DataFrame, ordered: bool = True) -> DataFrame:
     """How often the side that won the toss won the match, per season."""
-    return (
+    report = (
         matches.filter(present("winner", "toss_winner"))
         .groupBy("season")
         .agg(
@@ -111,8 +112,8 @@ def toss_impact_by_season(matches: DataFrame) -> DataFrame:
             count_if(F.col("toss_winner") == F.col("winner")).alias("toss_winner_wins"),
         )
         .withColumn("toss_winner_win_pct", ratio("toss_winner_wins", "completed_matches", 100))
-        .orderBy("season")
     )
+    return in_order(report, ordered, "season")
 
 
 def innings_order(innings: DataFrame) -> DataFrame:
@@ -123,10 +124,10 @@ def innings_order(innings: DataFrame) -> DataFrame:
     )
 
 
-def chasing_vs_defending(matches: DataFrame, innings: DataFrame) -> DataFrame:
+def chasing_vs_defending(matches: DataFrame, innings: DataFrame, ordered: bool = True) -> DataFrame:
     """Wins batting second and batting first per season, decided matches with a chase."""
     order = innings_order(innings.filter(F.col("innings").isin(1, 2)))
-    return (
+    report = (
         matches.filter(present("winner"))
         .join(order.filter(F.col("chasing_team").isNotNull()), "match_id")
         .groupBy("season")
@@ -136,8 +137,8 @@ def chasing_vs_defending(matches: DataFrame, innings: DataFrame) -> DataFrame:
             count_if(F.col("winner") == F.col("first_batting_team")).alias("defending_wins"),
         )
         .withColumn("chasing_win_pct", ratio("chasing_wins", "completed_matches", 100))
-        .orderBy("season")
     )
+    return in_order(report, ordered, "season")
 
 
 def with_defending_pct(chasing: DataFrame) -> DataFrame:
@@ -146,11 +147,14 @@ def with_defending_pct(chasing: DataFrame) -> DataFrame:
 
 
 def venue_summary(
-    matches: DataFrame, innings: DataFrame, min_matches: int = K.MIN_VENUE_MATCHES
+    matches: DataFrame,
+    innings: DataFrame,
+    min_matches: int = K.MIN_VENUE_MATCHES,
+    ordered: bool = True,
 ) -> DataFrame:
     """First-innings average and toss effect per ground, decided matches only."""
     first = innings.filter(F.col("innings") == 1).select("match_id", F.col("runs").alias("first_runs"))
-    return (
+    report = (
         matches.filter(present("winner"))
         .join(first, "match_id")
         .groupBy("venue", "city")
@@ -167,8 +171,8 @@ def venue_summary(
             "avg_first_innings_score",
             ratio("toss_wins", "matches", 100).alias("toss_winner_win_pct"),
         )
-        .orderBy(F.desc("avg_first_innings_score"), F.desc("matches"), "venue", "city")
     )
+    return in_order(report, ordered, F.desc("avg_first_innings_score"), F.desc("matches"), "venue", "city")
 
 
 def team_matches(matches: DataFrame) -> DataFrame:
@@ -178,9 +182,9 @@ def team_matches(matches: DataFrame) -> DataFrame:
     )
 
 
-def team_summary(matches: DataFrame) -> DataFrame:
+def team_summary(matches: DataFrame, ordered: bool = True) -> DataFrame:
     """Matches, wins and win share per team; matches with no winner count as not won."""
-    return (
+    report = (
         team_matches(matches)
         .filter(present("team"))
         .groupBy("team")
@@ -195,22 +199,22 @@ def team_summary(matches: DataFrame) -> DataFrame:
             (F.col("matches") - F.col("wins")).alias("losses_or_no_results"),
             ratio("wins", "matches", 100).alias("win_pct"),
         )
-        .orderBy(F.desc("win_pct"), F.desc("wins"), "team")
     )
+    return in_order(report, ordered, F.desc("win_pct"), F.desc("wins"), "team")
 
 
-def top_batters_by_phase(deliveries: DataFrame, top: int = 10) -> DataFrame:
+def top_batters_by_phase(deliveries: DataFrame, top: int = 10, ordered: bool = True) -> DataFrame:
     """Highest run scorers of each phase."""
     place = F.row_number().over(W.partitionBy("phase").orderBy(F.desc("runs"), "batter"))
-    return (
+    report = (
         deliveries.filter(present("batter") & F.col("phase").isin(*K.PHASES))
         .groupBy("phase", "batter")
         .agg(total("batter_runs").alias("runs"), total("is_legal_ball").alias("balls"))
         .withColumn("place", place)
         .filter(F.col("place") <= top)
         .select("phase", "batter", "runs", "balls", ratio("runs", "balls", 100).alias("strike_rate"))
-        .orderBy("phase", F.desc("runs"), "batter")
     )
+    return in_order(report, ordered, "phase", F.desc("runs"), "batter")
 
 
 def top_death_bowlers(

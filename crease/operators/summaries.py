@@ -6,22 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crease import constants as K
-from crease.functions.scalars import present, ratio, runs_conceded, total
+from crease.functions.scalars import in_order, present, ratio, runs_conceded, total
 
 
-def batting_summary(deliveries: DataFrame) -> DataFrame:
+def batting_summary(deliveries: DataFrame, ordered: bool = True) -> DataFrame:
     """Runs per batter, most first."""
-    return (
+    report = (
         deliveries.filter(present("batter"))
         .groupBy(F.col("batter").alias("player"))
         .agg(total("batter_runs").alias("runs"))
-        .orderBy(F.desc("runs"), "player")
     )
+    return in_order(report, ordered, F.desc("runs"), "player")
 
 
-def bowling_summary(deliveries: DataFrame) -> DataFrame:
+def bowling_summary(deliveries: DataFrame, ordered: bool = True) -> DataFrame:
     """Wickets, balls, runs conceded and economy per bowler, most wickets first."""
-    return (
+    report = (
         deliveries.filter(present("bowler"))
         .groupBy(F.col("bowler").alias("player"))
         .agg(
@@ -30,8 +30,8 @@ def bowling_summary(deliveries: DataFrame) -> DataFrame:
             total(runs_conceded()).alias("runs_conceded"),
         )
         .withColumn("economy", ratio("runs_conceded", "balls", 6))
-        .orderBy(F.desc("wickets"), "player")
     )
+    return in_order(report, ordered, F.desc("wickets"), "player")
 
 
 def phase_summary(deliveries: DataFrame) -> DataFrame:

@@ -90,7 +90,8 @@ def halfway_features(
     features = with_rates(features, F.col("balls_so_far"), balls_per_innings)
     grounds = matches.select("match_id", "venue", "city")
     firsts = innings.filter(F.col("innings") == 1).select("match_id", F.col("runs").alias("target_score"))
-    features = features.join(grounds, "match_id", "left").join(firsts, "match_id", "left")
+    # The two match-level tables are joined with each other first: the features move once.
+    features = features.join(grounds.join(firsts, "match_id", "full"), "match_id", "left")
     features = features.withColumn("target_score", _in_chase(F.col("target_score")))
     return _with_final_score(with_chase(features, F.col("balls_remaining")), innings)
 

@@ -265,7 +265,8 @@ def team_phase_totals(deliveries: DataFrame, min_innings: int = K.MIN_PHASE_INNI
             total("balls").alias("balls"),
             total("wickets").alias("wickets"),
         )
-        .filter(F.col("innings") >= min_innings)
+        # Naming every sum lets all uses of the result share one shuffle of the balls.
+        .filter((F.col("innings") >= min_innings) & F.col("wickets").isNotNull())
     )
 
 

@@ -49,6 +49,25 @@ def test_sums_are_combined_before_the_shuffle(spark, sf):
     assert "partial_sum" in plan_of(QUERIES["j10_player_outer"](spark, sf))
 
 
+# Batting and bowling totals are two scans; everything built on them shares their shuffles.
+@pytest.mark.parametrize(
+    "name, scans",
+    [
+        ("c01_player_impact", 2),
+        ("c02_death_batting", 1),
+        ("c03_death_bowling", 1),
+        ("c04_team_phase_strength", 1),
+        ("a07_top_batters_phase", 1),
+        ("a11_phase_summary", 2),
+    ],
+)
+def test_balls_are_not_scanned_again(spark, sf, name, scans):
+    df = QUERIES[name](spark, sf)
+    df.collect()
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == scans
+
+
 def test_sources_define_no_python_udf_and_no_local_checkpoint():
     root = os.path.dirname(os.path.abspath(entry.__file__))
     for path in glob.glob(f"{root}/crease/**/*.py", recursive=True):

@@ -73,7 +73,7 @@ def folder(tmp_path_factory):
         "100": document(innings=FULL),
         "200": document(season="2007/08", winner=None, city="", player_of_match=["a1", "b1"]),
         "300": document(season=None, dates=("2015-04-01", "2015-04-02")),
-        "400": document(season=None, dates=()),
+        "400": document(season=None, dates=(), event={"name": "Cup", "match_number": "Final"}),
         "with a space+1": document(),
     }
     for name, doc in docs.items():
@@ -101,6 +101,7 @@ def test_matches(documents):
     one, two = found["100"], found["200"]
     assert (one["winner"], one["win_by_runs"], one["win_by_wickets"]) == ("A", 7, None)
     assert (two["winner"], two["city"], two["player_of_match"]) == (None, None, "a1; b1")
+    assert found["400"]["match_number"] is None
     assert (one["match_number"], one["balls_per_over"], str(one["date"])) == (3, 6, "2011-05-21")
 
 

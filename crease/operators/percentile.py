@@ -1,10 +1,11 @@
 """Percentile scores: share of the pool at or below a value, times 100.
 
-``cume_dist() over (order by x)`` without a partition runs in one task. Here the
-pool is reduced to one row per distinct value, the counts are summed up along the
-values with :func:`running_totals`, and the share is joined back by value. All
-metrics of a call go through one pass, as one long table. The blocks are the whole
-part and the 1024ths of a value, which suits rates and percentages.
+The rows (one per player or team) are stored first, so what they are made of is read
+once, and counted. If they fit a task, each score is a window over the stored rows.
+Beyond that, the pool is reduced to one row per distinct value, the counts are summed up
+along the values with :func:`running_totals`, and the share is joined back by value; all
+metrics of a call go through one pass, as one long table, whose blocks are the whole part
+and the 1024ths of a value. Both ways give the same scores.
 """
 
 from __future__ import annotations
@@ -12,16 +13,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from crease.operators.running import running_totals
+from crease.operators.running import ROWS_PER_TASK, running_totals
+from crease.session import staged
+
+Metrics = dict[str, tuple[Column, Column]]
 
 
 def percentile_scores(
     df: DataFrame,
     ids: Sequence[str],
-    metrics: dict[str, tuple[Column, Column]],
+    metrics: Metrics,
     within: Sequence[str] = (),
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """One row per ``ids`` with a percentile column per metric.
 
@@ -31,14 +37,39 @@ def percentile_scores(
     equal score, and the largest gets 100.
     """
     ids, within = list(ids), list(within)
+    parts = {name: (f"__v{i}", value, member) for i, (name, (value, member)) in enumerate(metrics.items())}
+    values = [
+        F.when(member, value.cast("double")).alias(column) for column, value, member in parts.values()
+    ]
+    rows = staged(df.select(*ids, *values), "pool")
+    columns = {name: column for name, (column, _, _) in parts.items()}
+    if rows.count() <= rows_per_task:
+        return _by_window(rows, ids, columns, within)
+    return _by_value(rows, ids, columns, within)
+
+
+def _by_window(rows: DataFrame, ids: list[str], columns: dict[str, str], within: list[str]) -> DataFrame:
+    """Scores by one window per metric; for pools that fit a task.
+
+    Rows outside a pool have no value, so they come first and are not counted. All
+    windows share one partitioning.
+    """
+    scores = {}
+    for name, column in columns.items():
+        pool = W.partitionBy(*within)
+        upto = pool.orderBy(column).rangeBetween(W.unboundedPreceding, W.currentRow)
+        share = F.lit(100.0) * F.count(column).over(upto) / F.count(column).over(pool)
+        scores[name] = F.when(F.col(column).isNotNull(), share).otherwise(F.lit(0.0))
+    return rows.select(*ids, *(score.alias(name) for name, score in scores.items()))
+
+
+def _by_value(rows: DataFrame, ids: list[str], columns: dict[str, str], within: list[str]) -> DataFrame:
+    """Scores by counts per distinct value; for pools of any size."""
     entries = F.array(
-        *(
-            F.struct(F.lit(name).alias("metric"), F.when(member, value.cast("double")).alias("value"))
-            for name, (value, member) in metrics.items()
-        )
+        *(F.struct(F.lit(name).alias("metric"), F.col(column).alias("value")) for name, column in columns.items())
     )
     entries = (
-        df.select(*ids, F.explode(entries).alias("e"))
+        rows.select(*ids, F.explode(entries).alias("e"))
         .select(*ids, "e.metric", "e.value")
         .filter(F.col("value").isNotNull())
     )
@@ -57,14 +88,16 @@ def percentile_scores(
     # Only pool members are joined: rows outside of it would share one empty value.
     # The score side has one row per value, so a much shared value can be split.
     scored = entries.join(score, [*pool, "value"]).select(*ids, "metric", "score")
-    outside = df.select(*ids, F.lit(None).cast("string").alias("metric"), F.lit(None).cast("double").alias("score"))
+    outside = rows.select(
+        *ids, F.lit(None).cast("string").alias("metric"), F.lit(None).cast("double").alias("score")
+    )
     return (
         scored.unionByName(outside)
         .groupBy(*ids)
         .agg(
             *(
                 F.coalesce(F.max(F.when(F.col("metric") == name, F.col("score"))), F.lit(0.0)).alias(name)
-                for name in metrics
+                for name in columns
             )
         )
     )

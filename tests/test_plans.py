@@ -49,17 +49,9 @@ def test_sums_are_combined_before_the_shuffle(spark, sf):
     assert "partial_sum" in plan_of(QUERIES["j10_player_outer"](spark, sf))
 
 
-# Batting and bowling totals are two scans; everything built on them shares their shuffles.
 @pytest.mark.parametrize(
     "name, scans",
-    [
-        ("c01_player_impact", 2),
-        ("c02_death_batting", 1),
-        ("c03_death_bowling", 1),
-        ("c04_team_phase_strength", 1),
-        ("a07_top_batters_phase", 1),
-        ("a11_phase_summary", 2),
-    ],
+    [("j10_player_outer", 2), ("a16_team_phase", 1), ("a07_top_batters_phase", 1), ("a11_phase_summary", 2)],
 )
 def test_balls_are_not_scanned_again(spark, sf, name, scans):
     df = QUERIES[name](spark, sf)
@@ -68,6 +60,14 @@ def test_balls_are_not_scanned_again(spark, sf, name, scans):
     assert final.count("FileScan parquet") == scans
 
 
+@pytest.mark.parametrize(
+    "name", ["c01_player_impact", "c02_death_batting", "c03_death_bowling", "c04_team_phase_strength"]
+)
+def test_scores_read_only_the_stored_pool(spark, sf, name):
+    plan = plan_of(QUERIES[name](spark, sf))
+    assert "l_partkey" not in plan and "lineitem" not in plan and "/pool-" in plan
+
+
 def test_sources_define_no_python_udf_and_no_local_checkpoint():
     root = os.path.dirname(os.path.abspath(entry.__file__))
     for path in glob.glob(f"{root}/crease/**/*.py", recursive=True):

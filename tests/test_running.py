@@ -104,12 +104,18 @@ def test_a_large_key_is_spread_and_so_are_copies_of_a_row(spark):
     assert bounded_blocks(df, ["key"], ["n"], limit=3000)[1] == []
 
 
-def test_percentiles_keep_ties_and_pools(spark):
+# One window per metric when the rows fit a task, counts per value when they do not.
+BOTH_WAYS = pytest.mark.parametrize("rows_per_task", [1_000_000, 0])
+
+
+@BOTH_WAYS
+def test_percentiles_keep_ties_and_pools(spark, rows_per_task):
     data = [(i, i % 3, float(chance)) for i, chance in enumerate(random.Random(5).choices(range(-40, 40), k=900))]
     data += [(1000 + i, 0, 7.25) for i in range(400)]
     df = spark.createDataFrame(data, "id int, pool int, x double")
     member = F.col("x") > -30
-    found = percentile_scores(df, ["id", "pool"], {"up": (F.col("x"), member), "down": (-F.col("x"), member)}, ["pool"])
+    metrics = {"up": (F.col("x"), member), "down": (-F.col("x"), member)}
+    found = percentile_scores(df, ["id", "pool"], metrics, ["pool"], rows_per_task)
     got = {r["id"]: (r["up"], r["down"]) for r in found.collect()}
     for i, pool, x in data:
         values = [v for _, p, v in data if p == pool and v > -30]
@@ -118,15 +124,17 @@ def test_percentiles_keep_ties_and_pools(spark):
         assert got[i] == (up, down)
 
 
-def test_percentile_of_an_empty_pool_is_zero(spark):
+@BOTH_WAYS
+def test_percentile_of_an_empty_pool_is_zero(spark, rows_per_task):
     df = spark.createDataFrame([(1, 2.0), (2, 3.0)], "id int, x double")
-    found = percentile_scores(df, ["id"], {"p": (F.col("x"), F.lit(False))})
+    found = percentile_scores(df, ["id"], {"p": (F.col("x"), F.lit(False))}, rows_per_task=rows_per_task)
     assert sorted((r["id"], r["p"]) for r in found.collect()) == [(1, 0.0), (2, 0.0)]
 
 
-def test_equal_values_all_get_the_largest_share(spark):
+@BOTH_WAYS
+def test_equal_values_all_get_the_largest_share(spark, rows_per_task):
     df = spark.createDataFrame([(1, 5.0), (2, 5.0), (3, 9.0), (4, 1.0)], "id int, x double")
-    found = percentile_scores(df, ["id"], {"p": (F.col("x"), F.lit(True))})
+    found = percentile_scores(df, ["id"], {"p": (F.col("x"), F.lit(True))}, rows_per_task=rows_per_task)
     assert {r["id"]: r["p"] for r in found.collect()} == {1: 75.0, 2: 75.0, 3: 100.0, 4: 25.0}
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,22 +23,11 @@ def get_spark(app: str = "crease", master: str | None = None, **settings: str) -
     return builder.getOrCreate()
 
 
-# Folders made for local sessions that name none, by application.
-_LOCAL_FOLDERS: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach, as the cluster names it in
-    ``spark.checkpoint.dir``. Only a local session gets a folder of its own."""
+    """Folder all executors can reach: ``spark.checkpoint.dir``, or, where that is unset,
+    a folder in the warehouse, which they share as well."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    if context.applicationId not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="crease-")
-    return _LOCAL_FOLDERS[context.applicationId]
+    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/staged"
 
 
 def staged(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -6,31 +6,57 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crease.llm import mixing, quality, sharding
+from crease.llm import decontaminate, html_text, mixing, quality, secret_scan, sharding, token_files, toxicity
 from crease.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_shard_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
     return sharding.place(docs, "doc_id", sharding.lookup_table(spark)).select("doc_id", "slot", "shard")
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.encode(table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.totals(mixing.mix(table(spark, sf_dir, "documents")))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
+        op1_secret_scan,
         op2_shard_table,
+        op5_token_files,
+        op6_toxicity,
         op7_quality_rules,
+        op8_main_text,
         op9_source_mix,
+        op10_decontaminate,
     )
 }
 

@@ -1,0 +1,10 @@
+"""Operators for preparing training data.
+
+Functions that run in tasks are sent by value, so executors need no copy of this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

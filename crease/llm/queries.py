@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crease.llm import decontaminate, html_text, mixing, quality, secret_scan, sharding, token_files, toxicity
+from crease.llm import decontaminate, html_text, mixing, ppm, quality, secret_scan, sharding, token_files, toxicity
 from crease.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op2_shard_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs, "doc_id", sharding.lookup_table(spark)).select("doc_id", "slot", "shard")
 
 
+def op3_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(table(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.encode(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Query] = {
     for q in (
         op1_secret_scan,
         op2_shard_table,
+        op3_ppm_score,
         op5_token_files,
         op6_toxicity,
         op7_quality_rules,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crease.llm import decontaminate, html_text, mixing, ppm, quality, secret_scan, sharding, token_files, toxicity
+from crease.llm import decontaminate, html_text, jaccard_join, mixing, ppm, quality, secret_scan, sharding, token_files, toxicity
 from crease.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op3_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.encode(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Query] = {
         op1_secret_scan,
         op2_shard_table,
         op3_ppm_score,
+        op4_jaccard_join,
         op5_token_files,
         op6_toxicity,
         op7_quality_rules,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crease.llm import mixing, quality
+from crease.llm import decontaminate, jaccard_join, mixing, quality, token_files
 from crease.llm.common import table
 from crease.session import staged
 
@@ -14,14 +14,32 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, and all that have none."""
+    return jaccard_join.one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no test item."""
+    return decontaminate.without_items(docs, table(spark, sf_dir, "benchmark"))
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix, as often as it takes them."""
     return mixing.mixed_documents(docs)
 
 
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' token ids in files, and what the files say of each document."""
+    return token_files.encode(docs)
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("near duplicates", near_duplicates),
+    ("decontamination", decontamination),
     ("source mix", source_mix),
+    ("token output", token_output),
 ]
 
 #: The cutoffs of the first stage, the joins and the encoding are beyond SQL; tests hold the rows against brute force.

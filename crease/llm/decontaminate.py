@@ -160,20 +160,21 @@ def _search(docs: DataFrame, block: list[tuple[int, str]]):
     return run
 
 
-def without_items(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that hold no item, all their columns as they are; null texts hold none."""
-    for block in blocks(items):
-        sent = docs.sparkSession.sparkContext.broadcast(block)
+def _clean(docs: DataFrame, block: list[tuple[int, str]]):
+    """A column function that is true for texts without an item of the block."""
+    sent = docs.sparkSession.sparkContext.broadcast(block)
 
-        def clean(texts: Iterator[pd.Series], sent=sent) -> Iterator[pd.Series]:
-            matcher = Matcher(sent.value)
-            for batch in texts:
-                yield pd.Series([not matcher.find(plain(t)) for t in batch], dtype=bool)
+    def clean(texts):
+        matcher = Matcher(sent.value)
+        for batch in texts:
+            yield pd.Series([not matcher.find(plain(t)) for t in batch], dtype=bool)
 
-        docs = docs.where(F.pandas_udf(_typed(clean), "boolean")(docs["text"]))
-    return docs
+    clean.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return F.pandas_udf(clean, "boolean")
 
 
-def _typed(clean):
-    clean.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return clean
+def without_items(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The documents that hold no item, all their columns as they are; null texts hold none."""
+    for block in blocks(items):
+        docs = docs.where(_clean(docs, block)(docs["text"]))
+    return docs

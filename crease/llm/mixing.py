@@ -142,7 +142,8 @@ def mix(docs: DataFrame) -> DataFrame:
     )
     pieces = pieces.select("src", "block", "start", held.alias("held"))
     taken = (
-        pieces.join(schedule(docs.sparkSession, per_source), ["src", "block"])
+        pieces.hint("merge")  # the plan does not see that the explode makes many rows of few
+        .join(schedule(docs.sparkSession, per_source), ["src", "block"])
         .groupBy("src", "start", "epoch")
         .agg(F.sum("held").alias("words"))
     )

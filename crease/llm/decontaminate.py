@@ -3,7 +3,8 @@
 An item of m characters may differ by ``m * RATE`` edits. It is cut into one piece more than
 that, so at least one piece is in the document as it is (pigeonhole). An automaton finds all
 pieces of all items in one pass over a text; around each hit, Myers' bit-parallel distance
-decides whether the whole item is there within its edits.
+decides whether the whole item is there within its edits, unless a count of shared grams
+shows already that it cannot be.
 
 Texts and items are compared in lower case with single blanks.
 """
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 RATE = 0.1
 #: Items with fewer characters are too short to tell from chance and must be there exactly.
 SHORT = 20
+#: Characters of a gram. An edit breaks at most so many grams of an item; without enough of them no place can hold it.
+GRAM = 5
 #: Characters of the items in a block. Each block is one pass; it bounds what is sent to the tasks.
 BLOCK_CHARS = 4_000_000
 
@@ -82,7 +85,7 @@ class Matcher:
     """The pieces of a block of items, and the search in a text."""
 
     def __init__(self, items: list[tuple[int, str]], rate: float = RATE):
-        self.items, self.masks = [], []
+        self.items, self.masks, self.grams = [], [], []
         pieces: dict[str, list[tuple[int, int]]] = {}
         for n, (item_id, text) in enumerate(items):
             m = len(text)
@@ -92,6 +95,7 @@ class Matcher:
             for i, char in enumerate(text):
                 masks[char] = masks.get(char, 0) | 1 << i
             self.masks.append(masks)
+            self.grams.append((frozenset(text[i : i + GRAM] for i in range(m - GRAM + 1)), m - GRAM + 1 - budget * GRAM))
             cuts = [m * i // (budget + 1) for i in range(budget + 2)]
             for a, b in zip(cuts, cuts[1:]):
                 pieces.setdefault(text[a:b], []).append((n, a))
@@ -123,7 +127,13 @@ class Matcher:
             for a, b in stretches:
                 begin = max(0, a - budget)
                 window = text[begin : b + len(item) + budget]
-                edits, end = (0, window.index(item) + len(item)) if item in window else nearest(self.masks[n], len(item), window, budget)
+                grams, least = self.grams[n]
+                if item in window:
+                    edits, end = 0, window.index(item) + len(item)
+                elif sum([window[i : i + GRAM] in grams for i in range(len(window) - GRAM + 1)]) < least:
+                    continue
+                else:
+                    edits, end = nearest(self.masks[n], len(item), window, budget)
                 if edits <= budget and (item_id not in found or edits < best[0]):
                     best = found[item_id] = (edits, budget, begin + end)
         return found

@@ -13,8 +13,13 @@ again, after its executor was lost or beside a slow copy, writes the same files.
 
 from __future__ import annotations
 
+import gc
+import os
+import re
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,49 +37,114 @@ TOKENIZER, END = public_tokenizers.path("byte_bpe_50k.json"), 2
 #: Ids of a sequence, sequences of a batch, and ids from which on a file is closed.
 LENGTH, BATCH, FILE_IDS = 2048, 256, 4_000_000
 #: Characters of a range, about, and pieces whose ids a task remembers.
-RANGE_CHARS, REMEMBERED = 12_000_000, 400_000
+RANGE_CHARS, REMEMBERED = 48_000_000, 600_000
+
+
+#: White space beside a blank or a line end: only the tokenizer itself knows how to cut there.
+_UNEVEN = re.compile(r" (?:(?=[^\S ])|(?<=[^\S ] ))|\n(?:(?=\s)|(?<=[^\S\n]\n))")
+#: Signs after a word that are cut off it; an apostrophe is not among them.
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class Encoder:
     """Ids of whole texts.
 
-    The tokenizer cuts a text before each single blank between two other signs, and never
-    joins what it has cut, so such pieces are encoded once each and remembered. Texts with
-    other blanks are encoded as they are.
+    A byte-level tokenizer always cuts a text before a single blank between two other signs,
+    around a single line end between two others, and between letters and the signs after
+    them. So such pieces are encoded once each and remembered. Texts with other white space,
+    and all texts of other tokenizers, are encoded as they are.
     """
 
     def __init__(self, path: str, end: int = END):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.small = self.tokenizer.get_vocab_size() <= 1 << 16
-        self.dtype = np.dtype("<u2" if self.small and end < 1 << 16 else "<u4")
+        self.small = self.tokenizer.get_vocab_size() <= 1 << 16 and end < 1 << 16
+        self.dtype = np.dtype("<u2" if self.small else "<u4")
         self.end = np.array([end], self.dtype).tobytes()
+        before = self.tokenizer.pre_tokenizer
+        cuts = type(before).__name__ == "ByteLevel" and before.use_regex and not before.add_prefix_space
+        self.cuts = cuts and self.tokenizer.normalizer is None
+        vocabulary = self.tokenizer.get_vocab(True)
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)  # ids of tokens that begin with a blank
+        self.begins[[i for token, i in vocabulary.items() if token[0] == "\u0120"]] = True
+        # Ids by piece without the blank before it; a piece that begins with a line end has none.
         self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        self.signs: dict[str, bytes] = {}
+
+    def _encode(self, texts: list[str]) -> Iterator[bytes]:
+        kind = "H" if self.small else "I"
+        for i in range(0, len(texts), 4096):
+            for e in self.tokenizer.encode_batch_fast(texts[i : i + 4096], add_special_tokens=False):
+                ids = array(kind, e.ids)
+                if sys.byteorder == "big":
+                    ids.byteswap()
+                yield ids.tobytes()
+
+    def _words(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words of letters, each after a blank. They are encoded many at a time: a word
+        begins where a token begins with a blank."""
+        for i in range(0, len(words), 1000):
+            some = words[i : i + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids)
+            at = (np.flatnonzero(self.begins[ids]) * self.dtype.itemsize).tolist()
+            if len(at) != len(some):
+                yield from self._encode([" " + w for w in some])
+                continue
+            data = ids.astype(self.dtype).tobytes()
+            yield from [data[a:b] for a, b in zip(at, [*at[1:], len(data)])]
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Remember the ids of pieces, by their letters and signs where they have these alone."""
+        known, signs = self.known, self.signs
+        plain, made = set(), []
+        for piece in pieces:
+            letters = piece.rstrip(_SIGNS)
+            if len(letters) < len(piece) and letters.isalpha():
+                tail = piece[len(letters) :]
+                if tail not in signs:
+                    signs[tail] = next(self._encode([tail]))
+                if letters not in known:
+                    plain.add(letters)
+                made.append((piece, letters, tail))
+            else:
+                plain.add(piece)
+        some = [p for p in plain if p.isalpha()]
+        known.update(zip(some, self._words(some)))
+        some = [p for p in plain if not p.isalpha()]
+        known.update(zip(some, self._encode([p if p[0] == "\n" else " " + p for p in some])))
+        for piece, letters, tail in made:
+            known[piece] = known[letters] + signs[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text and the end id, as little-endian bytes of ``dtype``."""
-        cut: list[list[str]] = []
-        for text in texts:
-            parts = text.split(" ")
-            pieces = [parts[0], *[" " + p for p in parts[1:]]]
-            whole = not text or "" in parts or any(p[-1].isspace() or p[0].isspace() for p in parts)
-            cut.append([text] if whole else pieces)
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+            self.signs.clear()
         known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        missing = [p for p in set().union(*cut) if p not in known]
-        for i in range(0, len(missing), 20_000):
-            some = missing[i : i + 20_000]
-            known.update(zip(some, self._encode(some)))
-        out = [b"".join([known[p] for p in pieces]) + self.end for pieces in cut]
-        for pieces in cut:
-            if len(pieces) == 1 and len(pieces[0]) > 100:
-                known.pop(pieces[0], None)
+        cut, missing, whole = [], set(), []
+        for n, text in enumerate(texts):
+            parts = text.replace("\n", " \n").split(" ")
+            if not self.cuts or "" in parts or "\n" in parts or _UNEVEN.search(text):
+                whole.append(n)
+                cut.append((None, [], []))
+                continue
+            ids = list(map(known.get, parts))
+            ids[0] = b""
+            gaps = [i for i, x in enumerate(ids) if x is None] if None in ids else []
+            new = [parts[i] for i in gaps]
+            missing.update(new)
+            cut.append((parts[0], ids, [*zip(gaps, new)]))
+        self._learn(list(missing))
+        direct = whole + [n for n, (first, _, _) in enumerate(cut) if first is not None]
+        heads = dict(zip(direct, self._encode([texts[n] for n in whole] + [cut[n][0] for n in direct[len(whole) :]])))
+        out = []
+        for n, (_, ids, gaps) in enumerate(cut):
+            for i, piece in gaps:
+                ids[i] = known[piece]
+            out.append(heads[n] + b"".join(ids) + self.end)
         return out
 
 
@@ -132,6 +202,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end: int = E
     ordered = ordered.withColumn("part", F.spark_partition_id())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        gc.disable()  # nothing here is cyclic, and there are very many small objects
         encoder = Encoder(tokenizer, end)
         place, root = fs.FileSystem.from_uri(folder)
         place.create_dir(root, recursive=True)

@@ -36,8 +36,8 @@ from crease.session import shared_folder, staged
 TOKENIZER, END = public_tokenizers.path("byte_bpe_50k.json"), 2
 #: Ids of a sequence, sequences of a batch, and ids from which on a file is closed.
 LENGTH, BATCH, FILE_IDS = 2048, 256, 4_000_000
-#: Characters of a range, about, and pieces whose ids a task remembers.
-RANGE_CHARS, REMEMBERED = 48_000_000, 600_000
+#: Bytes of a range, about, and pieces whose ids a task remembers.
+RANGE_BYTES, REMEMBERED = 48_000_000, 600_000
 
 
 #: White space beside a blank or a line end: only the tokenizer itself knows how to cut there.
@@ -68,8 +68,11 @@ class Encoder:
         cuts = type(before).__name__ == "ByteLevel" and before.use_regex and not before.add_prefix_space
         self.cuts = cuts and self.tokenizer.normalizer is None
         vocabulary = self.tokenizer.get_vocab(True)
-        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)  # ids of tokens that begin with a blank
-        self.begins[[i for token, i in vocabulary.items() if token[0] == "\u0120"]] = True
+        # Ids of the tokens that begin with a blank, and with a line end.
+        self.begins = {sign: np.zeros(max(vocabulary.values()) + 1, bool) for sign in " \n"}
+        for token, i in vocabulary.items():
+            if token[0] in "\u0120\u010a":
+                self.begins[" " if token[0] == "\u0120" else "\n"][i] = True
         # Ids by piece without the blank before it; a piece that begins with a line end has none.
         self.known: dict[str, bytes] = {}
         self.signs: dict[str, bytes] = {}
@@ -83,15 +86,15 @@ class Encoder:
                     ids.byteswap()
                 yield ids.tobytes()
 
-    def _words(self, words: list[str]) -> Iterator[bytes]:
-        """Ids of words of letters, each after a blank. They are encoded many at a time: a word
-        begins where a token begins with a blank."""
+    def _words(self, words: list[str], sign: str) -> Iterator[bytes]:
+        """Ids of words of letters, each after a blank or a line end. They are encoded many at a
+        time: a word begins where a token begins with that sign."""
         for i in range(0, len(words), 1000):
             some = words[i : i + 1000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids)
-            at = (np.flatnonzero(self.begins[ids]) * self.dtype.itemsize).tolist()
+            ids = np.array(self.tokenizer.encode_batch_fast([sign + sign.join(some)], add_special_tokens=False)[0].ids)
+            at = (np.flatnonzero(self.begins[sign][ids]) * self.dtype.itemsize).tolist()
             if len(at) != len(some):
-                yield from self._encode([" " + w for w in some])
+                yield from self._encode([sign + w for w in some])
                 continue
             data = ids.astype(self.dtype).tobytes()
             yield from [data[a:b] for a, b in zip(at, [*at[1:], len(data)])]
@@ -102,7 +105,7 @@ class Encoder:
         plain, made = set(), []
         for piece in pieces:
             letters = piece.rstrip(_SIGNS)
-            if len(letters) < len(piece) and letters.isalpha():
+            if len(letters) < len(piece) and letters[letters[:1] == "\n" :].isalpha():
                 tail = piece[len(letters) :]
                 if tail not in signs:
                     signs[tail] = next(self._encode([tail]))
@@ -112,8 +115,10 @@ class Encoder:
             else:
                 plain.add(piece)
         some = [p for p in plain if p.isalpha()]
-        known.update(zip(some, self._words(some)))
-        some = [p for p in plain if not p.isalpha()]
+        known.update(zip(some, self._words(some, " ")))
+        some = [p for p in plain if p[0] == "\n" and p[1:].isalpha()]
+        known.update(zip(some, self._words([p[1:] for p in some], "\n")))
+        some = [p for p in plain if p not in known]
         known.update(zip(some, self._encode([p if p[0] == "\n" else " " + p for p in some])))
         for piece, letters, tail in made:
             known[piece] = known[letters] + signs[tail]
@@ -196,8 +201,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end: int = E
     """
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    chars = rows.agg(F.sum(F.length("text") + 1)).head()[0] or 0
-    ranges = max(1, -(-chars // RANGE_CHARS))
+    size = rows.agg(F.sum(F.octet_length("text") + 1)).head()[0] or 0
+    ranges = max(1, -(-size // RANGE_BYTES))
     ordered = rows.repartitionByRange(ranges, "doc_id").sortWithinPartitions("doc_id", "text")
     ordered = ordered.withColumn("part", F.spark_partition_id())
 

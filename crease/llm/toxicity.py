@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from crease.llm.common import fold
 
 #: Labelled documents of each class that the model is fitted to at most, those first by a hash.
-SAMPLE = {1: 3000, 0: 5000}
+SAMPLE = {1: 2000, 0: 4000}
 #: Rows with this remainder are held out.
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
@@ -94,27 +94,28 @@ def fit(texts: list[str], labels: list[int]) -> Model:
     y = np.array(labels, dtype=float)
     if not len(y) or y.min() == y.max():
         return Model({}, -12.0)
-    cache: dict[str, frozenset[str]] = {}
-
-    def of(word: str) -> frozenset[str]:
-        if word not in cache:
-            cache[word] = frozenset(features(word))
-        return cache[word]
-
     bags = [[set(plain_words(t[a:b])) for a, b in sentences(t)] for t in texts]
-    seen = {0.0: Counter(), 1.0: Counter()}
-    for bag, label in zip(bags, y):
-        seen[label].update(set().union(*[of(w) for w in set().union(*bag)]) if bag else ())
     n1, n0 = y.sum(), len(y) - y.sum()
-    lift = {f: (c / n1) / ((seen[0.0][f] + 0.5) / n0) for f, c in seen[1.0].items() if c >= LEAST_DOCS}
-    names = sorted(f for f, x in lift.items() if x >= LEAST_LIFT)
+    toxic: Counter[str] = Counter()
+    for bag, label in zip(bags, y):
+        if label:
+            toxic.update({f for w in set().union(*bag) for f in features(w)})
+    toxic = Counter({f: c for f, c in toxic.items() if c >= LEAST_DOCS})
+    clean: Counter[str] = Counter()
+    for bag, label in zip(bags, y):
+        if not label:
+            clean.update({f for w in set().union(*bag) for f in features(w) if f in toxic})
+    names = sorted(f for f, c in toxic.items() if c / n1 >= LEAST_LIFT * (clean[f] + 0.5) / n0)
     place = {f: i for i, f in enumerate(names)}
-    hits = {w: [place[f] for f in fs if f in place] for w, fs in cache.items()}
-    cols, rows, docs, first = [], [], [], []
+    hits: dict[str, list[int]] = {}
+    for w in {w for bag in bags for words in bag for w in words}:
+        if own := [place[f] for f in set(features(w)) if f in place]:
+            hits[w] = own
+    cols, rows, docs = [], [], []
     n_sentences = 0
     for d, bag in enumerate(bags):
         for sentence in bag:
-            own = [i for w in sentence for i in hits[w]]
+            own = [i for w in sentence for i in hits.get(w, ())]
             cols += own
             rows += [n_sentences] * len(own)
             docs.append(d)
@@ -146,7 +147,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     known = known.where(fold(F.col("doc_id"), FOLDS) != HELD_OUT)
     order = F.xxhash64("doc_id")
     picked = [known.where(F.col("toxic") == c).orderBy(order, "doc_id").limit(n) for c, n in SAMPLE.items()]
-    # At most 8,000 ids: small enough to send to every task, so that no text is shuffled.
+    # At most 6,000 ids: small enough to send to every task, so that no text is shuffled.
     sample = F.broadcast(picked[0].unionByName(picked[1]))
     rows = docs.where("text is not null").select("doc_id", "text").join(sample, "doc_id").select("doc_id", "text", "toxic")
     got = sorted((r["doc_id"], r["text"], r["toxic"]) for r in rows.collect())

@@ -43,7 +43,7 @@ SMALL_GROUP, BLOCK_SHINGLES = 24, 60_000
 #: Ids that may be sent to every task (16 MB); beyond that the join is shuffled.
 MOST_SENT = 1_000_000
 #: The cost of an index entry is 1; of a chance match, as many entries; an element is shared by chance so often.
-MATCH_COST, SHARED = 200.0, 0.35
+MATCH_COST, SHARED = 200.0, 0.2
 
 _U = np.uint64
 

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from crease.llm.common import fold
@@ -29,13 +29,15 @@ from crease.session import staged
 
 #: Rows with remainder 0 are held out.
 FOLDS, HELD_OUT = 10, 0
-#: Characters of a bucket, about, and bytes whose windows are numbered at once.
-BUCKET_CHARS, CHUNK = 8_000_000, 2_000_000
+#: Bytes of a bucket, about, and bytes whose windows are numbered at once.
+BUCKET_BYTES, CHUNK = 24_000_000, 4_000_000
 SMOOTH = 0.1
 #: Bytes of the longest context; a window has one more, and its number must fit into a long.
 ORDER = 4
 #: Windows, about, whose costs are computed together.
 MODEL_ROWS = 200_000
+#: Windows whose costs may be sent to every task (32 MB); beyond that the join is shuffled.
+MOST_SENT = 2_000_000
 
 
 def _numbered(codes: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
@@ -56,14 +58,23 @@ def windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ends = np.cumsum(sizes + ORDER)
     for back in range(1, ORDER + 1):
         own[ends - back] = False
-    at = np.flatnonzero(own)
-    signs, number = _numbered(raw[at].astype(np.int32), 256)
-    _, sign = _numbered(raw.astype(np.int32), 256)
-    every = np.unique(raw).astype(np.int64)
-    named = signs.astype(np.int64)
-    for i in range(1, ORDER + 1):
-        found, number = _numbered(number.astype(np.int64) * len(every) + sign[at + i], len(named) * len(every))
-        named = named[found // len(every)] << 8 | every[found % len(every)]
+    every = np.flatnonzero(np.bincount(raw, minlength=256))
+    a = len(every)
+    turn = np.zeros(256, np.int32)
+    turn[every] = np.arange(a, dtype=np.int32)
+    sign = turn[raw]
+    # The first three bytes as one number, then one byte more at a time, numbered anew each time.
+    last = len(raw) - ORDER
+    code = (sign[:last] * a + sign[1 : last + 1]) * a + sign[2 : last + 2]
+    named, number = _numbered(code, a**3)
+    named = every[named // (a * a)] << 16 | every[named // a % a] << 8 | every[named % a]
+    for i in range(3, ORDER + 1):
+        wide = len(named) * a >= 1 << 31
+        code = number.astype(np.int64 if wide else np.int32) * a + sign[i : last + i]
+        if i == ORDER:
+            code = code[own[:last]]
+        found, number = _numbered(code, len(named) * a)
+        named = named[found // a] << 8 | every[found % a]
     return named, number, np.cumsum(sizes) - sizes
 
 
@@ -130,17 +141,20 @@ def _low(texts: pd.Series) -> list[bytes]:
     return [t.encode().lower() for t in texts]
 
 
+def _count_words(texts: list[bytes], learn: np.ndarray) -> tuple[Counter[bytes], set[bytes]]:
+    """How often each word is in the training texts, and the words of the others."""
+    words: Counter[bytes] = Counter()
+    others: set[bytes] = set()
+    for text, known in zip(texts, learn):
+        (words if known else others).update(text.split())
+    return words, others
+
+
 def _gather(group: pd.DataFrame) -> pd.DataFrame:
     """What the documents of a bucket hold: words and windows, with their number in training documents."""
     texts, learn = _low(group["text"]), ~group["held_out"].to_numpy()
-    words: Counter[bytes] = Counter()
-    others: set[bytes] = set()
+    words, others = _count_words(texts, learn)
     found, counts = [], []
-    for text, known in zip(texts, learn):
-        if known:
-            words.update(text.split())
-        else:
-            others.update(text.split())
     for begin, some in chunks(texts):
         named, number, starts = windows(some)
         sizes = np.diff(np.append(starts, len(number)))
@@ -168,16 +182,25 @@ def score(docs: DataFrame) -> DataFrame:
     """
     held = F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(True))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), held.alias("held_out"))
-    sums = rows.agg(F.sum(F.length("text") + 1).alias("chars"), F.count(F.when(~F.col("held_out"), 1)).alias("learned")).head()
-    buckets = max(1, -(-(sums["chars"] or 0) // BUCKET_CHARS))
+    sums = rows.agg(
+        F.sum(F.octet_length("text") + 1).alias("size"), F.count(F.when(~F.col("held_out"), 1)).alias("learned")
+    ).head()
+    buckets = max(1, -(-(sums["size"] or 0) // BUCKET_BYTES))
     dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets).cast("long")))
-    dealt = dealt.repartition(min(buckets, 1 << 20), "bucket")
     held_in = staged(dealt.groupBy("bucket").applyInPandas(_gather, "bucket long, word binary, gram long, c long"), "counts")
 
-    words = held_in.where("word is not null").groupBy("word").agg(F.sum("c").alias("c"))
-    word_sums = words.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).head()
+    # Counts of words over all buckets. A word that is in one bucket alone is counted there,
+    # so only the others are sent back. A word has one row for each bucket here, no more.
+    by_word = Window.partitionBy("word")
+    words = held_in.where("word is not null").select("bucket", "word", "c").withColumn("total", F.sum("c").over(by_word))
+    words = words.withColumn("first", F.col("bucket") == F.min("bucket").over(by_word))
+    seen = Observation()
+    words = words.observe(
+        seen, F.sum("c").alias("n"), F.count(F.when(F.col("first") & (F.col("total") > 0), 1)).alias("v")
+    )
+    words = staged(words.where("total <> c").select("bucket", "word", "total"), "words")
     ends = sums["learned"]  # each training document has one end
-    n, v = (word_sums["n"] or 0) + ends, word_sums["v"] + (ends > 0)
+    n, v = (seen.get["n"] or 0) + ends, seen.get["v"] + (ends > 0)
 
     grams = held_in.where("gram is not null").groupBy("gram").agg(F.sum("c").alias("c"))
     order1 = np.zeros(1 << 16, np.int64)
@@ -194,26 +217,27 @@ def score(docs: DataFrame) -> DataFrame:
     # Windows by the two bytes before their last: of such a pair there are at most 2 ** 24.
     parts = max(1, -(-sum(r["n"] for r in pairs) // MODEL_ROWS))
     part = F.pmod(F.hash(F.shiftright("gram", 8) % (1 << 16)), F.lit(parts))
-    model = grams.groupBy(part.alias("part")).applyInPandas(costs, "gram long, cost double")
-    values = (
-        held_in.where("word is not null").select("bucket", "word").join(words, "word")
-        .select("bucket", "word", F.lit(None).cast("long").alias("gram"), F.col("c").cast("double").alias("value"))
-        .unionByName(
-            held_in.where("gram is not null").select("bucket", "gram").join(model, "gram")
-            .select("bucket", F.lit(None).cast("binary").alias("word"), "gram", F.col("cost").alias("value"))
-        )
+    model = staged(grams.groupBy(part.alias("part")).applyInPandas(costs, "gram long, cost double"), "model")
+    if sum(r["n"] for r in pairs) <= MOST_SENT:
+        model = F.broadcast(model)
+    values = words.select("bucket", "word", F.lit(None).cast("long").alias("gram"), F.col("total").cast("double").alias("value"))
+    values = values.unionByName(
+        held_in.where("gram is not null").select("bucket", "gram").join(model, "gram")
+        .select("bucket", F.lit(None).cast("binary").alias("word"), "gram", F.col("cost").alias("value"))
     )
     least = n + SMOOTH * (v + 1)
 
     def of_bucket(group: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         is_word = known["word"].notna()
+        texts = _low(group["text"])
+        counts, others = _count_words(texts, ~group["held_out"].to_numpy())
+        counts = dict.fromkeys(others, 0) | counts
         some = known[is_word]
-        logs = np.log10((some["value"].to_numpy() + SMOOTH) / least)
-        of_word = dict(zip(map(bytes, some["word"]), logs.tolist()))
+        counts.update(zip(map(bytes, some["word"]), some["value"].tolist()))
+        of_word = dict(zip(counts, np.log10((np.fromiter(counts.values(), float, len(counts)) + SMOOTH) / least).tolist()))
         some = known[~is_word].sort_values("gram")
         grams, cost = some["gram"].to_numpy().astype(np.int64), some["value"].to_numpy()
         never, end = math.log10(SMOOTH / least), math.log10((ends + SMOOTH) / least)
-        texts = _low(group["text"])
         scores = []
         for _, part in chunks(texts):
             named, number, starts = windows(part)

@@ -30,7 +30,7 @@ from crease.session import staged
 #: Rows with remainder 0 are held out.
 FOLDS, HELD_OUT = 10, 0
 #: Bytes of a bucket, about, and bytes whose windows are numbered at once.
-BUCKET_BYTES, CHUNK = 24_000_000, 4_000_000
+BUCKET_BYTES, CHUNK = 14_000_000, 2_000_000
 SMOOTH = 0.1
 #: Bytes of the longest context; a window has one more, and its number must fit into a long.
 ORDER = 4

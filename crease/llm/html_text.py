@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 WINDOW = 3
 #: Without an article element, stretches with fewer characters than this share of the longest go.
 LEAST_SHARE = 0.25
-#: Stretches with more link text than this share are menus.
+#: Lines and stretches with more link text than this share are menus, outside an article.
 MOST_LINKS = 0.6
 
 #: Elements whose content is never text of the article.
@@ -129,6 +129,8 @@ def main_text(page: str | None) -> str:
     lines = lines_of(page)
     if any(inside for _, _, inside in lines):
         lines = [line if line[2] else ("", 0, False) for line in lines]
+    else:
+        lines = [("", 0, False) if links > MOST_LINKS * len(text) else (text, links, inside) for text, links, inside in lines]
     lengths = [len(text) for text, _, _ in lines]
     ends = [sum(lengths[i : i + WINDOW]) for i in range(len(lines))]
     stretches: list[list[int]] = []

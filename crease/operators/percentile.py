@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from crease.operators.running import ROWS_PER_TASK, running_totals
 from crease.session import staged
 
+_ROW = "__row"
+
 Metrics = dict[str, tuple[Column, Column]]
 
 
@@ -41,7 +43,8 @@ def percentile_scores(
     values = [
         F.when(member, value.cast("double")).alias(column) for column, value, member in parts.values()
     ]
-    rows = staged(df.select(*ids, *values), "pool")
+    # The row number is stored, so equal rows stay rows of their own.
+    rows = staged(df.select(*ids, *values, F.monotonically_increasing_id().alias(_ROW)), "pool")
     columns = {name: column for name, (column, _, _) in parts.items()}
     if rows.count() <= rows_per_task:
         return _by_window(rows, ids, columns, within)
@@ -68,17 +71,21 @@ def _by_value(rows: DataFrame, ids: list[str], columns: dict[str, str], within:
     entries = F.array(
         *(F.struct(F.lit(name).alias("metric"), F.col(column).alias("value")) for name, column in columns.items())
     )
+    # One key for the pool: a NULL in it is a value like any other.
+    key = F.to_json(F.struct(*within)) if within else F.lit("")
     entries = (
-        rows.select(*ids, F.explode(entries).alias("e"))
-        .select(*ids, "e.metric", "e.value")
+        rows.select(_ROW, key.alias("__pool"), F.explode(entries).alias("e"))
+        .select(_ROW, "__pool", "e.metric", "e.value")
         .filter(F.col("value").isNotNull())
     )
-    pool = [*within, "metric"]
+    pool = ["__pool", "metric"]
+    # NaN is the largest value, as in a sort.
+    floor = lambda c: F.when(F.isnan("value"), F.lit(2**62)).otherwise(F.floor(c))
     counted = (
         entries.groupBy(*pool, "value")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("whole", F.floor("value"))
-        .withColumn("fine", F.floor(F.col("value") * 1024))
+        .withColumn("whole", floor(F.col("value")))
+        .withColumn("fine", floor(F.col("value") * 1024))
     )
     upto = running_totals(counted, pool, ["whole", "fine"], ["value"], {"at_or_below": F.col("n")})
     size = counted.groupBy(*pool).agg(F.sum("n").alias("size"))
@@ -87,17 +94,11 @@ def _by_value(rows: DataFrame, ids: list[str], columns: dict[str, str], within:
     )
     # Only pool members are joined: rows outside of it would share one empty value.
     # The score side has one row per value, so a much shared value can be split.
-    scored = entries.join(score, [*pool, "value"]).select(*ids, "metric", "score")
-    outside = rows.select(
-        *ids, F.lit(None).cast("string").alias("metric"), F.lit(None).cast("double").alias("score")
+    scored = (
+        entries.join(score, [*pool, "value"])
+        .groupBy(_ROW)
+        .agg(*(F.max(F.when(F.col("metric") == name, F.col("score"))).alias(name) for name in columns))
     )
-    return (
-        scored.unionByName(outside)
-        .groupBy(*ids)
-        .agg(
-            *(
-                F.coalesce(F.max(F.when(F.col("metric") == name, F.col("score"))), F.lit(0.0)).alias(name)
-                for name in columns
-            )
-        )
+    return rows.select(*ids, _ROW).join(scored, _ROW, "left").select(
+        *ids, *(F.coalesce(F.col(name), F.lit(0.0)).alias(name) for name in columns)
     )

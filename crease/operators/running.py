@@ -81,7 +81,8 @@ def running_totals(
 
     The measures must be whole numbers (their sums are exact in any grouping) and
     the keys and path columns must not be NULL. ``order`` must tell rows of a block
-    apart.
+    apart. NULL values of a measure do not count; a total is NULL until the first
+    value that is none, whatever the blocks.
     """
     names = list(measures)
     block = [*keys, *path]
@@ -91,12 +92,12 @@ def running_totals(
         return inside
     totals = df.groupBy(*block).agg(*(F.sum(m).cast("bigint").alias(n) for n, m in measures.items()))
     before = _totals_before(totals, list(keys), list(path), names)
-    before = before.filter(_any_nonzero(names)).select(
+    before = before.filter(_any_value(names)).select(
         *block, *(F.col(n).alias(_BEFORE + n) for n in names)
     )
     return (
         inside.join(before, block, "left")
-        .withColumns({n: F.col(n) + F.coalesce(F.col(_BEFORE + n), F.lit(0)) for n in names})
+        .withColumns({n: _plus(F.col(n), F.col(_BEFORE + n)) for n in names})
         .drop(*(_BEFORE + n for n in names))
     )
 
@@ -116,21 +117,23 @@ def _totals_before(totals: DataFrame, keys: list[str], path: list[str], names: l
     """Per block, the sums over all earlier blocks of the same key."""
     outer, last = path[:-1], path[-1]
     earlier = W.partitionBy(*keys, *outer).orderBy(last).rowsBetween(W.unboundedPreceding, -1)
-    here = totals.withColumns({_BEFORE + n: F.coalesce(F.sum(n).over(earlier), F.lit(0)) for n in names})
+    here = totals.withColumns({_BEFORE + n: F.sum(n).over(earlier) for n in names})
     here = here.select(*keys, *path, *(F.col(_BEFORE + n).alias(n) for n in names))
     if not outer:
         return here
     coarse = totals.groupBy(*keys, *outer).agg(*(F.sum(n).cast("bigint").alias(n) for n in names))
-    above = _totals_before(coarse, keys, outer, names).filter(_any_nonzero(names))
+    above = _totals_before(coarse, keys, outer, names).filter(_any_value(names))
     above = above.select(*keys, *outer, *(F.col(n).alias(_BEFORE + n) for n in names))
     joined = here.join(above, [*keys, *outer], "left")
     return joined.select(
-        *keys, *path, *((F.col(n) + F.coalesce(F.col(_BEFORE + n), F.lit(0))).alias(n) for n in names)
+        *keys, *path, *(_plus(F.col(n), F.col(_BEFORE + n)).alias(n) for n in names)
     )
 
 
-def _any_nonzero(names: Sequence[str]) -> Column:
-    condition = F.col(names[0]) != 0
-    for name in names[1:]:
-        condition = condition | (F.col(name) != 0)
-    return condition
+def _plus(one: Column, other: Column) -> Column:
+    """The sum; of a value and NULL the value."""
+    return F.coalesce(one + other, one, other)
+
+
+def _any_value(names: Sequence[str]) -> Column:
+    return F.coalesce(*names).isNotNull()

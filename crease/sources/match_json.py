@@ -48,10 +48,10 @@ def good_documents(scanned: DataFrame) -> DataFrame:
 
 
 def skipped_files(scanned: DataFrame) -> DataFrame:
-    """Files that could not be read, with the reason."""
+    """Files that could not be read, with the reason and the whole record."""
     # Naming a second column matters: Spark refuses to read the corrupt record alone.
     extent = F.when(F.col("info").isNull(), "no").otherwise("only partly a")
-    reason = F.concat(extent, F.lit(" valid match document: "), F.substring(CORRUPT, 1, 200))
+    reason = F.concat(extent, F.lit(" valid match document: "), F.col(CORRUPT))
     return scanned.filter(F.col(CORRUPT).isNotNull()).select("file", reason.alias("error"))
 
 

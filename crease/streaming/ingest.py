@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from crease.operators.checkpoints import checkpoint_frame
 from crease.operators.normalize import deliveries_table, normalized_tables
-from crease.session import shared_folder, staged
+from crease.session import staged
 from crease.sources.match_json import good_documents, scan_documents, skipped_files
 from crease.sources.tables import write_table
 
@@ -20,11 +20,12 @@ def arriving_documents(spark: SparkSession, folder: str, files_per_batch: int =
     return scan_documents(spark, folder, stream=True, maxFilesPerTrigger=files_per_batch)
 
 
-def store_tables(documents: DataFrame, target: str, name: str = "match_tables") -> StreamingQuery:
+def store_tables(documents: DataFrame, target: str) -> StreamingQuery:
     """Write the tables of each micro-batch below ``target`` and stop when all is read.
 
     A batch replaces its own part, ``<table>/batch=<n>``, so a batch that runs again
-    after a failure leaves no second copy.
+    after a failure leaves no second copy. The progress lies beside the tables it counts
+    for, so each target gets all documents, and a later run goes on where one ended.
     """
 
     def store(batch: DataFrame, number: int) -> None:
@@ -35,10 +36,9 @@ def store_tables(documents: DataFrame, target: str, name: str = "match_tables")
         for table, rows in tables.items():
             write_table(rows, f"{target}/{table}/batch={number}")
 
-    progress = f"{shared_folder(documents.sparkSession)}/stream-{name}"
     return (
         documents.writeStream.foreachBatch(store)
-        .option("checkpointLocation", progress)
+        .option("checkpointLocation", f"{target}/_progress")
         .trigger(availableNow=True)
         .start()
     )

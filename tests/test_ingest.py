@@ -197,7 +197,7 @@ def test_rebalanced_partitions_keep_all_rows(spark, tmp_path):
 
 def test_stream_gives_the_batch_tables(spark, folder, documents, tmp_path):
     target = str(tmp_path / "stream")
-    query = store_tables(arriving_documents(spark, folder, files_per_batch=2), target, name=tmp_path.name)
+    query = store_tables(arriving_documents(spark, folder, files_per_batch=2), target)
     query.awaitTermination()
     assert query.exception() is None
     for name, table in normalize.normalized_tables(documents).items():

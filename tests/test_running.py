@@ -138,6 +138,27 @@ def test_equal_values_all_get_the_largest_share(spark, rows_per_task):
     assert {r["id"]: r["p"] for r in found.collect()} == {1: 75.0, 2: 75.0, 3: 100.0, 4: 25.0}
 
 
+@BOTH_WAYS
+def test_percentiles_of_null_pools_nan_and_repeated_rows(spark, rows_per_task):
+    data = [(1, None, 2.0), (2, None, 3.0), (3, "a", 3.0), (4, "a", float("nan")), (5, "b", 1.0), (5, "b", 1.0)]
+    df = spark.createDataFrame(data, "id int, pool string, x double")
+    found = percentile_scores(df, ["id", "pool"], {"p": (F.col("x"), F.lit(True))}, ["pool"], rows_per_task)
+    assert sorted((r["id"], r["p"]) for r in found.collect()) == [
+        (1, 50.0), (2, 100.0), (3, 50.0), (4, 100.0), (5, 100.0), (5, 100.0),
+    ]
+
+
+@pytest.mark.parametrize("path", [[], ["a"], ["a", "b"]])
+def test_totals_of_a_measure_with_nulls(spark, path):
+    values = [None, None, 5, None, 0, 4, None, -9, None, None, 2, None]
+    data = [("k", n // 6, n // 2, n, v) for n, v in enumerate(values)] + [("z", 0, 0, 0, None), ("z", 1, 3, 1, None)]
+    df = spark.createDataFrame(data, "key string, a int, b int, n int, x int")
+    found = running_totals(df, ["key"], path, ["n"], {"t": F.col("x")})
+    got = [r["t"] for r in found.filter("key = 'k'").orderBy("n").collect()]
+    assert got == [None, None, 5, 5, 5, 9, 9, 0, 0, 0, 2, 2]
+    assert [r["t"] for r in found.filter("key = 'z'").collect()] == [None, None]
+
+
 def test_split_is_exact_stable_and_by_unit(spark):
     data = [(u, s, n) for u in range(500) for s in [None if u % 5 == 0 else f"s{u % 2}"] for n in range(3)]
     df = spark.createDataFrame(data, "unit int, stratum string, n int")

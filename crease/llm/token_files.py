@@ -37,7 +37,7 @@ TOKENIZER, END = public_tokenizers.path("byte_bpe_50k.json"), 2
 #: Ids of a sequence, sequences of a batch, and ids from which on a file is closed.
 LENGTH, BATCH, FILE_IDS = 2048, 256, 4_000_000
 #: Bytes of a range, about, and pieces whose ids a task remembers.
-RANGE_BYTES, REMEMBERED = 48_000_000, 600_000
+RANGE_BYTES, REMEMBERED = 48_000_000, 1_000_000
 
 
 #: White space beside a blank or a line end: only the tokenizer itself knows how to cut there.

@@ -70,4 +70,55 @@ QUERIES: dict[str, Query] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_source_mix": r"""
+with sizes as (
+  select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
+    cast('0x' || substr(md5('mix:' || coalesce(cast(doc_id as varchar), '')), 1, 15) as bigint) as h
+  from documents),
+per as (
+  select source, cast(sum(size) as bigint) as source_size, row_number() over (order by source nulls last) as src
+  from sizes group by source),
+weighed as (
+  select *, ([3, 1, 2])[(src - 1) % 3 + 1] as weight, cast(sum(source_size) over () as bigint) as total from per),
+levels as (
+  select *, coalesce(sum(source_size) over (order by source_size / weight, src
+      rows between unbounded preceding and 1 preceding), 0) as before,
+    sum(weight) over (order by source_size / weight, src rows between current row and unbounded following) as rest
+  from weighed),
+full_ones as (select *, 2e0 * source_size / weight <= (1.5e0 * total - 2 * before) / rest as is_full from levels),
+open_ones as (
+  select *, sum(case when is_full then 2 * source_size else 0 end) over () as gone,
+    sum(case when is_full then 0 else weight end) over () as left_over from full_ones),
+goals as (
+  select *, case when is_full then 2e0 * source_size else weight * (1.5e0 * total - gone) / left_over end as target from open_ones),
+whole as (select *, cast(floor(target) as bigint) as words from goals),
+cut as (
+  select *, sum(words) over (order by src) as upto, sum(words) over () as goal,
+    greatest(1, least(4096, total // 1048576)) as block_words from whole),
+parts as (
+  select *, ((upto - words) * 262144) // goal as lo, (upto * 262144) // goal as hi,
+    cast(ceil(source_size / block_words) as bigint) as blocks from cut),
+cells as (
+  select p.src, p.blocks, p.hi - p.lo as n, list_sum([((c.cell >> b) & 1) << (17 - b) for b in range(18)]) as turn
+  from parts p join range(262144) c(cell) on c.cell >= p.lo and c.cell < p.hi),
+ranked as (select *, row_number() over (partition by src order by turn) - 1 as place from cells),
+line as (
+  select r.src, r.blocks, (s.slot // 262144) * r.n + r.place as nth
+  from (select unnest(range(cast((select round_even(max(goal) / max(block_words), 0) from parts) as bigint))) as slot) s
+  join ranked r on r.turn = s.slot % 262144),
+slots as (select src, nth % blocks as block from line where nth // blocks < 2),
+times as (select src, block, count(*) as n from slots group by src, block),
+laid as (
+  select d.doc_id, d.size, p.src, p.source_size, p.target, p.block_words,
+    cast(sum(d.size) over (partition by p.src order by d.h, d.doc_id, d.size rows unbounded preceding) as bigint) - d.size as start
+  from sizes d join parts p on d.source is not distinct from p.source),
+pieces as (
+  select *, unnest(range(start // block_words, (start + size - 1) // block_words + 1)) as block from laid where size > 0),
+taken as (
+  select q.src, q.start, sum((least(q.start + q.size, (q.block + 1) * q.block_words) - greatest(q.start, q.block * q.block_words)) * t.n) as words
+  from pieces q join times t on t.src = q.src and t.block = q.block group by q.src, q.start)
+select l.doc_id, l.size, cast(l.source_size as bigint) as source_size, l.target, cast(coalesce(t.words, 0) as bigint) as taken
+from laid l left join taken t on t.src = l.src and t.start = l.start and l.size > 0
+""",
+}

@@ -71,6 +71,30 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op4_jaccard_join": r"""
+with recursive split_up as (
+  select doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') as w
+  from documents),
+shingles as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+    else [array_to_string(w[i : i + 3], ' ') for i in range(1, len(w) - 2)] end) as shingle
+  from split_up),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as both
+  from shingles a join shingles b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by all),
+links as (
+  select c.a, c.b from common c join sizes x on x.doc_id = c.a join sizes y on y.doc_id = c.b
+  where 100 * c.both >= 85 * (x.n + y.n - c.both)),
+reach as (
+  select doc_id, doc_id as root from documents
+  union
+  select r.doc_id, l.b from reach r join links l on l.a = r.root)
+select r.doc_id, cast(coalesce(max(s.n), 0) as bigint) as n_shingles, min(r.root) as component_id
+from reach r left join sizes s on s.doc_id = r.doc_id group by r.doc_id
+""",
     "op9_source_mix": r"""
 with sizes as (
   select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,

@@ -70,7 +70,57 @@ QUERIES: dict[str, Query] = {
     )
 }
 
+_LEAST = " ".join(
+    f"when {' or '.join(f'{rule} > {cuts[level]!r}' for rule, cuts in quality.RULES.items())} then {level}"
+    for level in range(quality.LEVELS)
+)
+
 ORACLE: dict[str, str] = {
+    "op7_quality_rules": r"""
+with split_up as (
+  select doc_id, lang, coalesce(text, '') as t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+  from documents),
+threes as (
+  select doc_id, unnest(range(1, len(w) - 1)) as i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as three
+  from split_up where len(w) > 2),
+twice as (select doc_id, i from threes qualify count(*) over (partition by doc_id, three) > 1),
+covered as (select doc_id, unnest([i, i + 1, i + 2]) as place from twice),
+repeated as (select doc_id, count(distinct place) as n from covered group by doc_id),
+counts as (
+  select s.doc_id, lang, len(w) as n_words, len(list_distinct(w)) as n_distinct, len(lines) as n_lines,
+    cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint) as word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as n_symbols, length(regexp_replace(t, '[^A-Z]', '', 'g')) as n_upper,
+    len(lines) - len(list_distinct(lines)) as n_dup_lines, coalesce(r.n, 0) as n_repeat_words
+  from split_up s left join repeated r on r.doc_id = s.doc_id),
+shares as (
+  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+    coalesce(n_symbols / nullif(word_chars, 0), 0e0) as symbol_share, coalesce(n_upper / nullif(word_chars, 0), 0e0) as upper_share,
+    coalesce(n_repeat_words / nullif(n_words, 0), 0e0) as repeat_share, coalesce(n_dup_lines / nullif(n_lines, 0), 0e0) as dup_line_share,
+    coalesce((n_words - n_distinct) / nullif(n_words, 0), 0e0) as reuse_share,
+    case when lang in ('en', 'de', 'fr', 'es') then lang else 'other' end as stratum
+  from counts),
+ranked as (select *, case @LEAST@ else 10 end as least from shares),
+known as (select doc_id, max(quality) as quality from labels where quality in (0, 1) group by doc_id),
+held as (select r.stratum, r.least, k.quality from ranked r join known k on k.doc_id = r.doc_id where not base_failed),
+tests as (
+  select stratum, level, count(*) filter (quality = 1) as n, count(*) filter (quality = 1 and least <= level) as k,
+    count(*) filter (quality = 0 and least <= level) as junk
+  from held, range(10) l(level) group by stratum, level),
+bounds as (
+  select *, case when k >= n * 0.05e0 then 1e0 else list_sum([exp(lgamma(n + 1) - lgamma(j + 1)
+    - (case when n - j > 0 then lgamma(n - j + 1) else 0 end) + j * ln(0.05e0) + (n - j) * ln(0.95e0)) for j in range(k + 1)]) end as p
+  from tests),
+stops as (select stratum, coalesce(min(level) filter (p > 0.1e0 / 5), 10) as stop from bounds group by stratum),
+used as (
+  select b.stratum, b.level from bounds b join stops s on s.stratum = b.stratum where b.level < s.stop and b.junk > 10 * b.k
+  qualify row_number() over (partition by b.stratum order by b.junk - 10 * b.k desc, b.level) = 1)
+select r.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and not coalesce(r.least <= u.level, false) as kept,
+  symbol_share, upper_share, repeat_share, dup_line_share, reuse_share
+from ranked r left join used u on u.stratum = r.stratum
+""".replace("@LEAST@", _LEAST),
     "op4_jaccard_join": r"""
 with recursive split_up as (
   select doc_id, list_filter(regexp_split_to_array(

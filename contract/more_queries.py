@@ -131,9 +131,17 @@ def _(spark, sf):
         "ts",
         (F.col("event_type") != "error").cast("int").alias("legal"),
         F.round(F.col("value") * 100).cast("bigint").alias("amount"),
+        F.to_date("ts").alias("day"),
+        F.hour("ts").alias("hour"),
     )
     return checkpoints.over_snapshots(
-        events, ["user_id"], ["ts", "event_id"], F.col("legal"), {"cents": F.col("amount")}, carry=["event_id"]
+        events,
+        ["user_id"],
+        ["ts", "event_id"],
+        F.col("legal"),
+        {"cents": F.col("amount")},
+        carry=["event_id"],
+        path=["day", "hour"],
     )
 
 

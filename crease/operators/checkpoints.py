@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from crease import constants as K
 from crease.functions.scalars import flag, present, ratio
-from crease.operators.running import ROWS_PER_TASK, bounded_blocks, running_totals
+from crease.operators.running import running_totals
 
 
 def over_snapshots(
@@ -21,8 +21,7 @@ def over_snapshots(
     carry: Sequence[str] = (),
     balls_per_over: int = K.BALLS_PER_OVER,
     dedupe: str | None = None,
-    rows_per_task: int | None = ROWS_PER_TASK,
-    size_keys: Sequence[str] | None = None,
+    path: Sequence[str] = (),
 ) -> DataFrame:
     """State after every ball at which the count of legal balls is a full number of overs.
 
@@ -36,21 +35,17 @@ def over_snapshots(
     So the totals since the last snapshot are sums, formed before the shuffle, and no
     ball looks for an earlier snapshot.
 
-    ``rows_per_task=None`` skips the check of the size of the keys, for innings that
-    are known to be small, such as those parsed from one document each. ``size_keys``
-    are those of the keys that tell innings apart, if fewer than all do.
+    ``path`` are columns that cut the order into blocks small enough for a task, see
+    :func:`running_totals`; without them a key must be small. Keys and path are not NULL.
     """
     if dedupe not in (None, "last"):
         raise ValueError("dedupe is None or 'last'")
     keys, names, order = list(keys), list(measures), list(order)
     balls = balls.withColumns({f"__{n}": m for n, m in measures.items()}).withColumn("__legal", legal)
-    path: list[str] = []
-    if rows_per_task is not None:
-        balls, path, order = bounded_blocks(balls, list(size_keys or keys), order, rows_per_task)
     counted = running_totals(
         balls,
         keys,
-        path,
+        list(path),
         order,
         {"balls_bowled": F.col("__legal"), "__place": F.lit(1), **{n: F.col(f"__{n}") for n in names}},
     )
@@ -79,16 +74,16 @@ def over_checkpoints(
     balls_per_over: int = K.BALLS_PER_OVER,
     max_overs: int = K.OVERS_PER_INNINGS,
     dedupe: str | None = None,
-    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Score, wickets and rates at the end of each over of decided matches.
 
-    ``order`` puts the balls of an innings in sequence.
+    ``order`` puts the balls of an innings in sequence and begins with the number of the
+    over, which cuts the innings into blocks; a ball without one comes before all others.
     """
     keys = ["match_id", "season", "innings", "batting_team", "winner"]
     known = F.col("season").isNotNull() & F.col("innings").isNotNull() & F.col("match_id").isNotNull()
     balls = deliveries.filter(present("winner", "batting_team") & known).select(
-        *keys, *order, "total_runs", "wicket_count", "is_legal_ball"
+        *keys, *order, "total_runs", "wicket_count", "is_legal_ball", F.coalesce(order[0], F.lit(-1)).alias("__over")
     )
     ends = over_snapshots(
         balls,
@@ -99,8 +94,7 @@ def over_checkpoints(
         (),
         balls_per_over,
         dedupe,
-        rows_per_task,
-        size_keys=["match_id", "innings"],
+        path=["__over"],
     )
     return ends.select(
         "match_id",

@@ -1,11 +1,9 @@
 """Percentile scores: share of the pool at or below a value, times 100.
 
-The rows (one per player or team) are stored first, so what they are made of is read
-once, and counted. If they fit a task, each score is a window over the stored rows.
-Beyond that, the pool is reduced to one row per distinct value, the counts are summed up
-along the values with :func:`running_totals`, and the share is joined back by value; all
-metrics of a call go through one pass, as one long table, whose blocks are the whole part
-and the 1024ths of a value. Both ways give the same scores.
+The pool is reduced to one row per distinct value, the counts are summed up along the
+values with :func:`running_totals`, and the share is joined back by value; all metrics of
+a call go through one pass, as one long table. Blocks are the leading bits of a value, so
+each holds a bounded number of distinct values, however the values lie.
 """
 
 from __future__ import annotations
@@ -13,92 +11,76 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from crease.operators.running import ROWS_PER_TASK, running_totals
-from crease.session import staged
+from crease.operators.running import running_totals
 
-_ROW = "__row"
+#: Parts into which the values of a pool are dealt to meet its size.
+SALTS = 64
 
 Metrics = dict[str, tuple[Column, Column]]
 
 
+def ordered_bits(value: Column) -> Column:
+    """Whole number that has the order of a double; NaN is the largest, as in a sort."""
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value).cast("bigint")
+    # Larger numbers below zero have smaller bits: turn them round.
+    return F.when(bits < 0, bits.bitwiseXOR(F.lit(2**63 - 1))).otherwise(bits)
+
+
 def percentile_scores(
-    df: DataFrame,
-    ids: Sequence[str],
-    metrics: Metrics,
-    within: Sequence[str] = (),
-    rows_per_task: int = ROWS_PER_TASK,
+    df: DataFrame, ids: Sequence[str], metrics: Metrics, within: Sequence[str] = ()
 ) -> DataFrame:
     """One row per ``ids`` with a percentile column per metric.
 
     ``metrics`` maps an output name to (value, is in the pool). Rows outside the
-    pool get 0.0. ``within`` names the columns that separate pools, besides the
-    metric; they must be among ``ids``. A pool keeps its ties: equal values get an
-    equal score, and the largest gets 100.
+    pool, and rows without a value, get 0.0. ``within`` names the columns that separate
+    pools, besides the metric; they must be among ``ids``, and NULL is a pool of its own.
+    A pool keeps its ties: equal values get an equal score, and the largest gets 100.
+    Repeated rows count, and come out, as often as they are there.
     """
     ids, within = list(ids), list(within)
-    parts = {name: (f"__v{i}", value, member) for i, (name, (value, member)) in enumerate(metrics.items())}
-    values = [
-        F.when(member, value.cast("double")).alias(column) for column, value, member in parts.values()
-    ]
-    # The row number is stored, so equal rows stay rows of their own.
-    rows = staged(df.select(*ids, *values, F.monotonically_increasing_id().alias(_ROW)), "pool")
-    columns = {name: column for name, (column, _, _) in parts.items()}
-    if rows.count() <= rows_per_task:
-        return _by_window(rows, ids, columns, within)
-    return _by_value(rows, ids, columns, within)
-
-
-def _by_window(rows: DataFrame, ids: list[str], columns: dict[str, str], within: list[str]) -> DataFrame:
-    """Scores by one window per metric; for pools that fit a task.
-
-    Rows outside a pool have no value, so they come first and are not counted. All
-    windows share one partitioning.
-    """
-    scores = {}
-    for name, column in columns.items():
-        pool = W.partitionBy(*within)
-        upto = pool.orderBy(column).rangeBetween(W.unboundedPreceding, W.currentRow)
-        share = F.lit(100.0) * F.count(column).over(upto) / F.count(column).over(pool)
-        scores[name] = F.when(F.col(column).isNotNull(), share).otherwise(F.lit(0.0))
-    return rows.select(*ids, *(score.alias(name) for name, score in scores.items()))
-
-
-def _by_value(rows: DataFrame, ids: list[str], columns: dict[str, str], within: list[str]) -> DataFrame:
-    """Scores by counts per distinct value; for pools of any size."""
+    columns = {name: f"__v{i}" for i, name in enumerate(metrics)}
+    values = [F.when(member, value.cast("double")).alias(columns[name]) for name, (value, member) in metrics.items()]
+    own = [*ids, *columns.values()]
+    # Equal rows are one row with a count, which is its own key in the joins below.
+    rows = df.select(*ids, *values).groupBy(*own).agg(F.count(F.lit(1)).alias("__copies"))
     entries = F.array(
         *(F.struct(F.lit(name).alias("metric"), F.col(column).alias("value")) for name, column in columns.items())
     )
     # One key for the pool: a NULL in it is a value like any other.
     key = F.to_json(F.struct(*within)) if within else F.lit("")
-    entries = (
-        rows.select(_ROW, key.alias("__pool"), F.explode(entries).alias("e"))
-        .select(_ROW, "__pool", "e.metric", "e.value")
-        .filter(F.col("value").isNotNull())
+    entries = rows.select(*own, "__copies", key.alias("__pool"), F.explode(entries).alias("e")).select(
+        *own, "__copies", "__pool", F.col("e.metric").alias("__metric"), F.col("e.value").alias("__value")
     )
-    pool = ["__pool", "metric"]
-    # NaN is the largest value, as in a sort.
-    floor = lambda c: F.when(F.isnan("value"), F.lit(2**62)).otherwise(F.floor(c))
+    pool = ["__pool", "__metric"]
+    members = entries.filter(F.col("__value").isNotNull())
     counted = (
-        entries.groupBy(*pool, "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("whole", floor(F.col("value")))
-        .withColumn("fine", floor(F.col("value") * 1024))
+        members.groupBy(*pool, "__value")
+        .agg(F.sum("__copies").alias("__n"))
+        .withColumn("__bits", ordered_bits(F.col("__value")))
+        .withColumns({"__coarse": F.shiftright("__bits", 43), "__fine": F.shiftright("__bits", 21)})
     )
-    upto = running_totals(counted, pool, ["whole", "fine"], ["value"], {"at_or_below": F.col("n")})
-    size = counted.groupBy(*pool).agg(F.sum("n").alias("size"))
-    score = upto.join(size, pool).select(
-        *pool, "value", (F.lit(100.0) * F.col("at_or_below") / F.col("size")).alias("score")
+    upto = running_totals(counted, pool, ["__coarse", "__fine"], ["__value"], {"__upto": F.col("__n")})
+    # A pool may hold all values, so its size is put beside each part of them.
+    parts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    size = counted.groupBy(*pool).agg(F.sum("__n").alias("__size")).withColumn("__salt", parts)
+    part = F.pmod(F.hash("__value"), F.lit(SALTS))
+    score = (
+        upto.withColumn("__salt", part)
+        .join(size, [*pool, "__salt"])
+        .select(*pool, "__value", (F.lit(100.0) * F.col("__upto") / F.col("__size")).alias("__score"))
     )
-    # Only pool members are joined: rows outside of it would share one empty value.
-    # The score side has one row per value, so a much shared value can be split.
-    scored = (
-        entries.join(score, [*pool, "value"])
-        .groupBy(_ROW)
-        .agg(*(F.max(F.when(F.col("metric") == name, F.col("score"))).alias(name) for name in columns))
+    # Only members are joined: all other rows share one empty value. The score side has
+    # one row per value, so a much shared value can be split.
+    scored = members.join(score, [*pool, "__value"]).select(*own, "__copies", "__metric", "__score")
+    outside = entries.filter(F.col("__value").isNull()).select(
+        *own, "__copies", "__metric", F.lit(0.0).alias("__score")
     )
-    return rows.select(*ids, _ROW).join(scored, _ROW, "left").select(
-        *ids, *(F.coalesce(F.col(name), F.lit(0.0)).alias(name) for name in columns)
+    return (
+        scored.unionByName(outside)
+        .groupBy(*own, "__copies")
+        .agg(*(F.max(F.when(F.col("__metric") == name, F.col("__score"))).alias(name) for name in columns))
+        .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies"))))
+        .select(*ids, *columns)
     )

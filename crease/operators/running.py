@@ -10,65 +10,18 @@ summed up level by level in the same way.
 must not decrease along the order. A block is one value of the whole tuple; it must
 hold few enough rows for one task. Each level must have few enough values under one
 value of the level above. An empty path is for keys known to be small.
-
-Where no column cuts the order, :func:`bounded_blocks` checks how many rows the
-largest key has and, only if they are too many, makes blocks by a range shuffle.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from crease.session import staged
-
 _BEFORE = "__before_"
 
-# Most rows of a key that one task is given.
-ROWS_PER_TASK = 1_000_000
-
-# Most keys that are sent to every task as a list.
-SHORT_LIST = 100_000
-
-
-def bounded_blocks(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int = ROWS_PER_TASK
-) -> tuple[DataFrame, list[str], list[str]]:
-    """The rows, and a path and order for :func:`running_totals` with no large block.
-
-    One aggregate over the keys alone tells the largest group. If it fits a task, the
-    path is empty and nothing is moved. Otherwise the rows of the large keys, and only
-    they, are shuffled by range of key and order, so that a key is spread over as many
-    partitions as it needs, and are written with the number of their partition as the
-    block. A row number keeps equal rows apart, so many copies of one row are spread
-    as well. ``keys`` may be some of the keys of the totals.
-    """
-    keys, order = list(keys), list(order)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    large = sizes.filter(F.col("__n") > limit)
-    count, rows = large.agg(F.count(F.lit(1)), F.sum("__n")).first()
-    if not count:
-        return df, [], order
-    names = staged(large.select(*keys), "large_keys")
-    if count <= SHORT_LIST:
-        names = F.broadcast(names)
-    # The row number is stored before it takes part in a shuffle: a task that runs again
-    # may number its rows in another way, and a row must not change its place then.
-    numbered = staged(
-        df.join(names, keys, "left_semi").withColumn("__copy", F.monotonically_increasing_id()), "large"
-    )
-    spread = numbered.repartitionByRange(2 * math.ceil(rows / limit), *keys, *order, "__copy").withColumn(
-        "__block", F.spark_partition_id()
-    )
-    rest = df.join(names, keys, "left_anti").withColumns(
-        {"__copy": F.lit(0).cast("bigint"), "__block": F.lit(0)}
-    )
-    return rest.unionByName(staged(spread, "blocks")), ["__block"], [*order, "__copy"]
-
 
 def running_totals(
     df: DataFrame,

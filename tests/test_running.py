@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from crease.operators.checkpoints import over_snapshots
 from crease.operators.evaluate import roc_auc
 from crease.operators.features import training_split
-from crease.operators.percentile import percentile_scores
-from crease.operators.running import bounded_blocks, row_numbers, running_totals
+from crease.operators.percentile import ordered_bits, percentile_scores
+from crease.operators.running import row_numbers, running_totals
 
 
 def make_balls(seed, keys=7, most=4000):
@@ -66,16 +66,16 @@ def fold(data, dedupe):
     return out
 
 
-def snapshots(df, dedupe, rows_per_task):
+def snapshots(df, dedupe, width):
     found = over_snapshots(
-        df,
+        df.withColumn("block", F.floor(F.col("n") / (width or 1))),
         ["key"],
         ["n"],
         F.col("legal"),
         {"r": F.col("runs"), "w": F.col("wickets")},
         carry=["n"],
         dedupe=dedupe,
-        rows_per_task=rows_per_task,
+        path=["block"] if width else [],
     )
     return {
         (x["key"], x["n"]): (x["over_number"], x["balls_bowled"], x["r"], x["w"], x["last_r"], x["last_w"])
@@ -83,39 +83,29 @@ def snapshots(df, dedupe, rows_per_task):
     }
 
 
-# The largest key has 4,000 balls: it fits one task, is cut into blocks, or is not checked.
-@pytest.mark.parametrize("rows_per_task", [10_000, 500, None])
+# Balls of one key in blocks of one, of some, of all, and not cut.
+@pytest.mark.parametrize("width", [1, 37, 100_000, None])
 @pytest.mark.parametrize("dedupe", [None, "last"])
 @pytest.mark.parametrize("seed", [2, 3])
-def test_snapshots_equal_a_sequential_fold(spark, seed, dedupe, rows_per_task):
+def test_snapshots_equal_a_sequential_fold(spark, seed, dedupe, width):
     data = make_balls(seed)
-    assert snapshots(spark.createDataFrame(data, COLUMNS), dedupe, rows_per_task) == fold(data, dedupe)
+    assert snapshots(spark.createDataFrame(data, COLUMNS), dedupe, width) == fold(data, dedupe)
 
 
-def test_a_large_key_is_spread_and_so_are_copies_of_a_row(spark):
-    data = [(0, 5, 1, 1, 0)] * 3000 + [(1, n, 1, 1, 0) for n in range(30)]
-    df = spark.createDataFrame(data, COLUMNS)
-    blocks, path, order = bounded_blocks(df, ["key"], ["n"], limit=200)
-    sizes = [r["count"] for r in blocks.groupBy("key", *path).count().collect()]
-    assert path == ["__block"] and max(sizes) <= 1000 and sum(sizes) == len(data)
-    assert blocks.filter("key = 1").select("__block").distinct().count() == 1
-    found = row_numbers(blocks, ["key"], path, order, "place").filter("key = 0")
-    assert found.select("place").distinct().count() == 3000
-    assert bounded_blocks(df, ["key"], ["n"], limit=3000)[1] == []
-
-
-# One window per metric when the rows fit a task, counts per value when they do not.
-BOTH_WAYS = pytest.mark.parametrize("rows_per_task", [1_000_000, 0])
+def test_bits_have_the_order_of_the_numbers(spark):
+    values = [float("-inf"), -1e300, -2.5, -1.0000000001, -1.0, -5e-324, 0.0, 5e-324, 0.1, 1.0, 7.25, 1e300, float("inf"), float("nan")]
+    df = spark.createDataFrame([(n, x) for n, x in enumerate(values)], "n int, x double")
+    found = [r["b"] for r in df.orderBy("n").select(ordered_bits(F.col("x")).alias("b")).collect()]
+    assert found == sorted(set(found)) and len(found) == len(values)
 
 
-@BOTH_WAYS
-def test_percentiles_keep_ties_and_pools(spark, rows_per_task):
+def test_percentiles_keep_ties_and_pools(spark):
     data = [(i, i % 3, float(chance)) for i, chance in enumerate(random.Random(5).choices(range(-40, 40), k=900))]
     data += [(1000 + i, 0, 7.25) for i in range(400)]
     df = spark.createDataFrame(data, "id int, pool int, x double")
     member = F.col("x") > -30
     metrics = {"up": (F.col("x"), member), "down": (-F.col("x"), member)}
-    found = percentile_scores(df, ["id", "pool"], metrics, ["pool"], rows_per_task)
+    found = percentile_scores(df, ["id", "pool"], metrics, ["pool"])
     got = {r["id"]: (r["up"], r["down"]) for r in found.collect()}
     for i, pool, x in data:
         values = [v for _, p, v in data if p == pool and v > -30]
@@ -124,25 +114,22 @@ def test_percentiles_keep_ties_and_pools(spark, rows_per_task):
         assert got[i] == (up, down)
 
 
-@BOTH_WAYS
-def test_percentile_of_an_empty_pool_is_zero(spark, rows_per_task):
+def test_percentile_of_an_empty_pool_is_zero(spark):
     df = spark.createDataFrame([(1, 2.0), (2, 3.0)], "id int, x double")
-    found = percentile_scores(df, ["id"], {"p": (F.col("x"), F.lit(False))}, rows_per_task=rows_per_task)
+    found = percentile_scores(df, ["id"], {"p": (F.col("x"), F.lit(False))})
     assert sorted((r["id"], r["p"]) for r in found.collect()) == [(1, 0.0), (2, 0.0)]
 
 
-@BOTH_WAYS
-def test_equal_values_all_get_the_largest_share(spark, rows_per_task):
+def test_equal_values_all_get_the_largest_share(spark):
     df = spark.createDataFrame([(1, 5.0), (2, 5.0), (3, 9.0), (4, 1.0)], "id int, x double")
-    found = percentile_scores(df, ["id"], {"p": (F.col("x"), F.lit(True))}, rows_per_task=rows_per_task)
+    found = percentile_scores(df, ["id"], {"p": (F.col("x"), F.lit(True))})
     assert {r["id"]: r["p"] for r in found.collect()} == {1: 75.0, 2: 75.0, 3: 100.0, 4: 25.0}
 
 
-@BOTH_WAYS
-def test_percentiles_of_null_pools_nan_and_repeated_rows(spark, rows_per_task):
+def test_percentiles_of_null_pools_nan_and_repeated_rows(spark):
     data = [(1, None, 2.0), (2, None, 3.0), (3, "a", 3.0), (4, "a", float("nan")), (5, "b", 1.0), (5, "b", 1.0)]
     df = spark.createDataFrame(data, "id int, pool string, x double")
-    found = percentile_scores(df, ["id", "pool"], {"p": (F.col("x"), F.lit(True))}, ["pool"], rows_per_task)
+    found = percentile_scores(df, ["id", "pool"], {"p": (F.col("x"), F.lit(True))}, ["pool"])
     assert sorted((r["id"], r["p"]) for r in found.collect()) == [
         (1, 50.0), (2, 100.0), (3, 50.0), (4, 100.0), (5, 100.0), (5, 100.0),
     ]

@@ -417,6 +417,22 @@ def _(spark, sf):
     return matchups.rename_teams(A.matches(spark, sf), _RENAMES).select("match_id", "team_1", "team_2", "winner")
 
 
+@register(
+    "p16_rename_by_table",
+    """
+select match_id, case when team_1 in ('T0', 'T2', 'T4', 'T6', 'T8') then 'New ' || team_1 else team_1 end as team_1,
+  case when team_2 in ('T0', 'T2', 'T4', 'T6', 'T8') then 'New ' || team_2 else team_2 end as team_2,
+  case when winner in ('T0', 'T2', 'T4', 'T6', 'T8') then 'New ' || winner else winner end as winner
+from matches
+""",
+)
+def _(spark, sf):
+    matches = A.matches(spark, sf)
+    old = matches.select(F.col("team_1").alias("old")).distinct().filter("cast(substr(old, 2) as int) % 2 = 0")
+    names = old.withColumn("new", F.concat(F.lit("New "), "old"))
+    return matchups.rename_by_table(matches, names).select("match_id", "team_1", "team_2", "winner")
+
+
 @register(
     "u02_symmetrize",
     RENAMED + """
@@ -449,11 +465,12 @@ def teams_at_home(spark, sf):
 , homes as (
   select team_1 as team, venue, count(*) as n from matches group by team_1, venue
   qualify row_number() over (partition by team_1 order by count(*) desc, venue) = 1)
-select h.team as home_team, a.team as away_team, h.venue from homes h join homes a on h.team <> a.team
+select distinct h.team as home_team, case when m.team_1 = h.team then m.team_2 else m.team_1 end as away_team, h.venue
+from homes h join matches m on h.team = m.team_1 or h.team = m.team_2
 """,
 )
 def _(spark, sf):
-    return matchups.fixtures(teams_at_home(spark, sf))
+    return matchups.pairings(A.matches(spark, sf, results=False), teams_at_home(spark, sf))
 
 
 @register("p20_distinct_venues", "select distinct venue from matches where venue is not null")

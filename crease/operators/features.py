@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from crease import constants as K
 from crease.functions.scalars import flag, floor_at_zero, is_boundary, is_dot, is_six, ratio, total
-from crease.operators.running import running_totals
+from crease.operators.running import beside_totals, running_totals
 
 INNINGS_KEY = ("match_id", "season", "innings", "batting_team")
 
@@ -163,7 +163,7 @@ def training_split(
     )
     if strata:
         sizes = units.groupBy(*stratum).agg(F.count(F.lit(1)).alias("__size"))
-        placed = placed.join(sizes, stratum)
+        placed = beside_totals(placed, sizes, stratum, F.col("__hash"))
     else:
         placed = placed.withColumn("__size", units.agg(F.count(F.lit(1))).scalar())
     sides = placed.select(
@@ -185,15 +185,18 @@ def season_decay_weight(frame: DataFrame, decay: float = K.SEASON_DECAY, name: s
 def balanced_class_weight(frame: DataFrame, label: str, name: str = "weight") -> DataFrame:
     """Add rows / (classes * rows of the class) for a label of 0 and 1.
 
-    The three counts are single values put into the plan. A join on the label would
-    move half of all rows to one place.
+    The three counts are one value put into the plan, so the frame is read once for
+    them. A join on the label would move half of all rows to one place.
     """
+    is_one, is_zero = F.col(label) == 1, F.col(label) == 0
     counts = frame.agg(
-        F.count(label).alias("rows"),
-        F.count(F.when(F.col(label) == 1, 1)).alias("ones"),
-        F.count_distinct(label).alias("classes"),
-    )
-    rows, ones, classes = (counts.select(c).scalar() for c in counts.columns)
+        F.struct(
+            F.count(label).alias("rows"),
+            F.count(F.when(is_one, 1)).alias("ones"),
+            (F.max(flag(is_one)) + F.max(flag(is_zero))).alias("classes"),
+        ).alias("counts")
+    ).scalar()
+    rows, ones, classes = (counts[c] for c in ("rows", "ones", "classes"))
     same = F.when(F.col(label) == 1, ones).when(F.col(label) == 0, rows - ones)
     return frame.withColumn(name, F.try_divide(rows, classes * same))
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from crease import constants as K
 from crease.functions.scalars import flag, present
-from crease.operators.running import row_numbers
 
 
 def renamed(name: Column | str, names: dict[str, str] | None = None) -> Column:
@@ -30,6 +29,17 @@ def rename_teams(
     return matches.withColumns({c: renamed(c, names) for c in columns})
 
 
+def rename_by_table(
+    matches: DataFrame, names: DataFrame, columns: Sequence[str] = ("team_1", "team_2", "winner")
+) -> DataFrame:
+    """As :func:`rename_teams`, with the names in a table: old, new (one row per old name)."""
+    for column in columns:
+        table = names.select(F.col("old").alias("__old"), F.col("new").alias("__new"))
+        joined = matches.join(table, F.col(column) == F.col("__old"), "left")
+        matches = joined.withColumn(column, F.coalesce("__new", column)).drop("__old", "__new")
+    return matches
+
+
 def prematch_frame(matches: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
     """Each decided match seen from both sides, with a flag for the side that won."""
     teams = rename_teams(matches, names).filter(present("winner", "team_1", "team_2", "venue"))
@@ -45,27 +55,25 @@ def prematch_frame(matches: DataFrame, names: dict[str, str] | None = None) -> D
     return teams.select(F.inline(F.array(view("team_1", "team_2"), view("team_2", "team_1"))))
 
 
-def fixtures(teams: DataFrame) -> DataFrame:
-    """Double round robin: each team at home, at its venue, against every other one.
+def pairings(matches: DataFrame, homes: DataFrame) -> DataFrame:
+    """Each pair of teams that met, once with either at home, at its venue.
 
-    The teams are numbered and in each round every team meets the one that many places
-    on, so the fixtures come from an equi join per round, not from comparing all teams.
+    ``homes`` has one row per team: team, venue. A team without one is at home nowhere.
     """
-    cells = teams.filter(present("team")).withColumn("__cell", F.pmod(F.crc32("team"), F.lit(4096)))
-    numbered = row_numbers(cells, [], ["__cell"], ["team"], "__place")
-    count = numbered.agg(F.count(F.lit(1))).scalar()
-    home = (
-        numbered.withColumn("__teams", count)
-        .filter(F.col("__teams") > 1)
-        .withColumn("__round", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__teams") - 1)))
-        .select(
-            F.col("team").alias("home_team"),
-            F.col("venue"),
-            (F.pmod(F.col("__place") + F.col("__round") - 1, F.col("__teams")) + 1).alias("__place"),
+    met = matches.filter(present("team_1", "team_2")).select(
+        F.inline(
+            F.array(
+                F.struct(F.col("team_1").alias("team"), F.col("team_2").alias("away_team")),
+                F.struct(F.col("team_2").alias("team"), F.col("team_1").alias("away_team")),
+            )
         )
     )
-    away = numbered.select(F.col("team").alias("away_team"), "__place")
-    return home.join(away, "__place").select("home_team", "away_team", "venue")
+    return (
+        met.filter("team <> away_team")
+        .distinct()
+        .join(homes.select("team", "venue"), "team")
+        .withColumnRenamed("team", "home_team")
+    )
 
 
 def current_teams(spark, homes: dict[str, str] | None = None) -> DataFrame:

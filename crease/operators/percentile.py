@@ -13,10 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crease.operators.running import running_totals
-
-#: Parts into which the values of a pool are dealt to meet its size.
-SALTS = 64
+from crease.operators.running import beside_totals, running_totals
 
 Metrics = dict[str, tuple[Column, Column]]
 
@@ -62,14 +59,9 @@ def percentile_scores(
         .withColumns({"__coarse": F.shiftright("__bits", 43), "__fine": F.shiftright("__bits", 21)})
     )
     upto = running_totals(counted, pool, ["__coarse", "__fine"], ["__value"], {"__upto": F.col("__n")})
-    # A pool may hold all values, so its size is put beside each part of them.
-    parts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    size = counted.groupBy(*pool).agg(F.sum("__n").alias("__size")).withColumn("__salt", parts)
-    part = F.pmod(F.hash("__value"), F.lit(SALTS))
-    score = (
-        upto.withColumn("__salt", part)
-        .join(size, [*pool, "__salt"])
-        .select(*pool, "__value", (F.lit(100.0) * F.col("__upto") / F.col("__size")).alias("__score"))
+    size = counted.groupBy(*pool).agg(F.sum("__n").alias("__size"))
+    score = beside_totals(upto, size, pool, F.col("__value")).select(
+        *pool, "__value", (F.lit(100.0) * F.col("__upto") / F.col("__size")).alias("__score")
     )
     # Only members are joined: all other rows share one empty value. The score side has
     # one row per value, so a much shared value can be split.

@@ -90,3 +90,18 @@ def _plus(one: Column, other: Column) -> Column:
 
 def _any_value(names: Sequence[str]) -> Column:
     return F.coalesce(*names).isNotNull()
+
+
+# Parts into which the rows of a key are dealt to meet the total of their key.
+SALTS = 64
+
+
+def beside_totals(rows: DataFrame, totals: DataFrame, keys: Sequence[str], part: Column) -> DataFrame:
+    """Put the one row that ``totals`` has for a key beside each row of the key.
+
+    A key may hold most of the rows, so they are dealt over parts by a hash of ``part``,
+    and each part has its copy of the total. Keys are not NULL.
+    """
+    copies = totals.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumn("__salt", F.pmod(F.hash(part), F.lit(SALTS)))
+    return dealt.join(copies, [*keys, "__salt"]).drop("__salt")

@@ -203,15 +203,20 @@ def test_both_views_of_a_match_sum_to_one(spark):
     assert {r["team_A"] for r in found} == {"A", "Z"}
 
 
-def test_every_team_meets_every_other_at_home(spark):
-    found = rows(matchups.fixtures(matchups.current_teams(spark)))
-    assert len(found) == 90 and len({(r["home_team"], r["away_team"]) for r in found}) == 90
-    assert all(r["home_team"] != r["away_team"] for r in found)
-    assert len({(r["home_team"], r["venue"]) for r in found}) == 10
-
-
-def test_one_team_has_no_fixture(spark):
-    assert matchups.fixtures(spark.createDataFrame([("A", "V")], "team string, venue string")).count() == 0
+def test_pairs_are_those_that_met(spark):
+    met = [("A", "B"), ("B", "A"), ("A", "B"), ("B", "C"), ("C", None), ("D", "D")]
+    homes = spark.createDataFrame([("A", "V"), ("B", "W")], "team string, venue string")
+    found = rows(matchups.pairings(spark.createDataFrame(met, "team_1 string, team_2 string"), homes))
+    assert sorted((r["home_team"], r["away_team"], r["venue"]) for r in found) == [
+        ("A", "B", "V"), ("B", "A", "W"), ("B", "C", "W"),
+    ]
+
+
+def test_names_from_a_table(spark):
+    matches = spark.createDataFrame([("A", "B", None), ("B", None, "B")], "team_1 string, team_2 string, winner string")
+    names = spark.createDataFrame([("B", "Z"), ("X", "Y")], "old string, new string")
+    found = sorted(tuple(r) for r in matchups.rename_by_table(matches, names).collect())
+    assert found == [("A", "Z", None), ("Z", None, "Z")]
 
 
 # --- selections -----------------------------------------------------------

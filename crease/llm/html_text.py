@@ -36,9 +36,10 @@ INLINE = frozenset(
     "a abbr b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup "
     "time tt u var wbr img".split()
 )
-#: Words in class, id or role that mark parts that are no article.
+#: Words in class, id or role that mark parts that are no article; "has-", "with-" and "no-" before
+#: them tell of the layout around an article.
 NAMES = re.compile(
-    r"(?<![a-z])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|notification|alert|popup|modal|overlay|"
+    r"(?<![a-z])(?<!has-)(?<!with-)(?<!no-)(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|notification|alert|popup|modal|overlay|"
     r"nav|navbar|navigation|menu|breadcrumbs?|sidebar|side-bar|rail|widget|footer|header|masthead|topbar|toolbar|share|sharing|social|"
     r"related|recommend\w*|newsletter|subscribe|signup|login|search|comments?|disqus|replies|reader-comments|pagination|pager|"
     r"complementary|contentinfo|skip-link)(?![a-z])"
@@ -46,8 +47,10 @@ NAMES = re.compile(
 _RAW = re.compile(r"<(script|style|noscript|template|textarea|title|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.I | re.S)
 _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>", re.S)
 _TAG = re.compile(r"""<(/?)([a-zA-Z][\w:-]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|</?[a-zA-Z][^>]*>""")
-_NAMED = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_NAMED = re.compile(r"""(?<![\w-])(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_QUOTED = re.compile(r"""=\s*(?:"[^"]*"|'[^']*')""")
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?![\w-])", re.I)
+_UNSEEN = re.compile(r"aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
 
 def _is_side(name: str, attributes: str) -> bool:
@@ -55,7 +58,7 @@ def _is_side(name: str, attributes: str) -> bool:
         return True
     if not attributes or name in ("html", "body", "article", "main"):
         return False
-    if _HIDDEN.search(attributes):
+    if _UNSEEN.search(attributes) or _HIDDEN.search(_QUOTED.sub("=''", attributes)):
         return True
     return any(NAMES.search((a or b or c).lower()) for a, b, c in _NAMED.findall(attributes))
 

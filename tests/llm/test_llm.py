@@ -253,6 +253,10 @@ def test_main_text():
     )
     assert html_text.main_text(page) == "A & B First bold text. x y Last one."
     assert html_text.main_text(None) == html_text.main_text("") == html_text.main_text("<nav>a</nav>") == ""
+    for layout in ('class="has-sidebar"', 'class="overflow-hidden"', 'style="overflow: hidden"', "data-id='ad'", 'class="no-ads x"'):
+        assert html_text.main_text(f"<div {layout}><p>{'word ' * 40}</p></div>") == ("word " * 40).strip()
+    for side in ("hidden", 'hidden=""', "style='display: none'", 'aria-hidden="true"', 'id="ad"', 'class="x-sidebar"'):
+        assert html_text.main_text(f"<div {side}><p>{'word ' * 40}</p></div>") == ""
     assert html_text.main_text("<div><p>" + "word " * 40 + "</p></div><div><a href=x>menu</a></div>") == ("word " * 40).strip()
 
 

@@ -207,7 +207,14 @@ def write(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end: int = E
     ordered = ordered.withColumn("part", F.spark_partition_id())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        gc.collect()  # what a task before this one left in the same worker
         gc.disable()  # nothing here is cyclic, and there are very many small objects
+        try:
+            yield from written(batches)
+        finally:
+            gc.enable()
+
+    def written(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(tokenizer, end)
         place, root = fs.FileSystem.from_uri(folder)
         place.create_dir(root, recursive=True)

@@ -23,6 +23,7 @@ true, and every link joins two documents of one component in the result.
 from __future__ import annotations
 
 import functools
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -214,6 +215,7 @@ def indexed(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
     """(doc_id, n, k1, k2, keys): the size of the set, what identifies it, and its index keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.collect()  # the tables of the task before this one in the same worker
         scheme = Scheme(percent)
         for batch in batches:
             for ids, texts in _parts(batch):
@@ -237,6 +239,7 @@ def shingle_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """(doc_id, n, k1, k2, tokens): the sets themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.collect()  # the tables of the task before this one in the same worker
         for batch in batches:
             for ids, texts in _parts(batch):
                 owner, token = shingles(texts, words)

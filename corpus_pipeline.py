@@ -15,8 +15,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, and all that have none."""
-    return jaccard_join.one_of_each(docs)
+    """One document of each group of near copies, and all that have none: 5-word shingles, a similarity of 0.8."""
+    return jaccard_join.one_of_each(docs, words=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

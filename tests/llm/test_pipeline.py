@@ -57,6 +57,28 @@ def test_near_duplicate_stage(stages):
     assert ids(stages[1][1]) == [rows[i][0] for i, (_, c) in classes.items() if i == c]
 
 
+def first_of_each(rows):
+    """Ids that are the least of their component, by all pairs: 5-word shingles, a similarity of 0.8."""
+    sets, least = {}, {}
+    for i, t in rows:
+        w = (t or "").encode().lower().split()
+        sets[i], least[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set(), i
+    for i, a in sets.items():
+        for j, b in sets.items():
+            if j < i and a and b and 100 * len(a & b) >= 80 * len(a | b) and least[i] != least[j]:
+                x, y = sorted((least[i], least[j]))
+                least = {k: x if v == y else v for k, v in least.items()}
+    return sorted(i for i, v in least.items() if i == v)
+
+
+def test_near_duplicate_stage_takes_five_words_and_four_fifths(spark, stages):
+    words = [f"w{i}" for i in range(200)]
+    rows = [(n, " ".join([*words, *(f"x{n}_{i}" for i in range(n))])) for n in (0, 30, 40, 49, 60)] + [(100, "w1 w2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert ids(corpus_pipeline.near_duplicates(spark, docs, FOLDER)) == first_of_each(rows) == [0, 60, 100]
+    assert ids(stages[1][1]) == first_of_each([(r["doc_id"], r["text"]) for r in stages[1][0].collect()])
+
+
 def test_decontamination_stage(spark, stages):
     items = [decontaminate.plain(r["text"]) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
     clean = []

@@ -7,6 +7,10 @@ gets the slot. The points repeat with a period of ``2 ** BITS`` slots, and in ea
 source has the same number of slots, so the rank of a slot within its source is
 ``period * slots of the source in a period + rank inside the period``: no window runs over
 the slots. A source's slot of rank ``r`` takes its block ``r mod blocks``.
+
+A source with few points of the grid, or none, would miss its target by a large share. It is
+dealt on its own: blocks so short that its target has many, and just the slots that fill the
+target, spread evenly over the schedule.
 """
 
 from __future__ import annotations
@@ -23,6 +27,8 @@ BITS = 18
 WEIGHTS = (3, 1, 2)
 #: Words of a block: as many as give MIN_BLOCKS blocks in all, at least 1, at most MAX_WORDS.
 MIN_BLOCKS, MAX_WORDS = 1 << 20, 4096
+#: Sources with fewer cells are dealt on their own, by about as many blocks or more: no target is missed by 1 % for a cell.
+LEAST_CELLS = 128
 #: Parts of the shuffled order of a source that are summed up on their own.
 PARTS = 1024
 
@@ -69,10 +75,13 @@ def targets(sizes: DataFrame) -> DataFrame:
     cell = lambda words: F.when(
         F.col("goal") > 0, F.floor(words.cast("decimal(20,0)") * F.lit(1 << BITS) / F.col("goal").cast("decimal(20,0)"))
     ).otherwise(0)
+    per = per.withColumn("lo", F.coalesce(cell(F.col("upto") - whole), F.lit(0)).cast("long"))
+    per = per.withColumn("hi", F.coalesce(cell(F.col("upto")), F.lit(0)).cast("long"))
+    per = per.withColumn("narrow", F.col("hi") - F.col("lo") < LEAST_CELLS).withColumn("line_words", F.col("block_words"))
+    short = F.greatest(F.lit(1).cast("long"), F.least("block_words", F.expr(f"cast(floor(target) as bigint) div {LEAST_CELLS}")))
+    per = per.withColumn("block_words", F.when(F.col("narrow"), short).otherwise(F.col("block_words")))
     return per.select(
-        "source", "src", "weight", "source_size", "target", "block_words", "goal",
-        F.coalesce(cell(F.col("upto") - whole), F.lit(0)).cast("long").alias("lo"),
-        F.coalesce(cell(F.col("upto")), F.lit(0)).cast("long").alias("hi"),
+        "source", "src", "weight", "source_size", "target", "block_words", "goal", "lo", "hi", "narrow", "line_words",
         F.ceil(F.col("source_size") / F.col("block_words")).cast("long").alias("blocks"),
     )
 
@@ -81,13 +90,14 @@ def schedule(spark: SparkSession, per_source: DataFrame) -> DataFrame:
     """The slots: (slot, src, epoch, block). A slot that would take a block a third time is void.
 
     ``per_source`` is the stored result of ``targets``; block length and slots are read from it.
+    A block of a narrow source has the number of the slot of the line that it comes beside.
     """
-    head = per_source.select("goal", "block_words").head()
+    head = per_source.select("goal", F.col("line_words").alias("block_words")).head()
     if head is None or not head["goal"]:
         return spark.createDataFrame([], "slot long, src long, epoch long, block long")
     slots = max(1, round(head["goal"] / head["block_words"]))
     # The period: a source's cells as points, the bits of a point reversed as the slot.
-    cells = per_source.where("hi > lo").select(
+    cells = per_source.where("not narrow").select(
         "src", "blocks", (F.col("hi") - F.col("lo")).alias("each"), F.explode(F.expr("sequence(lo, hi - 1)")).alias("cell")
     )
     turned = F.conv(F.reverse(F.lpad(F.bin("cell"), BITS, "0")), 2, 10).cast("long")
@@ -100,9 +110,16 @@ def schedule(spark: SparkSession, per_source: DataFrame) -> DataFrame:
     nth = F.col("period") * F.col("each") + F.col("rank")
     dealt = line.join(F.broadcast(ranked.select("turn", "src", "blocks", "each", "rank")), "turn")
     dealt = dealt.withColumn("nth", nth)
-    return dealt.select("slot", "src", F.expr("nth div blocks").alias("epoch"), F.expr("nth % blocks").alias("block")).where(
-        "epoch < 2"
+    # Narrow sources: whole turns through the source, and the blocks that the rest of the target begins.
+    need = F.expr(
+        "(cast(floor(target) as bigint) div source_size) * blocks"
+        " + cast(ceil((cast(floor(target) as bigint) % source_size) / block_words) as bigint)"
     )
+    own = per_source.where("narrow and source_size > 0").withColumn("need", need).where("need > 0")
+    own = own.select("src", "blocks", "need", F.explode(F.expr("sequence(0L, need - 1)")).alias("nth"))
+    own = own.withColumn("slot", F.floor((F.col("nth") + 0.5) * slots / F.col("need")).cast("long"))
+    columns = ["slot", "src", F.expr("nth div blocks").alias("epoch"), F.expr("nth % blocks").alias("block")]
+    return dealt.select(*columns).unionByName(own.select(*columns)).where("epoch < 2")
 
 
 def laid_out(sizes: DataFrame, per_source: DataFrame) -> DataFrame:

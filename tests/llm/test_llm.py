@@ -274,6 +274,24 @@ def test_mix_meets_its_targets(docs, empty):
     assert mixing.mixed_documents(docs).columns == docs.columns
 
 
+def test_mix_meets_the_targets_of_small_sources(spark):
+    # Source a0 holds nearly all; the words of each other one span less than a cell of the grid, or a few.
+    big = [(i, "w " * 40_000, "a0") for i in range(60)]
+    small = [(100 + i, " ".join(["x"] * n), f"b{i:02}") for i, n in enumerate([1, 2, 3, 5, 8, 13, 40, 40, 200, 1000, 3000])]
+    docs = spark.createDataFrame(big + small, "doc_id long, text string, source string")
+    sizes = {s: sum(len(t.split()) for _, t, x in big + small if x == s) for _, _, s in big + small}
+    assert any(r["hi"] == r["lo"] for r in mixing.targets(mixing.sized(docs)).collect())
+    taken, target = Counter(), {}
+    for r in mixing.totals(mixing.mix(docs)).collect():
+        source = r["source_size"], r["target"]
+        taken[source] += r["taken"]
+        target[source] = r["target"] * sum(1 for n in sizes.values() if n == r["source_size"])
+    for (size, _), words in taken.items():
+        assert abs(words - target[(size, _)]) <= 0.01 * target[(size, _)], (size, words, target[(size, _)])
+    kept = Counter(r["doc_id"] for r in mixing.mixed_documents(docs).collect())
+    assert all(kept[i] == 2 for i, _, _ in small)
+
+
 def test_edits_within_the_budget(spark):
     rng = random.Random(7)
     item = " ".join(rng.choice(WORDS) for _ in range(30))

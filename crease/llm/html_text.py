@@ -4,12 +4,14 @@ Markup is stripped and each block of the page becomes a line. Lines of parts tha
 article (menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments) and
 of all that is outside an ``article`` or ``main``, where there is one, have length 0. The
 lengths are summed over sliding windows of lines: where the sum surges text begins, where it
-dives to 0 text ends, and the lines between are kept.
+dives to 0 text ends, and the lines between are kept. A part that is left out ends the text only
+if the container changes with it: an advert between the paragraphs of an article does not.
 """
 
 from __future__ import annotations
 
 import html
+import os
 import re
 from collections.abc import Iterator
 
@@ -19,7 +21,8 @@ from pyspark.sql import functions as F
 
 #: Lines in a window.
 WINDOW = 3
-#: Without an article element, stretches with fewer characters than this share of the longest go.
+#: Without an article element, stretches with fewer characters than this share of the longest go, unless they lie in
+#: the container that holds all of the longest.
 LEAST_SHARE = 0.25
 #: Lines and stretches with more link text than this share are menus, outside an article.
 MOST_LINKS = 0.6
@@ -36,6 +39,11 @@ INLINE = frozenset(
     "a abbr b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup "
     "time tt u var wbr img".split()
 )
+#: Elements that lie in a container but are none.
+BLOCKS = frozenset(
+    "address blockquote body caption center dd details dl dt figcaption figure h1 h2 h3 h4 h5 h6 hgroup html li ol option "
+    "p pre summary table tbody td tfoot th thead tr ul".split()
+)
 #: Words in class, id or role that mark parts that are no article; "has-", "with-" and "no-" before
 #: them tell of the layout around an article.
 NAMES = re.compile(
@@ -44,6 +52,10 @@ NAMES = re.compile(
     r"related|recommend\w*|newsletter|subscribe|signup|login|search|comments?|disqus|replies|reader-comments|pagination|pager|"
     r"complementary|contentinfo|skip-link)(?![a-z])"
 )
+#: The containers of a line, from the outermost to the innermost, by their places in the page.
+Path = tuple[int, ...]
+#: A line without text.
+EMPTY: tuple[str, int, bool, Path] = ("", 0, False, ())
 _RAW = re.compile(r"<(script|style|noscript|template|textarea|title|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.I | re.S)
 _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>", re.S)
 _TAG = re.compile(r"""<(/?)([a-zA-Z][\w:-]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|</?[a-zA-Z][^>]*>""")
@@ -63,27 +75,32 @@ def _is_side(name: str, attributes: str) -> bool:
     return any(NAMES.search((a or b or c).lower()) for a, b, c in _NAMED.findall(attributes))
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """Lines of a page: text, characters of links in it, whether it is inside an article."""
+def _together(one: Path, other: Path) -> bool:
+    """Whether the containers are the same, or one is inside the other; all are inside the body, which does not count."""
+    least = min(len(one), len(other))
+    return one == other or least > 0 and one[:least] == other[:least]
+
+
+def lines_of(page: str) -> list[tuple[str, int, bool, Path]]:
+    """Lines of a page: text, characters of links in it, whether it is inside an article, its containers."""
     page = _COMMENT.sub("", _RAW.sub("\n", page))
-    lines: list[tuple[str, int, bool]] = []
+    lines: list[tuple[str, int, bool, Path]] = []
     parts: list[str] = []
     links = 0
-    open_: list[tuple[str, bool, bool]] = []  # name, side part, in an article
-    side = inside = linked = False
+    open_: list[tuple[str, bool, bool, Path]] = []  # name, side part, in an article, containers
+    side = inside = linked = cut = False
+    path: Path = ()
 
     def close() -> None:
-        nonlocal links
+        nonlocal links, cut
         if text := " ".join(html.unescape("".join(parts)).split()):
-            lines.append((text, links, inside))
+            if cut and lines and not _together(lines[-1][3], path):
+                lines.extend([EMPTY] * WINDOW)
+            cut = False
+            lines.append((text, links, inside, path))
         parts.clear()
         links = 0
 
-    def gap() -> None:
-        close()
-        if lines and lines[-1][0]:
-            lines.extend([("", 0, False)] * WINDOW)
-
     at = 0
     for m in _TAG.finditer(page):
         if not side and m.start() > at:
@@ -100,11 +117,8 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 linked = False
             for i in range(len(open_) - 1, -1, -1):
                 if open_[i][0] == name:
-                    was = side
                     del open_[i:]
-                    side, inside = (open_[-1][1], open_[-1][2]) if open_ else (False, False)
-                    if was and not side:
-                        gap()
+                    side, inside, path = open_[-1][1:] if open_ else (False, False, ())
                     break
         elif name not in VOID and not m[3].endswith("/"):
             if name == "a":
@@ -113,12 +127,14 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             if name in ("p", "li", "option", "tr", "td", "th", "dt", "dd") and open_ and open_[-1][0] == name:
                 open_.pop()
             if not side and _is_side(name, m[3]):
-                gap()
-                side = True
+                close()
+                side = cut = True
             elif not side and name in ("article", "main"):
-                inside = True
+                inside, path = True, (*path, m.start())
+            elif not side and not inside and name not in INLINE and name not in BLOCKS:
+                path = (*path, m.start())
             if name not in INLINE or side:
-                open_.append((name, side, inside))
+                open_.append((name, side, inside, path))
     if not side:
         parts.append(page[at:] if "<" not in page[at:] else page[at : at + page[at:].rindex("<")])
         close()
@@ -130,11 +146,11 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     lines = lines_of(page)
-    if any(inside for _, _, inside in lines):
-        lines = [line if line[2] else ("", 0, False) for line in lines]
+    if any(line[2] for line in lines):
+        lines = [line if line[2] else EMPTY for line in lines]
     else:
-        lines = [("", 0, False) if links > MOST_LINKS * len(text) else (text, links, inside) for text, links, inside in lines]
-    lengths = [len(text) for text, _, _ in lines]
+        lines = [EMPTY if line[1] > MOST_LINKS * len(line[0]) else line for line in lines]
+    lengths = [len(line[0]) for line in lines]
     ends = [sum(lengths[i : i + WINDOW]) for i in range(len(lines))]
     stretches: list[list[int]] = []
     begin = None
@@ -147,10 +163,12 @@ def main_text(page: str | None) -> str:
     if not stretches:
         return ""
     chars = [sum(lengths[j] for j in s) for s in stretches]
+    holds = tuple(os.path.commonprefix([lines[j][3] for j in stretches[chars.index(max(chars))]]))
     kept = []
     for stretch, size in zip(stretches, chars):
         article = any(lines[j][2] for j in stretch)
-        if article or size >= LEAST_SHARE * max(chars) and sum(lines[j][1] for j in stretch) <= MOST_LINKS * size:
+        near = size >= LEAST_SHARE * max(chars) or holds and all(lines[j][3][: len(holds)] == holds for j in stretch)
+        if article or near and sum(lines[j][1] for j in stretch) <= MOST_LINKS * size:
             kept += [lines[j][0] for j in stretch]
     return " ".join(kept)
 

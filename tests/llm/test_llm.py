@@ -260,6 +260,19 @@ def test_main_text():
     assert html_text.main_text("<div><p>" + "word " * 40 + "</p></div><div><a href=x>menu</a></div>") == ("word " * 40).strip()
 
 
+def test_main_text_of_a_div_with_adverts_in_it():
+    long = "<p>" + "word " * 200 + "</p>"
+    want = "Title short lead " + "word " * 200 + "short end"
+    for side in ('<div class="ad">Buy</div>', "<form>Mail</form>", "<button>Like</button>", "<p class='notice'>Note</p>"):
+        flat = f"<h1>Title</h1><p>short lead</p>{side}{long}{side}<p>short end</p>"
+        deep = f"<h1>Title</h1>{side}<div><p>short lead</p>{long}</div>{side}<p>short end</p>"
+        for page in (f"<body>{flat}</body>", f"<div>{flat}</div>", f"<body><div><div>{flat}</div></div></body>", f"<div>{deep}</div>"):
+            assert html_text.main_text(page) == want, page
+    # Another container after a side part is another stretch.
+    page = f"<body><div><p>Logo</p></div><nav>Menu</nav><div>{long}</div><div class='ad'>Buy</div><div>Imprint</div></body>"
+    assert html_text.main_text(page) == ("word " * 200).strip()
+
+
 def test_mix_meets_its_targets(docs, empty):
     rows = mixing.totals(mixing.mix(docs)).collect()
     assert len(rows) == docs.count() and all(r["taken"] <= 2 * r["size"] for r in rows)

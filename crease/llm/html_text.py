@@ -1,11 +1,13 @@
 """Main text of web pages by the line-block distribution.
 
-Markup is stripped and each block of the page becomes a line. Lines of parts that are no
-article (menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments) and
-of all that is outside an ``article`` or ``main``, where there is one, have length 0. The
-lengths are summed over sliding windows of lines: where the sum surges text begins, where it
-dives to 0 text ends, and the lines between are kept. A part that is left out ends the text only
-if the container changes with it: an advert between the paragraphs of an article does not.
+Markup is stripped and each block of the page becomes a line. Parts that are no article by
+their tag, class or id (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
+comments) are left out. The lengths of the lines are summed over sliding windows; where a page
+has an ``article`` or ``main``, a line outside has a tenth of its length. A stretch of text lies
+between dives of the sums to 0, and is kept if the sums surge in it: if they come to a quarter of
+the highest of the page, or it to a quarter of the longest. A part that is left out is a dive only
+if the container changes with it, as an advert between the paragraphs of an article does not; the
+edge of an article is one always.
 """
 
 from __future__ import annotations
@@ -21,9 +23,11 @@ from pyspark.sql import functions as F
 
 #: Lines in a window.
 WINDOW = 3
-#: Without an article element, stretches with fewer characters than this share of the longest go, unless they lie in
-#: the container that holds all of the longest.
+#: A stretch surges at this share of the highest window sum, or of the length of the longest stretch. Others go, unless
+#: they lie in the container that holds all of the longest.
 LEAST_SHARE = 0.25
+#: What the length of a line outside counts for where there is an article.
+OUTSIDE = 0.1
 #: Lines and stretches with more link text than this share are menus, outside an article.
 MOST_LINKS = 0.6
 
@@ -60,16 +64,24 @@ _RAW = re.compile(r"<(script|style|noscript|template|textarea|title|iframe)\b[^>
 _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>", re.S)
 _TAG = re.compile(r"""<(/?)([a-zA-Z][\w:-]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|</?[a-zA-Z][^>]*>""")
 _NAMED = re.compile(r"""(?<![\w-])(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_CLASSED = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+#: Classes of an article that tell of its subject or layout, not of what it is.
+_TOPIC = re.compile(r"(?:category|tag|topic|section|format|type|status|post)-|.*-(?:left|right|top|bottom|none|open|closed|enabled|disabled|on|off)$")
 _QUOTED = re.compile(r"""=\s*(?:"[^"]*"|'[^']*')""")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?![\w-])", re.I)
 _UNSEEN = re.compile(r"aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
 
-def _is_side(name: str, attributes: str) -> bool:
+def _is_side(name: str, attributes: str, named: bool) -> bool:
+    """Whether an element is no article, by tag, class or id; those of articles themselves count if ``named``."""
     if name in DROPPED:
         return True
-    if not attributes or name in ("html", "body", "article", "main"):
+    if not attributes or name in ("html", "body", "main"):
         return False
+    if name == "article":
+        words = " ".join(a or b or c for a, b, c in _CLASSED.findall(attributes)).lower().split() if named else []
+        found = [(w, m) for w in words if not _TOPIC.match(w) for m in NAMES.finditer(w)]
+        return any(m.start() == 0 or m.end() == len(w) for w, m in found)
     if _UNSEEN.search(attributes) or _HIDDEN.search(_QUOTED.sub("=''", attributes)):
         return True
     return any(NAMES.search((a or b or c).lower()) for a, b, c in _NAMED.findall(attributes))
@@ -81,7 +93,7 @@ def _together(one: Path, other: Path) -> bool:
     return one == other or least > 0 and one[:least] == other[:least]
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool, Path]]:
+def lines_of(page: str, named: bool = True) -> list[tuple[str, int, bool, Path]]:
     """Lines of a page: text, characters of links in it, whether it is inside an article, its containers."""
     page = _COMMENT.sub("", _RAW.sub("\n", page))
     lines: list[tuple[str, int, bool, Path]] = []
@@ -94,7 +106,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, Path]]:
     def close() -> None:
         nonlocal links, cut
         if text := " ".join(html.unescape("".join(parts)).split()):
-            if cut and lines and not _together(lines[-1][3], path):
+            if lines and (inside != lines[-1][2] or cut and not _together(lines[-1][3], path)):
                 lines.extend([EMPTY] * WINDOW)
             cut = False
             lines.append((text, links, inside, path))
@@ -126,7 +138,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, Path]]:
                 continue
             if name in ("p", "li", "option", "tr", "td", "th", "dt", "dd") and open_ and open_[-1][0] == name:
                 open_.pop()
-            if not side and _is_side(name, m[3]):
+            if not side and _is_side(name, m[3], named):
                 close()
                 side = cut = True
             elif not side and name in ("article", "main"):
@@ -145,12 +157,11 @@ def main_text(page: str | None) -> str:
     """Text of the article; empty if the page is null, empty or without text."""
     if not page:
         return ""
-    lines = lines_of(page)
-    if any(line[2] for line in lines):
-        lines = [line if line[2] else EMPTY for line in lines]
-    else:
-        lines = [EMPTY if line[1] > MOST_LINKS * len(line[0]) else line for line in lines]
-    lengths = [len(line[0]) for line in lines]
+    # Where all text is in articles with such names, the names tell nothing.
+    lines = lines_of(page) or lines_of(page, named=False)
+    lines = [EMPTY if not line[2] and line[1] > MOST_LINKS * len(line[0]) else line for line in lines]
+    outside = OUTSIDE if any(line[2] for line in lines) else 1
+    lengths = [len(line[0]) * (1 if line[2] else outside) for line in lines]
     ends = [sum(lengths[i : i + WINDOW]) for i in range(len(lines))]
     stretches: list[list[int]] = []
     begin = None
@@ -162,13 +173,15 @@ def main_text(page: str | None) -> str:
             begin = None
     if not stretches:
         return ""
-    chars = [sum(lengths[j] for j in s) for s in stretches]
-    holds = tuple(os.path.commonprefix([lines[j][3] for j in stretches[chars.index(max(chars))]]))
+    size = [sum(lengths[j] for j in s) for s in stretches]
+    peak = [max(sum(lengths[j : j + WINDOW]) for j in s) for s in stretches]
+    holds = os.path.commonprefix([lines[j][3] for j in stretches[size.index(max(size))]])
     kept = []
-    for stretch, size in zip(stretches, chars):
-        article = any(lines[j][2] for j in stretch)
-        near = size >= LEAST_SHARE * max(chars) or holds and all(lines[j][3][: len(holds)] == holds for j in stretch)
-        if article or near and sum(lines[j][1] for j in stretch) <= MOST_LINKS * size:
+    for stretch, n, high in zip(stretches, size, peak):
+        surge = high >= LEAST_SHARE * max(peak) or n >= LEAST_SHARE * max(size)
+        near = holds and all(lines[j][3][: len(holds)] == holds for j in stretch)
+        menu = not lines[stretch[0]][2] and sum(lines[j][1] for j in stretch) > MOST_LINKS * sum(len(lines[j][0]) for j in stretch)
+        if (surge or near) and not menu:
             kept += [lines[j][0] for j in stretch]
     return " ".join(kept)
 

@@ -273,6 +273,23 @@ def test_main_text_of_a_div_with_adverts_in_it():
     assert html_text.main_text(page) == ("word " * 200).strip()
 
 
+def test_windows_choose_the_text_where_there_are_articles():
+    long = "<p>" + "word " * 200 + "</p>"
+    want = ("word " * 200).strip()
+    for name in ('class="comment"', 'id="comment-7"', 'class="user-comment"', 'class="card related"', 'role="complementary"'):
+        teaser = f"<article {name}><p>{'other ' * 120}</p></article>"
+        assert html_text.main_text(f"<article>{long}</article>{teaser}{teaser}") == want
+        assert html_text.main_text(f"<main><article><h1>T</h1>{long}{teaser}<p>Of.</p></article></main>") == f"T {want} Of."
+    for layout in ("post-12 category-search tag-alert", "sidebar-right", "has-comments", "post comments-open"):
+        assert html_text.main_text(f'<article class="{layout}">{long}</article><p>Note</p>') == want
+    assert html_text.main_text(f'<article class="promo">{long}</article>') == want
+    # Short articles beside a long text, and short texts beside a long article.
+    cards = "<article><p>More of it</p></article>" * 2
+    assert html_text.main_text(f"<div>{long * 4}</div><aside>{cards}</aside><div>{cards}</div>") == " ".join([want] * 4)
+    assert html_text.main_text(f"<main><article>{long}</article><nav>x</nav><article><p>More of it</p></article></main>") == want
+    assert html_text.main_text(f"<div>Slogan</div><article>{long}<p>Of.</p></article><div><p>{'junk ' * 100}</p></div>") == want + " Of."
+
+
 def test_mix_meets_its_targets(docs, empty):
     rows = mixing.totals(mixing.mix(docs)).collect()
     assert len(rows) == docs.count() and all(r["taken"] <= 2 * r["size"] for r in rows)

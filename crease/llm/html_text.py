@@ -48,6 +48,15 @@ BLOCKS = frozenset(
     "address blockquote body caption center dd details dl dt figcaption figure h1 h2 h3 h4 h5 h6 hgroup html li ol option "
     "p pre summary table tbody td tfoot th thead tr ul".split()
 )
+#: The elements whose start ends an open one that has no end tag.
+ENDS = {
+    "p": frozenset(
+        "address article aside blockquote details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+        "header hgroup main menu nav ol p pre section table ul".split()
+    ),
+    "li": {"li"}, "option": {"option", "optgroup"}, "tr": {"tr", "tbody", "tfoot"},
+    "td": {"td", "th", "tr", "tbody", "tfoot"}, "th": {"td", "th", "tr", "tbody", "tfoot"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"},
+}
 #: Words in class, id or role that mark parts that are no article; "has-", "with-" and "no-" before
 #: them tell of the layout around an article.
 NAMES = re.compile(
@@ -136,8 +145,12 @@ def lines_of(page: str, named: bool = True) -> list[tuple[str, int, bool, Path]]
             if name == "a":
                 linked = True
                 continue
-            if name in ("p", "li", "option", "tr", "td", "th", "dt", "dd") and open_ and open_[-1][0] == name:
-                open_.pop()
+            top = len(open_) - 1
+            while top >= 0 and (open_[top][0] in INLINE or name in ENDS.get(open_[top][0], ())):
+                if open_[top][0] not in INLINE:  # its end tag is left out
+                    del open_[top:]
+                    side, inside, path = open_[-1][1:] if open_ else (False, False, ())
+                top -= 1
             if not side and _is_side(name, m[3], named):
                 close()
                 side = cut = True

@@ -290,6 +290,21 @@ def test_windows_choose_the_text_where_there_are_articles():
     assert html_text.main_text(f"<div>Slogan</div><article>{long}<p>Of.</p></article><div><p>{'junk ' * 100}</p></div>") == want + " Of."
 
 
+def test_a_side_part_without_end_tag_ends_at_the_next_element():
+    for page in (
+        "<div><p class='notice'>Note<p>Real text<p>and more</div>",
+        "<div><p class='notice'>Note <b>well<p>Real text<p>and more</div>",
+        "<div><p class='notice'>Note<div>Real text</div><p>and more</div>",
+        "<ul><li class='ad'>Buy<li>Real text<li>and more</ul>",
+        "<table><tr><td class='ad'>Buy<td>Real text<tr><td>and more</table>",
+        "<table><tr><td>Real text<td class='ad'>Buy<tr><td>and more</table>",
+        "<table><tr class='ad'><td>Buy<tr><td>Real text<tr><td>and more</table>",
+        "<dl><dt class='ad'>Buy<dd>Real text<dt>and more</dl>",
+        "<article><p class='notice'>Note<p>Real text<p>and more</article>",
+    ):
+        assert html_text.main_text(page) == "Real text and more", page
+
+
 def test_mix_meets_its_targets(docs, empty):
     rows = mixing.totals(mixing.mix(docs)).collect()
     assert len(rows) == docs.count() and all(r["taken"] <= 2 * r["size"] for r in rows)

@@ -17,7 +17,8 @@ Classes that share a segment are not paired with each other. Each is paired with
 class of its segments, its centre, and verified on the shingles themselves. Pairs of classes
 of one centre that this leaves in different components are verified too: one by one in small
 groups, and in blocks against blocks of bounded size in large ones. All links found are
-true, and every link joins two documents of one component in the result.
+true, and every link joins two documents of one component in the result. ``links`` verifies
+the pairs within components too and returns them all.
 """
 
 from __future__ import annotations
@@ -41,6 +42,8 @@ WORDS, PERCENT = 4, 85
 CHUNK = 1_500_000
 #: Groups of a centre up to this size are paired; larger ones go by blocks of so many shingles.
 SMALL_GROUP, BLOCK_SHINGLES = 24, 60_000
+#: What a set counts for in a block at least, where all pairs of two blocks may be links.
+LEAST_ROOM = 100
 #: Ids that may be sent to every task (16 MB); beyond that the join is shuffled.
 MOST_SENT = 1_000_000
 #: The cost of an index entry is 1; of a chance match, as many entries; an element is shared by chance so often.
@@ -304,8 +307,8 @@ def _block_links(percent: int):
     return run
 
 
-def class_components(base: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(node, component) of the classes that are linked with others. ``base`` and ``classes`` are stored."""
+def _met_at_centres(base: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The sets of classes that share a key with others, and each of them with its centres, verified; both stored."""
     of_class = base.join(
         classes.select(F.col("first").alias("doc_id"), "n", "k1", "k2", "cid"), ["doc_id", "n", "k1", "k2"]
     )
@@ -320,15 +323,20 @@ def class_components(base: DataFrame, classes: DataFrame, docs: DataFrame, words
     sets = shingle_sets(texts, words).join(needed, ["doc_id", "n", "k1", "k2"]).select("cid", "n", "tokens").dropDuplicates(["cid"])
     sets = staged(sets, "sets")
 
-    near = staged(_verified(members.select(F.col("centre").alias("a"), F.col("cid").alias("b")), sets, percent), "near")
-    links = near.where("linked").select("a", "b")
-    comps = staged(components(links), "components")
+    return sets, staged(_verified(members.select(F.col("centre").alias("a"), F.col("cid").alias("b")), sets, percent), "near")
 
-    # Groups of a centre whose members are not all in one component.
-    comp = comps.withColumnRenamed("node", "cid").withColumnRenamed("component", "comp")
-    spread = near.select(F.col("a").alias("centre"), F.col("b").alias("cid"), "far").join(comp, "cid", "left")
+
+def _met_beside_centres(sets: DataFrame, near: DataFrame, comps: DataFrame | None, percent: int) -> DataFrame:
+    """Links (a, b) between members of one centre: all of them, or, with the components (node, component) that the links
+    with centres make, as many as join those."""
+    spread = near.select(F.col("a").alias("centre"), F.col("b").alias("cid"), "far")
+    if comps is None:
+        spread = spread.withColumn("comp", F.col("cid"))
+    else:
+        spread = spread.join(comps.withColumnRenamed("node", "cid").withColumnRenamed("component", "comp"), "cid", "left")
     spread = spread.join(sets.select("cid", "n"), "cid").withColumn("comp", F.coalesce("comp", "cid"))
     spread = staged(spread.select("centre", "cid", "far", "n", "comp"), "spread")
+    # Groups of a centre whose members are not all in one component.
     groups = spread.groupBy("centre").agg(F.count("*").alias("g"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
     groups = groups.where("c0 < c1").select("centre", "g")
     few, many = groups.where(F.col("g") <= SMALL_GROUP), groups.where(F.col("g") > SMALL_GROUP)
@@ -343,7 +351,8 @@ def class_components(base: DataFrame, classes: DataFrame, docs: DataFrame, words
     more = _verified(pairs, sets, percent).where("linked").select("a", "b")
 
     line = Window.partitionBy("centre").orderBy("n", "cid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    blocked = spread.join(many, "centre").withColumn("block", F.sum("n").over(line) - 1)
+    room_of = F.col("n") if comps is not None else F.greatest("n", F.lit(LEAST_ROOM))
+    blocked = spread.join(many, "centre").withColumn("block", F.sum(room_of).over(line) - 1)
     blocked = staged(blocked.withColumn("block", F.expr(f"block div {BLOCK_SHINGLES}")).select("centre", "cid", "comp", "n", "block"), "blocks")
     ranges = blocked.groupBy("centre", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     left, right = ranges.alias("l"), ranges.alias("r")
@@ -352,7 +361,36 @@ def class_components(base: DataFrame, classes: DataFrame, docs: DataFrame, words
     sides = units.select("centre", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
     dealt = sides.join(blocked.select("centre", "block", "cid", "comp"), ["centre", "block"]).join(sets.select("cid", "tokens"), "cid")
     by_blocks = dealt.groupBy("centre", "i", "j").applyInPandas(_block_links(percent), "a long, b long")
-    return components(links.unionByName(more).unionByName(by_blocks))
+    return more.unionByName(by_blocks)
+
+
+def class_components(base: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(node, component) of the classes that are linked with others. ``base`` and ``classes`` are stored."""
+    sets, near = _met_at_centres(base, classes, docs, words, percent)
+    links = near.where("linked").select("a", "b")
+    comps = staged(components(links), "components")
+    return components(links.unionByName(_met_beside_centres(sets, near, comps, percent)))
+
+
+def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``indexed`` documents, and the classes of equal sets with their ids; both stored, so the ids stay."""
+    base = staged(indexed(docs, words, percent), "indexed")
+    classes = base.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("first"))
+    return base, staged(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+
+
+def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """All links: pairs of classes (a, b; each once, a < b), and the membership (doc_id, cid), one row for each document.
+
+    Documents of one class are linked with each other, and with all of the classes that theirs is paired with. Null
+    texts and those without words are in no class: their cid is null. The pairs grow with the square of a group of near copies.
+    """
+    base, classes = _classes(docs, words, percent)
+    sets, near = _met_at_centres(base, classes, docs, words, percent)
+    found = near.where("linked").select("a", "b").unionByName(_met_beside_centres(sets, near, None, percent))
+    pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    members = base.select("doc_id", "n", "k1", "k2").join(classes.select("n", "k1", "k2", "cid"), ["n", "k1", "k2"], "left")
+    return pairs, members.select("doc_id", "cid")
 
 
 def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -362,9 +400,7 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     without words, have no shingle and are linked with nothing: their component is their own
     id. A null doc_id counts as larger than all; repeated rows are copies of each other.
     """
-    base = staged(indexed(docs, words, percent), "indexed")
-    classes = base.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("first"))
-    classes = staged(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")  # stored once, so the ids stay
+    base, classes = _classes(docs, words, percent)
     comps = staged(class_components(base, classes, docs, words, percent), "components")
     joined = classes.join(comps.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     least = joined.groupBy("component").agg(F.min("first").alias("component_id"))

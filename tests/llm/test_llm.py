@@ -165,6 +165,33 @@ def test_join_of_nothing_and_of_repeated_rows(spark, docs, empty, texts):
     assert kept == {i for i, (_, c) in near_classes(texts).items() if i == c}
 
 
+@pytest.mark.parametrize("small", [24, 2])
+def test_all_links_against_all_pairs(spark, monkeypatch, small):
+    monkeypatch.setattr(jaccard_join, "SMALL_GROUP", small)
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 900)
+    rng = random.Random(11)
+    rows = [(100, None), (101, " \n")]
+    for group in range(3):  # near copies of a text, most of them linked with most others, and exact copies
+        base = text_of(rng, 200).split()
+        for i in range(25):
+            words = list(base)
+            for _ in range(rng.randrange(3)):
+                words[rng.randrange(len(words))] = rng.choice(WORDS)
+            rows.append((30 * group + i, " ".join(words)))
+    sets = {}
+    for i, t in rows:
+        w = (t or "").lower().split()
+        sets[i] = {tuple(w[k : k + 4]) for k in range(len(w) - 3)}
+    want = {(i, j) for i in sets for j in sets if i < j and sets[i] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])}
+    pairs, members = jaccard_join.links(spark.createDataFrame(rows, "doc_id long, text string"))
+    cid = {r["doc_id"]: r["cid"] for r in members.collect()}
+    found = Counter((r["a"], r["b"]) for r in pairs.collect())
+    assert set(cid) == set(sets) and cid[100] is cid[101] is None and all(a < b and n == 1 for (a, b), n in found.items())
+    linked = lambda i, j: cid[i] is not None and (cid[i] == cid[j] or tuple(sorted((cid[i], cid[j]))) in found)
+    assert {(i, j) for i in sets for j in sets if i < j and cid[j] is not None and linked(i, j)} == want
+    assert len(found) > 5 * len(set(cid.values()))
+
+
 def test_signatures_meet_for_every_similar_pair():
     rng, scheme = np.random.default_rng(1), jaccard_join.Scheme()
     for n in [6, 7, 8, 12, 15, 20, 33, 60, 150, 400, 1500]:

@@ -55,6 +55,8 @@ _DATE = re.compile(r"(?:(?:19|20)\d\d([-/._]?)(?:0?[1-9]|1[0-2])\1(?:0?[1-9]|[12
 #: Guesses of a date: days of a year in a hundred years; of a year: a hundred and twenty.
 _DATE_COST, _YEAR_COST = math.log10(36500), math.log10(120)
 _JOIN = math.log10(2)
+#: So far does a word or a date reach into a run that begins after it.
+_INTO = max(_LONGEST, 10)
 
 
 def _alphabet(value: str) -> int:
@@ -70,8 +72,9 @@ def _alphabet(value: str) -> int:
 def log10_guesses(value: str) -> float:
     """Power of ten of the guesses that the cheapest segmentation of the value takes; 0 if empty.
 
-    Linear in the length: words are bounded, dates too, and of repeats and walks the longest
-    and each shorter one that ends at the same place share one run.
+    Linear in the length: words are bounded, dates too. A repeat or walk may begin at any place of
+    its run, but one that begins inside is cheaper than a longer one only where a piece ends that
+    began before the run, so not far from the run's begin.
     """
     n = len(value)
     low = value.lower()
@@ -98,10 +101,12 @@ def log10_guesses(value: str) -> float:
             cost = min(cost, best[begin] + guesses + _JOIN)
         repeat = repeat + 1 if end > 1 and low[end - 1] == low[end - 2] else 1
         if repeat >= 3:
-            cost = min(cost, best[end - repeat] + each + math.log10(repeat) + _JOIN)
+            for begin in range(end - repeat, min(end - repeat + _INTO, end - 3) + 1):
+                cost = min(cost, best[begin] + each + math.log10(end - begin) + _JOIN)
         walk = walk + 1 if end > 1 and (low[end - 2], low[end - 1]) in _NEXT else 1
         if walk >= 3:
-            cost = min(cost, best[end - walk] + math.log10(47 * walk * 2) + _JOIN)
+            for begin in range(end - walk, min(end - walk + _INTO, end - 3) + 1):
+                cost = min(cost, best[begin] + math.log10(47 * (end - begin) * 2) + _JOIN)
         best[end] = cost
     # A value that repeats one piece costs that piece and the number of repeats.
     period = (low + low).find(low, 1) if n else 0

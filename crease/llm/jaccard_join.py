@@ -48,6 +48,8 @@ LEAST_ROOM = 100
 MOST_SENT = 1_000_000
 #: The cost of an index entry is 1; of a chance match, as many entries; an element is shared by chance so often.
 MATCH_COST, SHARED = 200.0, 0.2
+#: From this size on sets take whole segments: an entry for each element is more than the matches by chance cost.
+LARGE_SET = 50
 
 _U = np.uint64
 
@@ -145,7 +147,7 @@ class Scheme:
         whole = h + 1 + -(-(h + 1) // 5)
         half = -(-(h + 1) // 2)
         cost = lambda entries, size: entries * (1 + MATCH_COST * SHARED**size)
-        if cost(half + n, n / half - 1) < cost(h + 1, n / whole):
+        if n < LARGE_SET and cost(half + n, n / half - 1) < cost(h + 1, n / whole):
             return half, half, True
         return whole, h + 1, False
 

@@ -239,6 +239,21 @@ def test_signatures_meet_for_every_similar_pair():
             assert set(key[owner == 0]) & set(key[owner == 1])
 
 
+def test_signatures_of_four_fifths_meet_and_stay_few():
+    rng, scheme = np.random.default_rng(2), jaccard_join.Scheme(80)
+    for n in [4, 9, 14, 33, 49, 50, 60, 150, 400, 1500]:
+        for _ in range(30):
+            a = rng.integers(0, 1 << 63, n, dtype=np.int64).astype(np.uint64)
+            edits = rng.integers(0, n // 5 + 1)
+            b = np.append(a[edits:], rng.integers(0, 1 << 63, rng.integers(0, edits + 1), dtype=np.int64).astype(np.uint64))
+            both = len(np.intersect1d(a, b))
+            token, sizes = np.concatenate([np.sort(a), np.sort(b)]), np.array([len(a), len(b)])
+            owner, key = jaccard_join.signatures(np.repeat([0, 1], sizes), token, sizes, scheme)
+            if 100 * both >= 80 * (len(a) + len(b) - both) and not both == len(a) == len(b):
+                assert set(key[owner == 0]) & set(key[owner == 1])
+            assert n < 100 or len(key) <= sizes.sum()
+
+
 def test_tokens_against_direct_encoding(docs, texts, empty, monkeypatch):
     monkeypatch.setattr(token_files, "FILE_IDS", 3000)
     monkeypatch.setattr(token_files, "RANGE_BYTES", 20_000)

@@ -38,3 +38,10 @@ def fold(doc_id: Column, parts: int) -> Column:
 
 def fold_of(doc_id: int, parts: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % parts
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a written table that no job reads any more."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crease.llm import decontaminate, html_text, jaccard_join, mixing, ppm, quality, secret_scan, sharding, token_files, toxicity
+from crease.llm import collocations, decontaminate, html_text, jaccard_join, licence_scan, mixing, ppm, quality, secret_scan
+from crease.llm import sharding, token_files, toxicity, vector_codes
 from crease.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +55,18 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.codes(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -67,6 +80,9 @@ QUERIES: dict[str, Query] = {
         op8_main_text,
         op9_source_mix,
         op10_decontaminate,
+        op11_collocations,
+        op12_licence_scan,
+        op13_vector_codes,
     )
 }
 
@@ -75,6 +91,30 @@ _LEAST = " ".join(
     for level in range(quality.LEVELS)
 )
 
+_ROUNDS = """b0 as materialized (
+  select p, row_number() over (partition by p order by vec_id) - 1 as e, part as entry from parts
+  qualify row_number() over (partition by p order by vec_id) <= 256),
+""" + "".join(
+    f"""a{i} as materialized (
+  select x.vec_id, x.p, x.part, arg_min(b.e, (dist, b.e)) as e, min(dist) as d
+  from parts x join b{i} b on b.p = x.p,
+    lateral (select list_sum(list_transform(list_zip(x.part, b.entry), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as dist)
+  group by x.vec_id, x.p, x.part),
+"""
+    + (
+        f"""m{i} as (
+  select p, e, j, cast(floor(sum(part[j]) / count(*)) as bigint) as mean
+  from (select p, e, part, unnest(range(1, len(part) + 1)) as j from a{i}) group by p, e, j),
+b{i + 1} as materialized (
+  select b.p, b.e, coalesce(m.entry, b.entry) as entry
+  from b{i} b left join (select p, e, list(mean order by j) as entry from m{i} group by p, e) m on m.p = b.p and m.e = b.e),
+"""
+        if i < 4
+        else ""
+    )
+    for i in range(5)
+)
+
 ORACLE: dict[str, str] = {
     "op7_quality_rules": r"""
 with split_up as (
@@ -145,6 +185,48 @@ reach as (
 select r.doc_id, cast(coalesce(max(s.n), 0) as bigint) as n_shingles, min(r.root) as component_id
 from reach r left join sizes s on s.doc_id = r.doc_id group by r.doc_id
 """,
+    "op11_collocations": r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, row_number() over () as doc, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+cut as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+grams as (
+  select lang, n, array_to_string(w[i : i + n - 1], ' ') as phrase
+  from (select lang, w, n, unnest(range(1, len(w) - n + 2)) as i from cut, range(1, 5) s(n))),
+counts as materialized (
+  select lang, n as m, phrase, string_split(phrase, ' ') as w, cast(count(*) as bigint) as f from grams group by lang, n, phrase),
+often as materialized (select * from counts where f >= 30),
+inner_ones as (
+  select lang, array_to_string(w[i : i + k - 1], ' ') as phrase, max(f) as longest
+  from (select *, unnest(range(1, m - k + 2)) as i from (select *, unnest(range(2, m)) as k from often where m > 2)) group by all),
+candidates as (
+  select o.* from often o left join inner_ones x on x.lang = o.lang and x.phrase = o.phrase
+  where o.m > 1 and not coalesce(100 * x.longest >= 80 * o.f, false)),
+cuts as (
+  select c.lang, c.phrase, c.f as a, k, l.f as l, r.f as r,
+    cast((2000000::hugeint * c.f) // (l.f + r.f) as bigint) as score
+  from (select *, unnest(range(1, m)) as k from candidates) c
+  join often l on l.lang = c.lang and l.phrase = array_to_string(c.w[1 : k], ' ')
+  join often r on r.lang = c.lang and r.phrase = array_to_string(c.w[k + 1 : ], ' ')),
+best as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+totals as (select lang, cast(sum(f) as bigint) as n from counts where m = 1 group by lang),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from best)
+select lang, rank, phrase, a, l, r, t.n, score from ranked join totals t using (lang) where rank <= 2000
+""",
+    "op13_vector_codes": r"""
+with kept as materialized (
+  select vec_id, label, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v
+  from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+parts as materialized (
+  select vec_id, p, v[p * (len(v) // 4) + 1 : (p + 1) * (len(v) // 4)] as part from kept, range(4) t(p)),
+@ROUNDS@
+coded as (
+  select vec_id, string_agg(printf('%02x', e), '' order by p) as code, cast(sum(d) as bigint) as error from a4 group by vec_id)
+select c.vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+  (select sha256(string_agg(array_to_string(entry, ','), ',' order by p, e)) from b4) as codebooks_sha256
+from coded c join kept k on k.vec_id = c.vec_id
+""".replace("@ROUNDS@", _ROUNDS),
     "op9_source_mix": r"""
 with sizes as (
   select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,

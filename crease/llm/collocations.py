@@ -12,13 +12,14 @@ whatever the sample; a poor one costs passes.
 
 A phrase is the hashes of its words, 8 bytes each. They tell words apart: two words of one
 hash are looked for among all words, and if there are any, another seed is taken. What is known is sent
-to the tasks as a bit map of at most ``2 ** MOST_BITS`` bits. A wrongly set bit only lets
-a phrase be counted that need not be, as counts are by the whole phrase.
+to the tasks as a bit map of at most ``2 ** MOST_BITS`` bits, by a key of 8 bytes. A wrongly
+set bit only lets a phrase be counted that need not be, as counts are by the whole phrase.
 """
 
 from __future__ import annotations
 
 import itertools
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -29,16 +30,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crease.llm.common import fold
-from crease.session import staged
+from crease.session import shared_folder, staged
 
 #: Words of the longest phrase, occurrences of a candidate, per cent of a longer one that drop it, phrases per language.
 LONGEST, LEAST, COVERS, TOP = 4, 30, 80, 2000
 #: One document in so many is in the sample, and occurrences there that propose a phrase.
 SAMPLE, SAMPLE_LEAST = 8, 2
 #: Bytes of text in a chunk, about, and phrases sent back at once.
-CHUNK, SENT = 8_000_000, 200_000
-#: The bit map has 16 bits for each known phrase, but no more than 2 ** 30 (128 MB).
-LEAST_BITS, MOST_BITS = 20, 30
+CHUNK, SENT = 4_000_000, 100_000
+#: The bit map has 16 bits for each phrase, but no more than 2 ** 30 (128 MB); so many phrases are expected for each word.
+LEAST_BITS, MOST_BITS, KNOWN = 20, 30, 8
 
 _TEXT = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + 9 * b"\n")
 _END, _BLANK = -1, -2
@@ -59,77 +60,106 @@ class _Chunk:
         self.parts += [ids[ids != _BLANK], np.array([_END], np.int32)]
         self.size += len(text)
 
-    def batch(self, sample: bool) -> pa.RecordBatch:
+    def batch(self, sample: int, seed: int) -> pa.RecordBatch:
         ids = np.concatenate(self.parts)
         ids = ids[np.append(True, (ids[1:] >= 0) | (ids[:-1] >= 0))]
-        named = sorted((i, lang, w) for lang, own in self.words.items() for w, i in own.items() if i >= 0)
-        counts = np.bincount(ids[ids >= 0], minlength=len(named))
+        n = sum(len(own) - 2 for own in self.words.values())
+        words, hashes, langs = [b""] * n, [0] * n, np.zeros(n, np.int32)
+        for number, (lang, own) in enumerate(self.words.items()):
+            before = b"%d:" % len(lang.encode()) + lang.encode()
+            for word, i in own.items():
+                if i >= 0:
+                    words[i], hashes[i], langs[i] = word, xxhash.xxh64_intdigest(before + word, seed), number
         row = {
-            "sample": pa.array([sample]),
-            "langs": pa.array([[x[1] for x in named]], pa.list_(pa.string())),
-            "words": pa.array([[x[2] for x in named]], pa.list_(pa.binary())),
-            "counts": pa.array([counts], pa.list_(pa.int64())),
-            "ids": pa.array([ids.tobytes()], pa.binary()),
+            "sample": pa.array([sample], pa.int32()),
+            "langs": pa.array([list(self.words)], pa.list_(pa.string())),
+            "lang_of": _blob(langs),
+            "words": pa.array([b"\n".join(words)], pa.binary()),
+            "counts": _blob(np.bincount(ids[ids >= 0], minlength=n).astype(np.int64)),
+            "hashes": _blob(np.array(hashes, np.uint64)),
+            "ids": _blob(ids),
         }
         return pa.RecordBatch.from_pydict(row)
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    open_ = {}
-    for batch in batches:
-        for sample, lang, text in zip(*(batch.column(i) for i in range(3))):
-            sample = sample.as_py()
-            chunk = open_.setdefault(sample, _Chunk())
-            chunk.add(lang.as_py(), text.as_py())
-            if chunk.size >= CHUNK:
-                yield open_.pop(sample).batch(sample)
-    for sample, chunk in open_.items():
-        yield chunk.batch(sample)
-
-
-def chunks(docs: DataFrame) -> DataFrame:
-    """The texts of ``docs`` (doc_id, text, lang) cut into chunks, and stored."""
+def _blob(values: np.ndarray) -> pa.Array:
+    return pa.array([values.tobytes()], pa.binary())
+
+
+#: A chunk: whether its texts are of the sample, its languages, then by word the number of its language, the word (words
+#: have no line ends), its occurrences and hash, and the texts as numbers of words.
+CHUNKS = "sample int, langs array<string>, lang_of binary, words binary, counts binary, hashes binary, ids binary"
+
+
+def _cutter(seed: int):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_: dict[int, _Chunk] = {}
+        for batch in batches:
+            for sample, lang, text in zip(*(batch.column(i) for i in range(3))):
+                chunk = open_.setdefault(sample.as_py(), _Chunk())
+                chunk.add(lang.as_py(), text.as_py())
+                if chunk.size >= CHUNK:
+                    yield open_.pop(sample.as_py()).batch(sample.as_py(), seed)
+        for sample, chunk in open_.items():
+            yield chunk.batch(sample, seed)
+
+    return cut
+
+
+def chunks(docs: DataFrame, seed: int) -> DataFrame:
+    """The texts of ``docs`` (doc_id, text, lang) cut into chunks, and stored by ``sample`` (1 or 0)."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(
-        (fold(F.coalesce(docs["doc_id"].cast("string"), text), SAMPLE) == 0).alias("sample"),
+        (fold(F.coalesce(docs["doc_id"].cast("string"), text), SAMPLE) == 0).cast("int").alias("sample"),
         F.coalesce("lang", F.lit("und")).alias("lang"),
         text.cast("binary").alias("text"),
     )
-    schema = "sample boolean, langs array<string>, words array<binary>, counts array<bigint>, ids binary"
-    return staged(rows.mapInArrow(_cut, schema), "chunks")
+    path = f"{shared_folder(docs.sparkSession)}/chunks-{uuid.uuid4().hex}"
+    rows.mapInArrow(_cutter(seed), CHUNKS).write.partitionBy("sample").parquet(path)
+    return docs.sparkSession.read.schema(CHUNKS).parquet(path)
 
 
-def _hashes(langs: list[str], words: list[bytes], seed: int) -> np.ndarray:
-    before = {lang: b"%d:" % len(lang.encode()) + lang.encode() for lang in set(langs)}
-    return np.array([xxhash.xxh64_intdigest(before[lang] + w, seed) for lang, w in zip(langs, words)], np.uint64)
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for langs, lang_of, words_, counts, hashes in zip(*(batch.column(i) for i in range(5))):
+            lang_of, counts, hashes = _array(lang_of, np.int32), _array(counts, np.int64), _array(hashes, np.int64)
+            langs, own = pa.array(langs.as_py(), pa.string()), words_.as_py().split(b"\n")
+            for i in range(0, len(counts), SENT):
+                part = slice(i, i + SENT)
+                columns = [langs.take(pa.array(lang_of[part])), pa.array(own[part], pa.binary()), pa.array(hashes[part]), pa.array(counts[part])]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "word", "hash", "f"])
 
 
-def _binary(rows: np.ndarray) -> pa.Array:
-    """Rows of unsigned longs as one binary value each."""
-    offsets = np.arange(len(rows) + 1, dtype=np.int32) * (8 * rows.shape[1])
-    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows, "<u8"))])
+def _array(blob: pa.Scalar, kind: type) -> np.ndarray:
+    return np.frombuffer(blob.as_buffer(), kind)
 
 
-def words(cut: DataFrame) -> tuple[DataFrame, int]:
-    """Words with their language, hash (``gram``) and occurrences (``f``), and the seed of the hashes."""
-    each = cut.select(F.inline(F.arrays_zip("langs", "words", "counts"))).groupBy("langs", "words").agg(F.sum("counts").alias("f"))
-    for seed in itertools.count():
+def _bytes(number: str) -> Column:
+    return F.unhex(F.lpad(F.hex(number), 16, "0"))
 
-        def named(batches, seed=seed):
-            for batch in batches:
-                grams = _hashes(batch.column(0).to_pylist(), batch.column(1).to_pylist(), seed)
-                yield pa.RecordBatch.from_arrays([*batch.columns, _binary(grams[:, None])], ["lang", "word", "f", "gram"])
 
-        table = staged(each.mapInArrow(named, "lang string, word binary, f bigint, gram binary"), "words")
-        if not table.groupBy("gram").count().where("count > 1").head(1):
-            return table, seed
+def words(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The chunks, and their words with language, hash (``gram``) and occurrences (``f``); no two have the same hash."""
+    for seed in itertools.count():
+        cut = chunks(docs, seed)
+        each = cut.select("langs", "lang_of", "words", "counts", "hashes").mapInArrow(_listed, "lang string, word binary, hash bigint, f bigint")
+        named = each.groupBy("lang", "word", "hash").agg(F.sum("f").alias("f")).withColumn("gram", _bytes("hash"))
+        named = staged(named, "words")
+        # A hash of 0 stands for no word.
+        if not named.groupBy("hash").count().where("count > 1 or hash = 0").head(1):
+            return cut, named
 
 
 class Bits:
     """Set of phrases as a bit map."""
 
-    def __init__(self, log2: int, bits: np.ndarray | None = None):
-        self.log2, self.bits = log2, np.zeros(1 << log2 >> 3, np.uint8) if bits is None else bits
+    def __init__(self, bits: np.ndarray):
+        self.log2, self.bits = (8 * len(bits)).bit_length() - 1, bits
+
+    @classmethod
+    def empty(cls, n: int) -> Bits:
+        """Map for about n phrases."""
+        return cls(np.zeros(1 << min(MOST_BITS, max(LEAST_BITS, (16 * n).bit_length())) >> 3, np.uint8))
 
     def places(self, keys: np.ndarray) -> np.ndarray:
         return ((keys ^ (keys >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.log2)).astype(np.int64)
@@ -139,35 +169,32 @@ class Bits:
         return (self.bits[places >> 3] >> (places & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def _longer(keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Keys of phrases with one word more."""
-    keys = (keys ^ (keys >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + hashes
-    return (keys ^ (keys >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+def _key(mixed: np.ndarray, n: int) -> np.ndarray:
+    """Key of phrases of n words: the last two bits are n - 1."""
+    return mixed & ~np.uint64(3) | np.uint64(n - 1)
 
 
-def log2_bits(n: int) -> int:
-    return min(MOST_BITS, max(LEAST_BITS, (16 * n).bit_length()))
+def _longer(keys: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
+    """Keys of phrases that have become n words long."""
+    keys = (keys ^ (keys >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + hashes
+    return _key((keys ^ (keys >> np.uint64(32))) * np.uint64(0x94D049BB133111EB), n)
 
 
-def added(known: Bits, phrases: DataFrame) -> Bits | None:
-    """``known`` with the phrases, which may be parts of longer ones; None if it has all their bits.
+def added(known: Bits, keys: DataFrame) -> Bits | None:
+    """``known`` with the keys, if it has not all their bits, else None.
 
     Tasks set bits in parts of 32,768, so the driver gets the map and never the phrases.
     """
-    sent = phrases.sparkSession.sparkContext.broadcast(known)
+    sent = keys.sparkSession.sparkContext.broadcast(known.bits)
 
     def places(batches):
+        there = Bits(sent.value)
         for batch in batches:
-            raw = batch.column(0).to_pylist()
-            for n in range(1, LONGEST):
-                rows = np.frombuffer(b"".join(g for g in raw if len(g) == 8 * n), "<u8").reshape(-1, n)
-                keys = rows[:, 0]
-                for i in range(1, n):
-                    keys = _longer(keys, rows[:, i])
-                yield pa.RecordBatch.from_arrays([pa.array(sent.value.places(keys[~sent.value.has(keys)]) + 1)], ["place"])
+            own = batch.column(0).to_numpy().view(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(there.places(own[~there.has(own)]) + 1)], ["place"])
 
     parts = (
-        phrases.select("gram").mapInArrow(places, "place bigint")
+        keys.select("key").mapInArrow(places, "place bigint")
         .groupBy(F.bitmap_bucket_number("place").alias("part"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
         .collect()  # at most 2 ** (MOST_BITS - 15) rows of 4 KB
@@ -180,71 +207,110 @@ def added(known: Bits, phrases: DataFrame) -> Bits | None:
         new = np.frombuffer(part["bits"], np.uint8)
         at = (part["part"] - 1) << 12
         more[at : at + 4096] |= new[: len(more) - at]
-    return Bits(known.log2, more)
+    return Bits(more)
 
 
-def count_chunk(ids: np.ndarray, hashes: np.ndarray, before: Bits, known: Bits) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Phrases of a chunk that ``known`` opens and ``before`` does not, as rows of hashes, with counts.
+def count_chunk(ids, hashes, before: Bits, known: Bits, longest: int, sieve: Bits | None = None) -> Iterator[tuple]:
+    """Phrases of a chunk that ``known`` opens and ``before`` does not: keys, rows of hashes, counts.
 
-    A phrase is open when it is there without its last and without its first word, and these two are open themselves."""
+    A phrase is open when it is there without its last and without its first word, and these two
+    are open themselves. With a ``sieve``, only those that it has."""
     v = len(hashes)
     h = np.append(hashes, np.uint64(0))[ids]
-    key = h.copy()
+    key = _key(h, 1)
     is_word = ids >= 0
     new, old = is_word & known.has(key), is_word & before.has(key)
     wide = ids.astype(np.int64)
-    for n in range(2, LONGEST + 1):
+    for n in range(2, longest + 1):
         m = len(new) - 1
         if m < 1:
             return
         at = np.flatnonzero(new[:m] & new[1:])
         done = old[at] & old[at + 1]
+        key[at] = _longer(key[at], h[at + n - 1], n)
         todo = at[~done]
+        if sieve is not None:
+            todo = todo[sieve.has(key[todo])]
         if len(todo):
             code = wide[todo]
             for i in range(1, n):
                 if i > 1:
                     code = np.unique(code, return_inverse=True)[1]
                 code = code * v + wide[todo + i]
-            if n == 2:
-                code, counts = np.unique(code, return_counts=True)
-                yield np.stack([hashes[code // v], hashes[code % v]], 1), counts
-            else:
-                _, first, counts = np.unique(code, return_index=True, return_counts=True)
-                yield h[todo[first][:, None] + np.arange(n)], counts
-        key[at] = _longer(key[at], h[at + n - 1])
+            _, first, counts = np.unique(code, return_index=True, return_counts=True)
+            first = todo[first]
+            yield key[first], h[first[:, None] + np.arange(n)], counts
         new, old = np.zeros(m, bool), np.zeros(m, bool)
         new[at] = known.has(key[at])
         old[at[done]] = before.has(key[at[done]])
 
 
-def counted(cut: DataFrame, seed: int, before: Bits, known: Bits, least: int) -> DataFrame:
-    """Phrases (gram, f) with ``least`` occurrences among those that ``known`` opens and ``before`` does not."""
+def _counted(cut: DataFrame, before: Bits, known: Bits, longest: int, sieve: Bits | None, by_key: bool) -> DataFrame:
+    """Rows (key, f), or (h0 .. h3, key, f), of the phrases of each chunk."""
     context = cut.sparkSession.sparkContext
-    sent = context.broadcast(before), context.broadcast(known)
+    sent = [bits and context.broadcast(bits.bits) for bits in (before, known, sieve)]
+    names = ["key", "f"] if by_key else [*_HASHES, "key", "f"]
 
     def run(batches):
+        maps = [bits and Bits(bits.value) for bits in sent]
         for batch in batches:
-            for langs, own, ids in zip(*(batch.column(i) for i in range(3))):
-                hashes = _hashes(langs.as_py(), own.as_py(), seed)
+            for hashes, ids in zip(batch.column(0), batch.column(1)):
+                hashes = _array(hashes, np.uint64)
                 if not len(hashes):
                     continue
-                for grams, counts in count_chunk(np.frombuffer(ids.as_py(), np.int32), hashes, sent[0].value, sent[1].value):
-                    for i in range(0, len(grams), SENT):
-                        yield pa.RecordBatch.from_arrays([_binary(grams[i : i + SENT]), pa.array(counts[i : i + SENT])], ["gram", "f"])
+                for keys, grams, counts in count_chunk(_array(ids, np.int32), hashes, maps[0], maps[1], longest, maps[2]):
+                    for i in range(0, len(keys), SENT):
+                        part = slice(i, i + SENT)
+                        columns = [keys[part].view(np.int64), counts[part].astype(np.int64)]
+                        if not by_key:
+                            none = np.zeros(len(columns[0]), np.int64)
+                            own = [np.ascontiguousarray(grams[part, j]).view(np.int64) for j in range(grams.shape[1])]
+                            columns = [*own, *[none] * (LONGEST - len(own)), *columns]
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+                pa.default_memory_pool().release_unused()
+
+    return cut.select("hashes", "ids").mapInArrow(run, ", ".join(f"{c} bigint" for c in names))
+
+
+_HASHES = ["h0", "h1", "h2", "h3"]
+
+
+def sieved(cut: DataFrame, before: Bits, known: Bits, least: int, longest: int) -> DataFrame:
+    """Keys (key) whose open phrases have ``least`` occurrences together."""
+    rows = _counted(cut, before, known, longest, None, True)
+    return staged(rows.groupBy("key").agg(F.sum("f").alias("f")).where(F.col("f") >= least).select("key"), "keys")
+
+
+def counted(cut: DataFrame, before: Bits, known: Bits, sieve: Bits | None) -> DataFrame:
+    """Open phrases (gram, key, f) with LEAST occurrences, by all their words."""
+    rows = _counted(cut, before, known, LONGEST, sieve, False)
+    summed = rows.groupBy(*_HASHES, "key").agg(F.sum("f").alias("f")).where(F.col("f") >= LEAST)
+    gram = F.concat(*[F.when(F.col(c) != 0, _bytes(c)).otherwise(F.unhex(F.lit(""))) for c in _HASHES])
+    return staged(summed.select(gram.alias("gram"), "key", "f"), "phrases")
+
+
+def proposed(sample: DataFrame, words_: Bits) -> Bits:
+    """``words_`` and the phrases that the sample proposes, level by level; the longest open nothing and are left out."""
+    before, known = Bits(np.zeros_like(words_.bits)), words_
+    while known:
+        before, known = known, added(known, sieved(sample, before, known, SAMPLE_LEAST, LONGEST - 1))
+    return before
 
-    rows = cut.select("langs", "words", "ids").mapInArrow(run, "gram binary, f bigint")
-    return staged(rows.groupBy("gram").agg(F.sum("f").alias("f")).where(F.col("f") >= least), "phrases")
 
+def mine(cut: DataFrame, known: Bits) -> DataFrame:
+    """All phrases (gram, f) with LEAST occurrences; ``known`` has their words, and what is proposed.
 
-def mine(cut: DataFrame, seed: int, known: Bits, least: int) -> DataFrame:
-    """All phrases (gram, f) with ``least`` occurrences; ``known`` has their words, and what is proposed."""
-    before, found = Bits(known.log2), None
+    The border of the first pass is large: it is counted by key first, and only phrases whose
+    key has enough by all their words. The later passes count what failures open."""
+    before = Bits(np.zeros_like(known.bits))
+    keys = sieved(cut, before, known, LEAST, LONGEST)
+    sieve, found = added(Bits.empty(keys.count()), keys) or Bits.empty(0), None
     while known:
-        more = counted(cut, seed, before, known, least)
+        more = counted(cut, before, known, sieve)
         found = more if found is None else found.unionByName(more)
-        before, known = known, added(known, more.where(F.length("gram") < 8 * LONGEST))
-    return found
+        before, known = known, added(known, more.where(F.col("key").bitwiseAND(F.lit(3)) < LONGEST - 1))
+        sieve = None
+    return found.select("gram", "f")
 
 
 def _n(gram: str = "gram") -> Column:
@@ -289,12 +355,8 @@ def collocations(docs: DataFrame) -> DataFrame:
     like any other. Equal scores and counts are ranked by the phrase. Other columns are
     not read.
     """
-    cut = chunks(docs)
-    named, seed = words(cut)
-    often = named.where(F.col("f") >= LEAST).select("gram")
-    n = often.count()
-    proposed = mine(cut.where("sample"), seed, added(Bits(log2_bits(8 * n)), often) or Bits(LEAST_BITS), SAMPLE_LEAST)
-    proposed = proposed.where(F.length("gram") < 8 * LONGEST).select("gram")
-    start = Bits(log2_bits(n + proposed.count()))
-    known = added(start, often.unionByName(proposed)) or start
-    return top_phrases(named, mine(cut, seed, known, LEAST))
+    cut, named = words(docs)
+    often = named.where(F.col("f") >= LEAST).select(F.expr("hash & ~3L").alias("key"))
+    known = Bits.empty(often.count() * KNOWN)
+    known = added(known, often) or known
+    return top_phrases(named, mine(cut, proposed(cut.where("sample = 1"), known)))

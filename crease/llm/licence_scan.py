@@ -220,9 +220,9 @@ def chains(anchors: list[tuple[int, int, int]], size: int) -> list[tuple[int, in
 
 
 def _apart(notices: list[Notice]) -> list[Notice]:
-    """Of the notices of a label that overlap, the one with the best share, then the longest, then the first."""
+    """Of the notices of a label that overlap, the longest, then the one with the best share, then the first."""
     kept: list[Notice] = []
-    for one in sorted(notices, key=lambda x: (-x[3], x[1] - x[2], x[1], x[0])):
+    for one in sorted(notices, key=lambda x: (x[1] - x[2], -x[3], x[1], x[0])):
         if all(one[0] != x[0] or one[2] <= x[1] or x[2] <= one[1] for x in kept):
             kept.append(one)
     return sorted(kept, key=lambda x: (x[1], x[0]))

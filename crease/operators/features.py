@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from crease import constants as K
 from crease.functions.scalars import flag, floor_at_zero, is_boundary, is_dot, is_six, ratio, total
-from crease.operators.running import beside_totals, running_totals
+from crease.operators.ranks import keys_at
+from crease.session import staged
 
 INNINGS_KEY = ("match_id", "season", "innings", "batting_team")
 
@@ -144,36 +145,20 @@ def training_split(
 
     All rows of a unit go to the same side. In each stratum the units are put in the
     order of a hash of their key; the first ``train_share`` of them train. The same
-    data always gives the same split, whatever its partitions.
+    data always gives the same split, whatever its partitions. The hash of the last unit
+    that trains is found by selection; rows are then compared with it where they lie.
     """
     unit, strata = list(unit), list(strata)
     part, whole = train_share
     text = F.concat_ws("|", F.lit(str(seed)), *(F.col(c).cast("string") for c in unit))
+    # A stratum may be NULL; the key of a join may not, so it is taken as text.
+    stratum = F.to_json(F.struct(*strata)) if strata else F.lit("")
     keys = list(dict.fromkeys([*strata, *unit]))
-    # A stratum may be NULL; the key of a window or join may not, so it is taken as text.
-    stratum = ["__stratum"] if strata else []
-    units = frame.select(*keys).distinct().withColumn("__hash", F.md5(text))
-    if strata:
-        units = units.withColumn("__stratum", F.to_json(F.struct(*strata)))
-    units = units.withColumns(
-        {"__coarse": F.substring("__hash", 1, 3), "__fine": F.substring("__hash", 1, 6)}
-    )
-    placed = running_totals(
-        units, stratum, ["__coarse", "__fine"], ["__hash", *unit], {"__place": F.lit(1)}
-    )
-    if strata:
-        sizes = units.groupBy(*stratum).agg(F.count(F.lit(1)).alias("__size"))
-        placed = beside_totals(placed, sizes, stratum, F.col("__hash"))
-    else:
-        placed = placed.withColumn("__size", units.agg(F.count(F.lit(1))).scalar())
-    sides = placed.select(
-        *(F.col(c).alias(f"__k_{c}") for c in keys),
-        flag(F.col("__place") * whole <= F.col("__size") * part).alias(name),
-    )
-    same = F.lit(True)
-    for c in keys:
-        same = same & F.col(c).eqNullSafe(F.col(f"__k_{c}"))
-    return frame.join(sides, same).drop(*(f"__k_{c}" for c in keys))
+    units = frame.select(*keys).distinct().select(stratum.alias("group"), F.md5(text).alias("key"))
+    cuts = keys_at(staged(units, "units"), {"cut": f"n * {part} div {whole}"})
+    cuts = cuts.select(F.col("group").alias("__group"), F.col("key").alias("__cut"))
+    sides = frame.withColumns({"__group": stratum, "__key": F.md5(text)}).join(cuts, "__group", "left")
+    return sides.withColumn(name, flag(F.coalesce(F.col("__key") <= F.col("__cut"), F.lit(False)))).drop("__group", "__key", "__cut")
 
 
 def season_decay_weight(frame: DataFrame, decay: float = K.SEASON_DECAY, name: str = "weight") -> DataFrame:

@@ -8,7 +8,7 @@ that feed another operator.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -26,8 +26,8 @@ def season_summary(
     innings score once per ball. The multiples are applied to per-match totals, so
     the joined rows are never built.
 
-    No distinct count is made over the balls: they are added up per match and player
-    first, and the few rows that leaves are counted per season.
+    The balls are read once: they are added up per match, role and player, and the few
+    rows that leaves are summed and counted per season.
     """
     per_match = innings.groupBy("match_id").agg(
         F.count(F.lit(1)).alias("innings_count"),
@@ -36,18 +36,18 @@ def season_summary(
     )
     header = matches.select("match_id", "season").join(per_match, "match_id", "left")
 
-    none = F.lit(None).cast("bigint")
-    batters = deliveries.groupBy("match_id", F.col("batter").alias("player")).agg(
-        F.count(F.lit(1)).alias("balls"),
-        total("total_runs").alias("runs"),
-        total("wicket_count").alias("wickets"),
-        total("is_legal_ball").alias("legal"),
-    )
-    bowlers = deliveries.select("match_id", F.col("bowler").alias("player")).distinct()
-    people = batters.withColumn("role", F.lit("batter")).unionByName(
-        bowlers.select(
-            "*", *(none.alias(c) for c in ("balls", "runs", "wickets", "legal")), F.lit("bowler").alias("role")
-        )
+    # A ball is a row of its batter, which carries the sums, and one of its bowler.
+    def person(role: str, player: str, *values: Column) -> Column:
+        names = ("balls", "runs", "wickets", "legal")
+        cells = (v.cast("bigint").alias(n) for n, v in zip(names, values))
+        return F.struct(F.lit(role).alias("role"), F.col(player).alias("player"), *cells)
+
+    batter = person("batter", "batter", F.lit(1), *map(F.col, ("total_runs", "wicket_count", "is_legal_ball")))
+    bowler = person("bowler", "bowler", *[F.lit(None)] * 4)
+    people = (
+        deliveries.select("match_id", F.inline(F.array(batter, bowler)))
+        .groupBy("match_id", "role", "player")
+        .agg(*(total(c).alias(c) for c in ("balls", "runs", "wickets", "legal")))
     )
 
     factor = F.lit(1) if exact else F.greatest(F.coalesce(F.col("innings_count"), F.lit(1)), F.lit(1))

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__  # registers the queries of the match tables
 from contract.queries import QUERIES
 
-TRAINED = ("m08", "m09", "m10_halfway", "m11_win", "m16", "m18_score", "m20")
+TRAINED = ("m08", "m09", "m10_halfway", "m11_win", "m16", "m18_score", "m20", "s12")
 LAZY = sorted(n for n in QUERIES if not n.startswith(TRAINED))
 
 
@@ -51,7 +51,7 @@ def test_sums_are_combined_before_the_shuffle(spark, sf):
 
 @pytest.mark.parametrize(
     "name, scans",
-    [("j10_player_outer", 2), ("a16_team_phase", 1), ("a07_top_batters_phase", 1), ("a11_phase_summary", 2)],
+    [("a01_season_summary_exact", 3), ("a01_season_summary_compat", 3), ("j10_player_outer", 2), ("a16_team_phase", 1), ("a07_top_batters_phase", 1), ("a11_phase_summary", 2)],
 )
 def test_balls_are_not_scanned_again(spark, sf, name, scans):
     df = QUERIES[name](spark, sf)

@@ -68,8 +68,8 @@ def _(spark, sf):
 @register("s07_full_refresh", "select * from customer", tables=False)
 def _(spark, sf):
     path, rows = _folder(spark, "refresh"), A.read(spark, sf, "customer")
-    tables.write_table(rows.unionByName(rows), path)
-    tables.write_table(rows, path)
+    tables.refresh_table(rows.unionByName(rows), path)
+    tables.refresh_table(tables.read_table(spark, path).distinct(), path)
     return tables.read_table(spark, path, rows.schema)
 
 

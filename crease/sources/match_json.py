@@ -43,6 +43,12 @@ def scan_documents(spark: SparkSession, folder: str, stream: bool = False, **opt
     )
 
 
+def listed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(file, size, stamp) of the documents in a folder; their content is not read."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(folder)
+    return found.select(F.col("path").alias("file"), F.col("length").alias("size"), F.col("modificationTime").alias("stamp"))
+
+
 def good_documents(scanned: DataFrame) -> DataFrame:
     return scanned.filter(F.col(CORRUPT).isNull()).select("match_id", "info", "innings")
 

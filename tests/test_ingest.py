@@ -216,3 +216,72 @@ def test_running_batting_totals_of_a_stream(spark, folder, documents):
     query.awaitTermination()
     want = normalize.deliveries_table(documents).groupBy("batter").sum("batter_runs")
     assert sorted(map(str, spark.table("batting").collect())) == sorted(map(str, want.collect()))
+
+
+def values(df):
+    return sorted(r["n"] for r in df.collect())
+
+
+def failing(spark):
+    from pyspark.sql import functions as F
+
+    return spark.range(0, 1000, 1, 8).select(F.when(F.col("id") < 990, F.col("id")).otherwise(F.raise_error(F.lit("midway"))).alias("n"))
+
+
+def test_a_refresh_that_fails_leaves_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "table")
+    assert tables.refresh_table(spark.range(5).toDF("n"), path) == 5
+    with pytest.raises(Exception, match="midway"):
+        tables.refresh_table(failing(spark), path)
+    assert values(tables.read_table(spark, path)) == [0, 1, 2, 3, 4]
+    assert len([p for p in (tmp_path / "table").iterdir() if p.is_dir()]) == 1
+    plain = str(tmp_path / "plain")
+    tables.write_table(spark.range(3).toDF("n"), plain)
+    with pytest.raises(Exception, match="midway"):
+        tables.write_table(failing(spark), plain)
+    assert values(spark.read.parquet(plain)) == [0, 1, 2] and {p.name for p in tmp_path.iterdir()} == {"table", "plain"}
+
+
+def test_a_table_is_refreshed_from_itself(spark, tmp_path):
+    path = str(tmp_path / "table")
+    tables.refresh_table(spark.range(4).toDF("n"), path)
+    before = tables.read_table(spark, path)
+    for _ in range(3):
+        tables.refresh_table(tables.read_table(spark, path).selectExpr("n + 1 as n"), path)
+    assert values(tables.read_table(spark, path)) == [3, 4, 5, 6]
+    assert len([p for p in (tmp_path / "table").iterdir() if p.is_dir()]) == 2
+    tables.refresh_table(spark.range(2).toDF("n"), str(tmp_path / "kept"), keep=9)
+    first = tables.read_table(spark, str(tmp_path / "kept"))
+    tables.refresh_table(spark.range(9).toDF("n"), str(tmp_path / "kept"), keep=9)
+    assert values(first) == [0, 1] and before.columns == ["n"]
+    for kind in ("csv", "json"):
+        place = str(tmp_path / kind)
+        tables.refresh_table(spark.range(2).toDF("n"), place, kind)
+        tables.refresh_table(spark.range(3).toDF("n"), place, kind)
+        assert values(tables.read_table(spark, place, before.schema, kind)) == [0, 1, 2]
+
+
+def test_only_new_and_changed_files_are_read(spark, tmp_path, monkeypatch):
+    docs, target = tmp_path / "docs", str(tmp_path / "out")
+    docs.mkdir()
+    for name in ("1", "2", "3"):
+        (docs / f"{name}.json").write_text(json.dumps(document(innings=FULL)))
+    (docs / "bad.json").write_text("{")
+    assert plan.ingest_new(spark, str(docs), target)["matches"] == 3
+    scans = []
+    scan = plan.scan_documents
+    monkeypatch.setattr(plan, "scan_documents", lambda s, files: scans.append(sorted(f.rsplit("/", 1)[1] for f in files)) or scan(s, files))
+    assert plan.ingest_new(spark, str(docs), target) == {} and scans == []
+    (docs / "4.json").write_text(json.dumps(document(innings=FULL)))
+    (docs / "2.json").write_text(json.dumps(document(season=2019, innings=[])))
+    (docs / "bad.json").write_text(json.dumps(document(season=2018)))
+    counts = plan.ingest_new(spark, str(docs), target)
+    assert scans == [["2.json", "4.json", "bad.json"]]
+    assert counts["matches"] == 5 and counts["skipped_files"] == 0
+    stored = {name: rows(tables.read_table(spark, f"{target}/{name}", schema)) for name, schema in schemas.TABLES.items()}
+    monkeypatch.setattr(plan, "scan_documents", scan)
+    plan.ingest(spark, str(docs), str(tmp_path / "whole"))
+    for name, schema in schemas.TABLES.items():
+        whole = rows(tables.read_table(spark, str(tmp_path / "whole" / name), schema))
+        assert sorted(map(repr, whole)) == sorted(map(repr, stored[name])), name
+    assert plan.ingest_new(spark, str(docs), target) == {}

@@ -23,8 +23,9 @@ the pairs within components too and returns them all.
 
 from __future__ import annotations
 
-import functools
 import gc
+import itertools
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crease.llm.components import components
 from crease.session import staged
@@ -47,9 +49,9 @@ LEAST_ROOM = 100
 #: Ids that may be sent to every task (16 MB); beyond that the join is shuffled.
 MOST_SENT = 1_000_000
 #: The cost of an index entry is 1; of a chance match, as many entries; an element is shared by chance so often.
-MATCH_COST, SHARED = 200.0, 0.2
-#: From this size on sets take whole segments: an entry for each element is more than the matches by chance cost.
-LARGE_SET = 50
+MATCH_COST, SHARED = 200.0, 0.115
+#: Bytes of a key in an entry, besides those that its bucket tells, and entries of a bucket, about.
+KEY_BYTES, BUCKET_ENTRIES = 6, 4_000_000
 
 _U = np.uint64
 
@@ -61,9 +63,17 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-@functools.cache
+_KEPT: dict[int, tuple] = {}
+
+
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Random numbers of the bytes, powers of an odd base and of its inverse, and the signs of white space."""
+    if n not in _KEPT:
+        _KEPT[n] = _new_tables(n)
+    return _KEPT[n]
+
+
+def _new_tables(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     base = 0x9E3779B97F4A7C15
     inverse = pow(base, -1, 1 << 64)
     with np.errstate(over="ignore"):
@@ -147,7 +157,7 @@ class Scheme:
         whole = h + 1 + -(-(h + 1) // 5)
         half = -(-(h + 1) // 2)
         cost = lambda entries, size: entries * (1 + MATCH_COST * SHARED**size)
-        if n < LARGE_SET and cost(half + n, n / half - 1) < cost(h + 1, n / whole):
+        if cost(half + n, n / half - 1) < cost(h + 1, n / whole):
             return half, half, True
         return whole, h + 1, False
 
@@ -216,50 +226,112 @@ def _class_keys(owner: np.ndarray, token: np.ndarray, n: int) -> list[np.ndarray
     return [_sums(owner, _mix(token + _U(seed)), n).view(np.int64) for seed in (1, 2)]
 
 
-def indexed(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n, k1, k2, keys): the size of the set, what identifies it, and its index keys."""
+def _class_ids(n: np.ndarray, k1: np.ndarray, k2: np.ndarray, seed: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return _mix(k1.view(_U) + _mix(k2.view(_U) + _mix(n.astype(_U) + _U(seed)))).view(np.int64)
+
+
+def _described(texts: list[bytes], words: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Owners and tokens of the sets, their sizes, and k1, k2 and the class id of each."""
+    owner, token = shingles(texts, words)
+    sizes = np.bincount(owner, minlength=len(texts))
+    k1, k2 = _class_keys(owner, token, len(texts))
+    return owner, token, sizes, [k1, k2, _class_ids(sizes, k1, k2, seed)]
+
+
+def _read(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+
+
+def described(docs: DataFrame, words: int, seed: int) -> DataFrame:
+    """(doc_id, n, k1, k2, cid): the size of the set, what identifies it, and its class id, null for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.collect()  # the tables of the task before this one in the same worker
-        scheme = Scheme(percent)
         for batch in batches:
             for ids, texts in _parts(batch):
-                owner, token = shingles(texts, words)
-                sizes = np.bincount(owner, minlength=len(texts))
-                of, key = signatures(owner, token, sizes, scheme)
-                offsets = np.append(0, np.cumsum(np.bincount(of, minlength=len(texts)))).astype(np.int32)
-                k1, k2 = _class_keys(owner, token, len(texts))
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(key.view(np.int64)))
-                yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(sizes.astype(np.int64)), pa.array(k1), pa.array(k2), lists], ["doc_id", "n", "k1", "k2", "keys"]
-                )
-
-    kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n long, k1 long, k2 long, keys array<long>"
-    )
+                _, _, sizes, (k1, k2, cid) = _described(texts, words, seed)
+                columns = [pa.array(sizes.astype(np.int64)), pa.array(k1), pa.array(k2), pa.array(cid, mask=sizes == 0)]
+                yield pa.RecordBatch.from_arrays([ids, *columns], ["doc_id", "n", "k1", "k2", "cid"])
+
+    return _read(docs).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n long, k1 long, k2 long, cid long")
+
 
+def entries(docs: DataFrame, words: int, percent: int, seed: int, buckets: int) -> DataFrame:
+    """Index entries (bucket, cid, keys): the keys of a class that fall into a bucket, in KEY_BYTES bytes each.
 
-def shingle_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, n, k1, k2, tokens): the sets themselves."""
+    A task has the entries of a class once, however many copies it reads. Nothing is stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.collect()  # the tables of the task before this one in the same worker
+        scheme, done = Scheme(percent), set()
         for batch in batches:
-            for ids, texts in _parts(batch):
-                owner, token = shingles(texts, words)
-                sizes = np.bincount(owner, minlength=len(texts))
-                offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
-                k1, k2 = _class_keys(owner, token, len(texts))
+            for _, texts in _parts(batch):
+                owner, token, sizes, (_, _, cid) = _described(texts, words, seed)
+                fresh = np.zeros(len(texts), bool)
+                for i, c in enumerate(cid.tolist()):
+                    if sizes[i] and c not in done:
+                        done.add(c)
+                        fresh[i] = True
+                chosen = fresh[owner]
+                of, key = signatures((np.cumsum(fresh) - 1)[owner[chosen]], token[chosen], sizes[fresh], scheme)
+                if not len(key):
+                    continue
+                bucket = ((key >> _U(40)) * _U(buckets) >> _U(24)).astype(np.int64)
+                order = np.argsort(of * buckets + bucket, kind="stable")
+                of, bucket, key = of[order], bucket[order], key[order]
+                first = np.flatnonzero(np.append(True, (of[1:] != of[:-1]) | (bucket[1:] != bucket[:-1])))
+                raw = np.ascontiguousarray(key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES])
+                offsets = (np.append(first, len(key)) * KEY_BYTES).astype(np.int32)
+                keys = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+                columns = [pa.array(bucket[first].astype(np.int32)), pa.array(cid[fresh][of[first]]), keys]
+                yield pa.RecordBatch.from_arrays(columns, ["bucket", "cid", "keys"])
+
+    return _read(docs).mapInArrow(run, "bucket int, cid long, keys binary")
+
+
+def centres(found: DataFrame, buckets: int) -> DataFrame:
+    """(centre, cid): for each class that shares a key with others the least class that has it. A task has whole buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, cids, keys = [], [], []
+        for batch in batches:
+            blob = batch.column(2)
+            counts = np.diff(np.frombuffer(blob.buffers()[1], np.int32)[blob.offset : blob.offset + len(blob) + 1]) // KEY_BYTES
+            raw = np.frombuffer(b"".join(blob.to_pylist()), np.uint8).reshape(-1, KEY_BYTES)
+            wide = np.zeros((len(raw), 8), np.uint8)
+            wide[:, :KEY_BYTES] = raw
+            keys.append(wide.view("<u8").ravel())
+            cids.append(np.repeat(batch.column(1).to_numpy(), counts))
+            names.append(np.repeat(batch.column(0).to_numpy(), counts))
+        if not keys:
+            return
+        name, cid, key = np.concatenate(names), np.concatenate(cids), np.concatenate(keys)
+        order = np.lexsort((cid, key, name))
+        name, cid, key = name[order], cid[order], key[order]
+        new = np.append(True, (name[1:] != name[:-1]) | (key[1:] != key[:-1]))
+        centre = cid[np.flatnonzero(new)][np.cumsum(new) - 1]  # the first of a group is its least
+        other = centre != cid
+        pairs = np.unique(np.stack([centre[other], cid[other]], 1), axis=0) if other.any() else np.zeros((0, 2), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, i])) for i in (0, 1)], ["centre", "cid"])
+
+    return found.repartition(buckets, "bucket").mapInArrow(run, "centre long, cid long").distinct()
+
+
+def shingle_sets(docs: DataFrame, words: int, seed: int) -> DataFrame:
+    """(cid, n, tokens): the sets themselves, without empty ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.collect()  # the tables of the task before this one in the same worker
+        for batch in batches:
+            for _, texts in _parts(batch):
+                owner, token, sizes, (_, _, cid) = _described(texts, words, seed)
+                some = sizes > 0
+                offsets = np.append(0, np.cumsum(sizes[some])).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(token.view(np.int64)))
-                yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(sizes.astype(np.int64)), pa.array(k1), pa.array(k2), lists], ["doc_id", "n", "k1", "k2", "tokens"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(cid[some]), pa.array(sizes[some].astype(np.int64)), lists], ["cid", "n", "tokens"])
 
-    kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n long, k1 long, k2 long, tokens array<long>"
-    )
+    return _read(docs).mapInArrow(run, "cid long, n long, tokens array<long>")
 
 
 def _sent(ids: DataFrame) -> DataFrame:
@@ -309,20 +381,18 @@ def _block_links(percent: int):
     return run
 
 
-def _met_at_centres(base: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+def _met_at_centres(base: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int, seed: int) -> tuple[DataFrame, DataFrame]:
     """The sets of classes that share a key with others, and each of them with its centres, verified; both stored."""
-    of_class = base.join(
-        classes.select(F.col("first").alias("doc_id"), "n", "k1", "k2", "cid"), ["doc_id", "n", "k1", "k2"]
-    )
-    entries = of_class.select("cid", F.explode("keys").alias("key")).repartition("key")
-    centres = entries.groupBy("key").agg(F.min("cid").alias("centre"), F.max("cid").alias("last")).where("centre < last").drop("last")
-    members = entries.join(centres, "key").where("cid <> centre").select("centre", "cid").distinct()
-    members = staged(members, "members")
+    # A set of n shingles has fewer than n + 2 entries in a scheme and is in two at most.
+    most = 2 * (classes.agg(F.sum(F.col("n") + 2)).head()[0] or 0)
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-most // BUCKET_ENTRIES))
+    members = staged(centres(entries(docs, words, percent, seed, buckets), buckets), "members")
 
     needed = members.select("cid").unionByName(members.select(F.col("centre").alias("cid"))).distinct()
-    needed = staged(needed.join(classes, "cid").select("cid", F.col("first").alias("doc_id"), "n", "k1", "k2"), "needed")
-    texts = docs.join(_sent(needed.select("doc_id").distinct()), "doc_id", "left_semi")
-    sets = shingle_sets(texts, words).join(needed, ["doc_id", "n", "k1", "k2"]).select("cid", "n", "tokens").dropDuplicates(["cid"])
+    needed = staged(needed.join(classes, "cid").select("cid", "first"), "needed")
+    ids = _sent(needed.select(F.col("first").alias("__id")).distinct())
+    texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["__id"]), "left_semi")
+    sets = shingle_sets(texts, words, seed).join(needed.select("cid"), "cid").dropDuplicates(["cid"])
     sets = staged(sets, "sets")
 
     return sets, staged(_verified(members.select(F.col("centre").alias("a"), F.col("cid").alias("b")), sets, percent), "near")
@@ -366,19 +436,25 @@ def _met_beside_centres(sets: DataFrame, near: DataFrame, comps: DataFrame | Non
     return more.unionByName(by_blocks)
 
 
-def class_components(base: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def class_components(base: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int, seed: int) -> DataFrame:
     """(node, component) of the classes that are linked with others. ``base`` and ``classes`` are stored."""
-    sets, near = _met_at_centres(base, classes, docs, words, percent)
+    sets, near = _met_at_centres(base, classes, docs, words, percent, seed)
     links = near.where("linked").select("a", "b")
     comps = staged(components(links), "components")
     return components(links.unionByName(_met_beside_centres(sets, near, comps, percent)))
 
 
-def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """``indexed`` documents, and the classes of equal sets with their ids; both stored, so the ids stay."""
-    base = staged(indexed(docs, words, percent), "indexed")
-    classes = base.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("first"))
-    return base, staged(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+def _classes(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame, int]:
+    """``described`` documents, the classes of equal sets (cid, n, first), and the seed that gives no two classes one id; stored."""
+    for seed in itertools.count():
+        base = staged(described(docs, words, seed), "described")
+        same = F.lit(True)
+        for c in ("n", "k1", "k2"):
+            same = same & (F.min(c) == F.max(c))
+        classes = base.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("first"), F.min("n").alias("n"), same.alias("same"))
+        classes = staged(classes, "classes")
+        if not classes.where("not same").head(1):
+            return base, classes.drop("same"), seed
 
 
 def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -387,12 +463,11 @@ def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[
     Documents of one class are linked with each other, and with all of the classes that theirs is paired with. Null
     texts and those without words are in no class: their cid is null. The pairs grow with the square of a group of near copies.
     """
-    base, classes = _classes(docs, words, percent)
-    sets, near = _met_at_centres(base, classes, docs, words, percent)
+    base, classes, seed = _classes(docs, words)
+    sets, near = _met_at_centres(base, classes, docs, words, percent, seed)
     found = near.where("linked").select("a", "b").unionByName(_met_beside_centres(sets, near, None, percent))
     pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    members = base.select("doc_id", "n", "k1", "k2").join(classes.select("n", "k1", "k2", "cid"), ["n", "k1", "k2"], "left")
-    return pairs, members.select("doc_id", "cid")
+    return pairs, base.select("doc_id", "cid")
 
 
 def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -402,19 +477,55 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     without words, have no shingle and are linked with nothing: their component is their own
     id. A null doc_id counts as larger than all; repeated rows are copies of each other.
     """
-    base, classes = _classes(docs, words, percent)
-    comps = staged(class_components(base, classes, docs, words, percent), "components")
-    joined = classes.join(comps.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    least = joined.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = joined.join(least, "component").select("n", "k1", "k2", "component_id")
-    return base.drop("keys").join(named, ["n", "k1", "k2"], "left").select(
+    base, named, _ = _named(docs, words, percent)
+    return base.join(named, "cid", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
+def _named(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame, int]:
+    """``described`` documents, and of each class (cid) the least doc_id of its component, nulls last, and the class that has it."""
+    base, classes, seed = _classes(docs, words)
+    comps = staged(class_components(base, classes, docs, words, percent, seed), "components")
+    joined = classes.join(comps.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    best = F.min(F.struct(F.col("first").isNull(), "first", "cid"))
+    least = joined.groupBy("component").agg(best["first"].alias("component_id"), best["cid"].alias("of"))
+    return base, joined.join(least, "component").select("cid", "component_id", "of"), seed
+
+
+def _with_class(docs: DataFrame, words: int, seed: int, name: str) -> DataFrame:
+    """Rows with all their columns and the class of their text, null for empty sets."""
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [(t or "").encode().lower() for t in batch.column(place).to_pylist()]
+            if texts:
+                _, _, sizes, (_, _, cid) = _described(texts, words, seed)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cid, mask=sizes == 0)], [*batch.schema.names, name])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+
+
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The documents whose id names their component, all their columns as they are.
+    """One row of each group of near copies, and all rows that are linked with nothing, all their columns as they are.
 
-    So one document of each group of near copies stays, and all that are linked with nothing."""
-    gone = staged(join(docs, words, percent).where("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    return docs.join(_sent(gone), "doc_id", "left_anti").select(*docs.columns)
+    The row with the least doc_id stays, nulls last. Where rows share an id, or have none, they are
+    told apart by their texts, and one stays of those that are equal in both. Null texts and
+    those without words are linked with nothing, so all of them stay, repeated ones too.
+    """
+    base, named, seed = _named(docs, words, percent)
+    verdict = base.join(named, "cid").withColumn("stays", F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("cid") == F.col("of")))
+    verdict = staged(verdict.select("doc_id", "cid", "stays"), "verdicts")
+    several = staged(base.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "several")
+    gone = verdict.where("not stays and doc_id is not null").select("doc_id").unionByName(several).distinct()
+    alone = docs.where("doc_id is not null").join(_sent(staged(gone, "gone")), "doc_id", "left_anti").select(*docs.columns)
+
+    # Rows without an id of their own: by id and class.
+    name = "__class_" + uuid.uuid4().hex
+    shared = docs.where("doc_id is null").unionByName(docs.join(_sent(several), "doc_id", "left_semi").select(*docs.columns))
+    shared = _with_class(shared, words, seed, name)
+    stays = verdict.where("stays").select(F.col("doc_id").alias("__id"), F.col("cid").alias("__cid")).distinct()
+    same = shared["doc_id"].eqNullSafe(stays["__id"]) & (shared[name] == stays["__cid"])
+    kept = shared.join(stays, same, "left_semi").dropDuplicates(["doc_id", name])
+    return alone.unionByName(kept.drop(name)).unionByName(shared.where(F.col(name).isNull()).drop(name))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import zlib
 from collections.abc import Callable
 
@@ -45,3 +46,9 @@ def removed(spark: SparkSession, path: str) -> None:
     jvm = spark._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def settled(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of frames that are no longer referred to; it does so only after garbage is collected."""
+    gc.collect()
+    spark._jvm.System.gc()

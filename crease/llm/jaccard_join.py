@@ -35,27 +35,37 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crease.llm.common import settled
 from crease.llm.components import components
-from crease.session import staged
+from crease.session import staged as _staged
 
 #: Words of a shingle, and the similarity of a link in percent.
 WORDS, PERCENT = 4, 85
 #: Characters hashed at once.
-CHUNK = 1_500_000
+CHUNK = 1_000_000
 #: Groups of a centre up to this size are paired; larger ones go by blocks of so many shingles.
 SMALL_GROUP, BLOCK_SHINGLES = 24, 60_000
 #: What a set counts for in a block at least, where all pairs of two blocks may be links.
 LEAST_ROOM = 100
+#: Cells into which the elements of a set are counted, for a bound of what two sets share.
+CELLS = 256
 #: Ids that may be sent to every task (16 MB); beyond that the join is shuffled.
 MOST_SENT = 1_000_000
 #: The cost of an index entry is 1; of a chance match, as many entries; an element is shared by chance so often.
-MATCH_COST, SHARED = 200.0, 0.115
-#: Bytes of a key in an entry, besides those that its bucket tells, and entries of a bucket, about.
-KEY_BYTES, BUCKET_ENTRIES = 6, 4_000_000
+MATCH_COST, SHARED = 200.0, 0.11
+#: Bytes of a key in an entry, besides those that its bucket tells, entries of a bucket, about, and buckets at least.
+KEY_BYTES, BUCKET_ENTRIES, LEAST_BUCKETS = 6, 8_000_000, 64
 
 _U = np.uint64
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a written table. What was shuffled for it is not kept beside it."""
+    df = _staged(df, name)
+    settled(df.sparkSession)
+    return df
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers whose values look random."""
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
@@ -319,7 +329,7 @@ def centres(found: DataFrame, buckets: int) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, words: int, seed: int) -> DataFrame:
-    """(cid, n, tokens): the sets themselves, without empty ones."""
+    """(cid, n, tokens, cells): the sets themselves, without empty ones, and how many elements are in each cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.collect()  # the tables of the task before this one in the same worker
@@ -329,9 +339,13 @@ def shingle_sets(docs: DataFrame, words: int, seed: int) -> DataFrame:
                 some = sizes > 0
                 offsets = np.append(0, np.cumsum(sizes[some])).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(token.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(cid[some]), pa.array(sizes[some].astype(np.int64)), lists], ["cid", "n", "tokens"])
+                flat = owner * CELLS + (token >> _U(40)).astype(np.int64) % CELLS
+                counts = np.bincount(flat, minlength=len(texts) * CELLS).reshape(-1, CELLS)[some].astype(np.int32)
+                cells = pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1, dtype=np.int32) * CELLS), pa.array(counts.ravel()))
+                columns = [pa.array(cid[some]), pa.array(sizes[some].astype(np.int64)), lists, cells]
+                yield pa.RecordBatch.from_arrays(columns, ["cid", "n", "tokens", "cells"])
 
-    return _read(docs).mapInArrow(run, "cid long, n long, tokens array<long>")
+    return _read(docs).mapInArrow(run, "cid long, n long, tokens array<long>, cells array<int>")
 
 
 def _sent(ids: DataFrame) -> DataFrame:
@@ -340,14 +354,23 @@ def _sent(ids: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) with ``near``, 1 minus the Jaccard similarity, and whether they are linked."""
+    """Pairs (a, b) with the bounds ``lo`` and ``hi`` of 1 minus their Jaccard similarity, and whether they are linked; stored.
+
+    Two sets share no more than the smaller count of each cell adds up to. Pairs that this leaves
+    below the limit are not linked; only the others bring their elements together."""
+    one, two = (sets.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("cells").alias(f"cells_{c}")) for c in ("a", "b"))
+    most = F.aggregate(F.zip_with("cells_a", "cells_b", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y).cast("long")
+    bound = pairs.join(one, "a").join(two, "b").select("a", "b", most.alias("most"), (F.col("n_a") + F.col("n_b")).alias("both"))
+    might = F.expr(f"100 * most >= {percent} * (both - most)")
+    bound = staged(bound.select("a", "b", might.alias("might"), F.expr("1 - most / (both - most)").alias("lo")), "bounds")
     one = sets.select(F.col("cid").alias("a"), F.col("tokens").alias("ta"))
     two = sets.select(F.col("cid").alias("b"), F.col("tokens").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb"))
-    found = pairs.join(one, "a").join(two, "b").select("a", "b", both.alias("both"), (F.size("ta") + F.size("tb") - both).alias("all"))
-    return found.select(
-        "a", "b", (1 - F.col("both") / F.col("all")).alias("far"), (100 * F.col("both") >= percent * F.col("all")).alias("linked")
-    )
+    met = bound.where("might").select("a", "b").join(one, "a").join(two, "b")
+    met = met.select("a", "b", both.alias("both"), (F.size("ta") + F.size("tb") - both).alias("all"))
+    far = 1 - F.col("both") / F.col("all")
+    met = met.select("a", "b", far.alias("lo"), far.alias("hi"), (100 * F.col("both") >= percent * F.col("all")).alias("linked"))
+    return staged(met.unionByName(bound.where("not might").select("a", "b", "lo", F.lit(1.0).alias("hi"), F.lit(False).alias("linked"))), "near")
 
 
 def _block_links(percent: int):
@@ -385,7 +408,7 @@ def _met_at_centres(base: DataFrame, classes: DataFrame, docs: DataFrame, words:
     """The sets of classes that share a key with others, and each of them with its centres, verified; both stored."""
     # A set of n shingles has fewer than n + 2 entries in a scheme and is in two at most.
     most = 2 * (classes.agg(F.sum(F.col("n") + 2)).head()[0] or 0)
-    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-most // BUCKET_ENTRIES))
+    buckets = max(LEAST_BUCKETS, -(-most // BUCKET_ENTRIES))
     members = staged(centres(entries(docs, words, percent, seed, buckets), buckets), "members")
 
     needed = members.select("cid").unionByName(members.select(F.col("centre").alias("cid"))).distinct()
@@ -395,19 +418,19 @@ def _met_at_centres(base: DataFrame, classes: DataFrame, docs: DataFrame, words:
     sets = shingle_sets(texts, words, seed).join(needed.select("cid"), "cid").dropDuplicates(["cid"])
     sets = staged(sets, "sets")
 
-    return sets, staged(_verified(members.select(F.col("centre").alias("a"), F.col("cid").alias("b")), sets, percent), "near")
+    return sets, _verified(members.select(F.col("centre").alias("a"), F.col("cid").alias("b")), sets, percent)
 
 
 def _met_beside_centres(sets: DataFrame, near: DataFrame, comps: DataFrame | None, percent: int) -> DataFrame:
     """Links (a, b) between members of one centre: all of them, or, with the components (node, component) that the links
     with centres make, as many as join those."""
-    spread = near.select(F.col("a").alias("centre"), F.col("b").alias("cid"), "far")
+    spread = near.select(F.col("a").alias("centre"), F.col("b").alias("cid"), "lo", "hi")
     if comps is None:
         spread = spread.withColumn("comp", F.col("cid"))
     else:
         spread = spread.join(comps.withColumnRenamed("node", "cid").withColumnRenamed("component", "comp"), "cid", "left")
     spread = spread.join(sets.select("cid", "n"), "cid").withColumn("comp", F.coalesce("comp", "cid"))
-    spread = staged(spread.select("centre", "cid", "far", "n", "comp"), "spread")
+    spread = staged(spread.select("centre", "cid", "lo", "hi", "n", "comp"), "spread")
     # Groups of a centre whose members are not all in one component.
     groups = spread.groupBy("centre").agg(F.count("*").alias("g"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
     groups = groups.where("c0 < c1").select("centre", "g")
@@ -416,11 +439,11 @@ def _met_beside_centres(sets: DataFrame, near: DataFrame, comps: DataFrame | Non
     x, y = (spread.join(few, "centre").alias(name) for name in ("x", "y"))
     pairs = (
         x.join(y, F.expr("x.centre = y.centre and x.cid < y.cid and x.comp <> y.comp"))
-        .where(F.expr(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and abs(x.far - y.far) <= {room}"))
+        .where(F.expr(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and x.lo - y.hi <= {room} and y.lo - x.hi <= {room}"))
         .select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"))
         .distinct()
     )
-    more = _verified(pairs, sets, percent).where("linked").select("a", "b")
+    more = _verified(staged(pairs, "pairs"), sets, percent).where("linked").select("a", "b")
 
     line = Window.partitionBy("centre").orderBy("n", "cid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     room_of = F.col("n") if comps is not None else F.greatest("n", F.lit(LEAST_ROOM))

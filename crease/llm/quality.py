@@ -21,6 +21,8 @@ from crease.session import staged
 
 #: Largest false rejection of a stratum, and the probability that any stratum exceeds it.
 RISK, DELTA = 0.05, 0.1
+#: Ids of labelled documents that may be sent to every task (16 MB); beyond that the join is shuffled.
+MOST_SENT = 1_000_000
 #: Strata by language; all other languages, and none, are one more. Their number bounds the table of cutoffs.
 LANGUAGES = ("en", "de", "fr", "es")
 #: Rule: its cutoff at each level. A value above the cutoff rejects.
@@ -229,7 +231,10 @@ def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents that the rules keep, all their columns as they are."""
-    features = staged(with_features(docs.select("doc_id", "lang", "text")).drop("text"), "quality")
+    """Documents that the rules keep, all their columns as they are. The cutoffs need the counts of labelled documents only."""
+    ids = staged(labels.select(F.col("doc_id").alias("__id")).where("__id is not null").distinct(), "labelled")
+    ids = F.broadcast(ids) if ids.count() <= MOST_SENT else ids
+    labelled = docs.select("doc_id", "lang", "text").join(ids, F.col("doc_id") == F.col("__id"), "left_semi")
+    features = staged(with_features(labelled).drop("text"), "quality")
     cuts = staged(cutoffs(features, labels), "cutoffs")
     return with_verdict(with_features(docs), cuts).where("__kept").select(*docs.columns)

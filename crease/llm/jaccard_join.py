@@ -52,7 +52,7 @@ CELLS = 256
 #: Ids that may be sent to every task (16 MB); beyond that the join is shuffled.
 MOST_SENT = 1_000_000
 #: The cost of an index entry is 1; of a chance match, as many entries; an element is shared by chance so often.
-MATCH_COST, SHARED = 200.0, 0.11
+MATCH_COST, SHARED = 200.0, 0.105
 #: Bytes of a key in an entry, besides those that its bucket tells, entries of a bucket, about, and buckets at least.
 KEY_BYTES, BUCKET_ENTRIES, LEAST_BUCKETS = 6, 8_000_000, 64
 

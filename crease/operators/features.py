@@ -156,9 +156,12 @@ def training_split(
     keys = list(dict.fromkeys([*strata, *unit]))
     units = frame.select(*keys).distinct().select(stratum.alias("group"), F.md5(text).alias("key"))
     cuts = keys_at(staged(units, "units"), {"cut": f"n * {part} div {whole}"})
-    cuts = cuts.select(F.col("group").alias("__group"), F.col("key").alias("__cut"))
-    sides = frame.withColumns({"__group": stratum, "__key": F.md5(text)}).join(cuts, "__group", "left")
-    return sides.withColumn(name, flag(F.coalesce(F.col("__key") <= F.col("__cut"), F.lit(False)))).drop("__group", "__key", "__cut")
+    if strata:
+        cuts = cuts.select(F.col("group").alias("__group"), F.col("key").alias("__cut"))
+        sides = frame.withColumn("__group", stratum).join(cuts, "__group", "left").drop("__group")
+    else:
+        sides = frame.withColumn("__cut", cuts.agg(F.max("key")).scalar())
+    return sides.withColumn(name, flag(F.coalesce(F.md5(text) <= F.col("__cut"), F.lit(False)))).drop("__cut")
 
 
 def season_decay_weight(frame: DataFrame, decay: float = K.SEASON_DECAY, name: str = "weight") -> DataFrame:

@@ -29,8 +29,8 @@ from crease.operators import (
     matchups,
     reports,
     selections,
-    summaries,
 )
+from crease.plans.reports import insights
 from crease.session import staged
 
 # --- checkpoints ------------------------------------------------------------
@@ -556,22 +556,8 @@ def _season_report(spark, sf):
     ),
 )
 def _(spark, sf):
-    # Several reports read these two small tables, so they are stored first.
-    matches, innings = staged(A.matches(spark, sf), "matches"), staged(A.innings(spark, sf), "innings")
-    balls = A.balls(spark, sf)
-    return facts.insight_facts(
-        season=reports.season_summary(matches, balls, innings, ordered=False),
-        toss=reports.toss_impact_by_season(matches, ordered=False),
-        chasing=reports.chasing_vs_defending(matches, innings, ordered=False),
-        venues=reports.venue_summary(matches, innings, ordered=False),
-        teams=reports.team_summary(matches, ordered=False),
-        phase_batters=reports.top_batters_by_phase(balls, ordered=False),
-        death_bowlers=reports.top_death_bowlers(balls),
-        batting=summaries.batting_summary(balls, ordered=False),
-        bowling=summaries.bowling_summary(balls, ordered=False),
-        phase_gaps=summaries.phase_gap(summaries.phase_summary(A.deliveries(spark, sf))),
-        min_team_matches=40,
-    )
+    tables = {"matches": A.matches(spark, sf), "innings": A.innings(spark, sf), "deliveries": A.deliveries(spark, sf)}
+    return insights(tables, min_team_matches=40)
 
 
 @register(

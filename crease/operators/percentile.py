@@ -1,9 +1,9 @@
 """Percentile scores: share of the pool at or below a value, times 100.
 
 The pool is reduced to one row per distinct value, the counts are summed up along the
-values with :func:`running_totals`, and the share is joined back by value; all metrics of
-a call go through one pass, as one long table. Blocks are the leading bits of a value, so
-each holds a bounded number of distinct values, however the values lie.
+values, and the share is joined back by value; all metrics of a call go through one pass,
+as one long table. Blocks are the leading bits of a value, so each holds a bounded number
+of distinct values, however the values lie.
 """
 
 from __future__ import annotations
@@ -11,9 +11,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from crease.operators.running import beside_totals, running_totals
+from crease.operators.running import SALTS
 
 Metrics = dict[str, tuple[Column, Column]]
 
@@ -40,39 +41,66 @@ def percentile_scores(
     columns = {name: f"__v{i}" for i, name in enumerate(metrics)}
     values = [F.when(member, value.cast("double")).alias(columns[name]) for name, (value, member) in metrics.items()]
     own = [*ids, *columns.values()]
-    # Equal rows are one row with a count, which is its own key in the joins below.
-    rows = df.select(*ids, *values).groupBy(*own).agg(F.count(F.lit(1)).alias("__copies"))
-    entries = F.array(
-        *(F.struct(F.lit(name).alias("metric"), F.col(column).alias("value")) for name, column in columns.items())
+    cells = F.array(
+        *(F.struct(F.lit(name).alias("__metric"), F.col(column).alias("__value")) for name, column in columns.items())
     )
     # One key for the pool: a NULL in it is a value like any other.
     key = F.to_json(F.struct(*within)) if within else F.lit("")
-    entries = rows.select(*own, "__copies", key.alias("__pool"), F.explode(entries).alias("e")).select(
-        *own, "__copies", "__pool", F.col("e.metric").alias("__metric"), F.col("e.value").alias("__value")
+    entries = df.select(*ids, *values).select(*own, key.alias("__pool"), F.inline(cells))
+    # Entries without a value meet no score; their parts keep them from one task.
+    part = F.when(F.col("__value").isNull(), F.pmod(F.hash(*own), F.lit(SALTS))).otherwise(F.lit(0))
+    scored = entries.withColumn("__part", part).join(
+        _scores(entries.filter(F.col("__value").isNotNull())).withColumn("__part", F.lit(0)),
+        ["__pool", "__metric", "__value", "__part"],
+        "left",
     )
-    pool = ["__pool", "__metric"]
-    members = entries.filter(F.col("__value").isNotNull())
+    best = {
+        name: F.max(F.when(F.col("__metric") == name, F.coalesce("__score", F.lit(0.0)))).alias(name)
+        for name in columns
+    }
+    # Equal rows are one row here, and come out as often as they went in.
+    copies = F.count_if(F.col("__metric") == next(iter(columns)))
+    return (
+        scored.groupBy(*own)
+        .agg(*best.values(), copies.alias("__copies"))
+        .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies"))))
+        .select(*ids, *columns)
+    )
+
+
+def _scores(members: DataFrame) -> DataFrame:
+    """Score of each distinct value of a pool and metric.
+
+    Three levels: values of a block, blocks of a region, regions of a pool. Each level adds
+    what lies before it at the level above, and the size of the pool comes down with it.
+    """
+    pool, fine = ["__pool", "__metric"], F.shiftright("__bits", 21)
     counted = (
         members.groupBy(*pool, "__value")
-        .agg(F.sum("__copies").alias("__n"))
+        .agg(F.count(F.lit(1)).alias("__n"))
         .withColumn("__bits", ordered_bits(F.col("__value")))
-        .withColumns({"__coarse": F.shiftright("__bits", 43), "__fine": F.shiftright("__bits", 21)})
+        .withColumns({"__region": F.shiftright("__bits", 43), "__block": fine})
+        .drop("__bits")
     )
-    upto = running_totals(counted, pool, ["__coarse", "__fine"], ["__value"], {"__upto": F.col("__n")})
-    size = counted.groupBy(*pool).agg(F.sum("__n").alias("__size"))
-    score = beside_totals(upto, size, pool, F.col("__value")).select(
-        *pool, "__value", (F.lit(100.0) * F.col("__upto") / F.col("__size")).alias("__score")
+    region, block = [*pool, "__region"], [*pool, "__region", "__block"]
+    blocks = counted.groupBy(*block).agg(F.sum("__n").alias("__n"))
+    regions = blocks.groupBy(*region).agg(F.sum("__n").alias("__n"))
+
+    def upto(keys: list[str], order: str, last: int) -> Column:
+        window = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, last)
+        return F.coalesce(F.sum("__n").over(window), F.lit(0))
+
+    above = regions.select(
+        *region, upto(pool, "__region", -1).alias("__above"), F.sum("__n").over(W.partitionBy(*pool)).alias("__size")
     )
-    # Only members are joined: all other rows share one empty value. The score side has
-    # one row per value, so a much shared value can be split.
-    scored = members.join(score, [*pool, "__value"]).select(*own, "__copies", "__metric", "__score")
-    outside = entries.filter(F.col("__value").isNull()).select(
-        *own, "__copies", "__metric", F.lit(0.0).alias("__score")
+    before = (
+        blocks.withColumn("__before", upto(region, "__block", -1))
+        .join(above, region)
+        .select(*block, (F.col("__above") + F.col("__before")).alias("__before"), "__size")
     )
+    share = F.lit(100.0) * (F.col("__before") + F.col("__upto")) / F.col("__size")
     return (
-        scored.unionByName(outside)
-        .groupBy(*own, "__copies")
-        .agg(*(F.max(F.when(F.col("__metric") == name, F.col("__score"))).alias(name) for name in columns))
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies"))))
-        .select(*ids, *columns)
+        counted.withColumn("__upto", upto(block, "__value", W.currentRow))
+        .join(before, block)
+        .select(*pool, "__value", share.alias("__score"))
     )

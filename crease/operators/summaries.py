@@ -9,6 +9,42 @@ from crease import constants as K
 from crease.functions.scalars import in_order, present, ratio, runs_conceded, total
 
 
+#: Columns of a ball that reports add up, and those that runs conceded are made of.
+MEASURES = (
+    "total_runs", "batter_runs", "wicket_count", "bowler_wickets", "is_legal_ball", "byes", "legbyes", "penalty",
+)
+CONCEDED = ("total_runs", "byes", "legbyes", "penalty")
+
+
+def ball_totals(deliveries: DataFrame) -> DataFrame:
+    """Balls added up at three grains in one pass, map-side combined: ``grain`` is ``batter`` (by
+    phase and batter), ``bowler`` (by phase and bowler) or ``innings`` (by match, innings, phase
+    and result of the batting side).
+
+    The measures keep their names, so the reports that only add up balls give the same from the
+    rows of their grain; so does the season summary, but for the players used, which no grain
+    has. Columns of other grains are NULL, and a NULL is a value of its own. Rows of a bowler that
+    lack different parts of the runs conceded stay apart, as a sum over them would hide that.
+    ``balls`` is the number of balls. An empty table gives no rows.
+    """
+    lacks = [F.col(c).isNull().cast("int") * F.lit(2**i) for i, c in enumerate(CONCEDED)]
+    balls = deliveries.withColumn("__lacks", sum(lacks[1:], lacks[0]))
+    grains = {
+        "batter": ["phase", "batter"],
+        "bowler": ["phase", "bowler", "__lacks"],
+        "innings": ["match_id", "innings", "phase", "batting_result"],
+    }
+    keys = [*dict.fromkeys(c for columns in grains.values() for c in columns)]
+    sums = balls.groupingSets([[F.col(c) for c in columns] for columns in grains.values()], *map(F.col, keys)).agg(
+        F.grouping("batter").alias("__not_batter"),
+        F.grouping("bowler").alias("__not_bowler"),
+        F.count(F.lit(1)).alias("balls"),
+        *(total(c).alias(c) for c in MEASURES),
+    )
+    grain = F.when(F.col("__not_batter") == 0, "batter").when(F.col("__not_bowler") == 0, "bowler").otherwise("innings")
+    return sums.select(grain.alias("grain"), *(c for c in keys if c != "__lacks"), "balls", *MEASURES)
+
+
 def batting_summary(deliveries: DataFrame, ordered: bool = True) -> DataFrame:
     """Runs per batter, most first."""
     report = (

@@ -6,9 +6,12 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from crease import constants as K
 from crease.functions.scalars import rounded
-from crease.operators import indexes, reports
+from crease.operators import facts, indexes, reports, summaries
+from crease.session import staged
 from crease.sources.tables import table_paths, write_table
 
 
@@ -81,6 +84,27 @@ INDEXES: dict[str, Report] = {
 }
 
 
+def insights(tables: Mapping[str, DataFrame], min_team_matches: int = K.MIN_BEST_TEAM_MATCHES) -> DataFrame:
+    """Findings of all reports. The balls are read once: their totals by batter, by bowler and by
+    innings are stored, and all reports start from these."""
+    matches, innings = staged(tables["matches"], "matches"), staged(tables["innings"], "innings")
+    totals = staged(summaries.ball_totals(tables["deliveries"]), "ball-totals")
+    by_batter, by_bowler, by_innings = (totals.filter(F.col("grain") == g) for g in ("batter", "bowler", "innings"))
+    return facts.insight_facts(
+        season=reports.season_summary(matches, by_innings, innings, ordered=False),
+        toss=reports.toss_impact_by_season(matches, ordered=False),
+        chasing=reports.chasing_vs_defending(matches, innings, ordered=False),
+        venues=reports.venue_summary(matches, innings, ordered=False),
+        teams=reports.team_summary(matches, ordered=False),
+        phase_batters=reports.top_batters_by_phase(by_batter, ordered=False),
+        death_bowlers=reports.top_death_bowlers(by_bowler),
+        batting=summaries.batting_summary(by_batter, ordered=False),
+        bowling=summaries.bowling_summary(by_bowler, ordered=False),
+        phase_gaps=summaries.phase_gap(summaries.phase_summary(by_innings)),
+        min_team_matches=min_team_matches,
+    )
+
+
 def build(name: str, tables: Mapping[str, DataFrame], display: bool = False) -> DataFrame:
     """A report by name; ``display`` rounds it."""
     report = REPORTS.get(name) or INDEXES[name]

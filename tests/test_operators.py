@@ -1,6 +1,9 @@
 """Hand-made cases with results worked out by hand."""
 
+import random
+
 import pytest
+from pyspark.sql import functions as F
 from conftest import BALL_SCHEMA, INNINGS_SCHEMA, MATCH_SCHEMA, ball, rows  # noqa: F401
 
 from crease.operators import checkpoints, features, indexes, matchups, reports, selections, summaries
@@ -248,3 +251,33 @@ def test_top_row_counts_no_number_as_zero(spark):
     df = spark.createDataFrame([("a", "x"), ("b", "-1"), ("c", "-2")], "name string, v string")
     assert selections.top_row(df, "v", ["name"]).first()["name"] == "a"
     assert selections.bottom_row(df, "v", ["name"]).first()["name"] == "c"
+
+
+def test_reports_give_the_same_from_ball_totals(spark, balls_of):
+    from crease.operators import summaries as S
+
+    rng = random.Random(3)
+    data = []
+    for i in range(600):
+        over = rng.randrange(22)
+        row = ball(over=over, ball_in_over=i, innings=rng.choice([1, 2]), batter_runs=rng.randrange(7))
+        row |= {"match_id": str(i % 5), "batter": rng.choice(["a", "b", None]), "bowler": rng.choice(["x", "y", None])}
+        row |= {"bowler_wickets": rng.randrange(2), "is_legal_ball": rng.choice([0, 1, 1, None])}
+        row |= {rng.choice(["byes", "legbyes", "penalty"]): rng.choice([0, 1, None])}
+        data.append(row)
+    deliveries = balls_of(data)
+    totals = S.ball_totals(deliveries)
+    for grain in ("batter", "bowler", "innings"):
+        assert totals.filter(F.col("grain") == grain).agg(F.sum("balls")).head()[0] == len(data)
+    header = spark.createDataFrame([(str(i), 2000 + i % 2, None, None, "A", "B", None, None) for i in range(6)], MATCH_SCHEMA)
+    innings = spark.createDataFrame([(str(i), 2000, 1, "A", None, 9, 1, 6) for i in range(5)], INNINGS_SCHEMA)
+
+    def seasons(d):
+        return reports.season_summary(header, d, innings).drop("batters_used", "bowlers_used")
+
+    for grain, report in (
+        ("batter", S.batting_summary), ("bowler", S.bowling_summary), ("innings", S.phase_summary), ("innings", seasons),
+        ("batter", reports.top_batters_by_phase), ("bowler", lambda d: reports.top_death_bowlers(d, min_balls=1)),
+    ):
+        assert rows(report(totals.filter(F.col("grain") == grain))) == rows(report(deliveries))
+    assert S.ball_totals(deliveries.limit(0)).count() == 0

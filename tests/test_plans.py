@@ -70,6 +70,11 @@ def test_scores_read_their_tables_once(spark, sf, name, scans):
     assert plan_of(df).split("== Initial Plan ==")[0].count("FileScan parquet") == scans
 
 
+def test_facts_start_from_stored_totals(spark, sf):
+    plan = plan_of(QUERIES["c06_facts"](spark, sf))
+    assert "lineitem" not in plan and plan.count("ball-totals") >= 1
+
+
 def test_sources_define_no_python_udf_and_no_local_checkpoint():
     root = os.path.dirname(os.path.abspath(__spark_entry__.__file__))
     for path in glob.glob(f"{root}/crease/**/*.py", recursive=True):

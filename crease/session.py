@@ -24,10 +24,22 @@ def get_spark(app: str = "crease", master: str | None = None, **settings: str) -
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach: ``spark.checkpoint.dir``, or, where that is unset,
-    a folder in the warehouse, which they share as well."""
+    """Folder all executors can reach: ``spark.checkpoint.dir``, or, where that is unset, a
+    folder in the warehouse, if all executors are in this process or the warehouse is not on a
+    local disk. Otherwise a ValueError: a folder of one machine would lose rows."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/staged"
+    if folder:
+        return folder.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not is_shared(spark.sparkContext.master, warehouse):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+    return f"{warehouse}/staged"
+
+
+def is_shared(master: str, folder: str) -> bool:
+    """Whether executors of this master surely see one and the same folder."""
+    one_process = master == "local" or master.startswith("local[")
+    return one_process or not folder.startswith(("file:", "/"))
 
 
 def staged(df: DataFrame, name: str = "stage") -> DataFrame:

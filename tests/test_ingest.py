@@ -285,3 +285,11 @@ def test_only_new_and_changed_files_are_read(spark, tmp_path, monkeypatch):
         whole = rows(tables.read_table(spark, str(tmp_path / "whole" / name), schema))
         assert sorted(map(repr, whole)) == sorted(map(repr, stored[name])), name
     assert plan.ingest_new(spark, str(docs), target) == {}
+
+
+def test_only_folders_that_all_executors_see_are_shared():
+    from crease.session import is_shared
+
+    assert is_shared("local[8]", "file:/tmp/w") and is_shared("local", "/tmp/w")
+    assert is_shared("spark://host:7077", "hdfs://host/w")
+    assert not is_shared("local-cluster[3,1,1024]", "file:/tmp/w") and not is_shared("yarn", "/tmp/w")

@@ -32,17 +32,20 @@ def plain(text: str | None) -> str:
     return " ".join(text.lower().split()) if text else ""
 
 
-def blocks(items: DataFrame, size: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
-    """Distinct items (item_id, text) in blocks of at most ``size`` characters, or of one item.
-
-    The rows come one by one, so the driver holds one block. Null and empty items are no items."""
-    block: list[tuple[int, str]] = []
+def blocks(items: DataFrame, size: int | None = None) -> Iterator[list[tuple[int | None, str]]]:
+    """Distinct items (item_id, text) in blocks of at most ``size`` (BLOCK_CHARS) characters, or of one item.
+
+    The texts of one id are one item and never cut apart; a text without an id is an item
+    of its own. The rows come one by one, so the driver holds one block. Null and empty
+    texts are no items."""
+    size = BLOCK_CHARS if size is None else size
+    block: list[tuple[int | None, str]] = []
     chars = 0
-    rows = items.select("item_id", "text").where("item_id is not null").distinct().orderBy("item_id", "text")
+    rows = items.select("item_id", "text").distinct().orderBy("item_id", "text")
     for item_id, text in rows.toLocalIterator():
         if not (text := plain(text)):
             continue
-        if block and chars + len(text) > size:
+        if block and chars + len(text) > size and (item_id is None or item_id != block[-1][0]):
             yield block
             block, chars = [], 0
         block.append((item_id, text))
@@ -84,13 +87,14 @@ def nearest(masks: dict[str, int], m: int, text: str, budget: int) -> tuple[int,
 class Matcher:
     """The pieces of a block of items, and the search in a text."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float = RATE):
+    def __init__(self, items: list[tuple[int | None, str]], rate: float = RATE):
         self.items, self.masks, self.grams = [], [], []
         pieces: dict[str, list[tuple[int, int]]] = {}
         for n, (item_id, text) in enumerate(items):
             m = len(text)
             budget = int(m * rate) if m >= SHORT else 0
-            self.items.append((item_id, text, budget))
+            # Texts without an id are told apart by themselves.
+            self.items.append(((None, text) if item_id is None else item_id, text, budget))
             masks: dict[str, int] = {}
             for i, char in enumerate(text):
                 masks[char] = masks.get(char, 0) | 1 << i
@@ -104,13 +108,13 @@ class Matcher:
             self.automaton.add_word(piece, (len(piece), places))
         self.automaton.make_automaton()
 
-    def find(self, text: str) -> dict[int, tuple[int, int, int]]:
-        """Items in a plain text: item_id to (edits, budget, end), the fewest edits, then the first place."""
+    def find(self, text: str) -> dict[int | tuple[None, str], tuple[int, int, int]]:
+        """Items in a plain text: item_id, or (None, item) without one, to (edits, budget, end), the fewest edits, then the first place."""
         near: dict[int, list[int]] = {}
         for end, (size, places) in self.automaton.iter(text):
             for n, offset in places:
                 near.setdefault(n, []).append(end + 1 - size - offset)
-        found: dict[int, tuple[int, int, int]] = {}
+        found: dict[int | tuple[None, str], tuple[int, int, int]] = {}
         for n, starts in near.items():
             item_id, item, budget = self.items[n]
             best = found.get(item_id, (len(item), 0, 0))
@@ -143,29 +147,41 @@ def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
     """One row for each document and item in it: doc_id, item_id, n_edits, budget.
 
     Documents without an item have no row, nor have null texts; a document row that is
-    repeated has its rows repeated. Items with equal id and different texts are all
-    searched, the nearest counts within a block. No shuffle of the documents.
+    repeated has its rows repeated, and one without a doc_id has rows without one. Items with
+    equal id and different texts are all searched, and the nearest counts; each item without
+    an id has its own row, with a null item_id. No shuffle of the documents.
     """
     schema = f"doc_id {dict(docs.dtypes)['doc_id']}, item_id long, n_edits int, budget int"
     found = None
     for block in blocks(items):
-        one = docs.select("doc_id", "text").where("text is not null").mapInPandas(_search(docs, block), schema)
+        one = with_known(docs).where("text is not null").mapInPandas(_search(docs, block), schema)
         found = one if found is None else found.unionByName(one)
     return found if found is not None else docs.sparkSession.createDataFrame([], schema)
 
 
+def with_known(docs: DataFrame) -> DataFrame:
+    """doc_id (0 for null, as pandas would make doubles of the others), known, text."""
+    kind = dict(docs.dtypes)["doc_id"]
+    known = F.col("doc_id").isNotNull().alias("known")
+    return docs.select(F.coalesce("doc_id", F.lit(0).cast(kind)).alias("doc_id"), known, "text")
+
+
 def _search(docs: DataFrame, block: list[tuple[int, str]]):
     sent = docs.sparkSession.sparkContext.broadcast(block)
+    whole = dict(docs.dtypes)["doc_id"] != "string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         matcher = Matcher(sent.value)
         for batch in batches:
-            rows = [
-                (doc_id, item_id, edits, budget)
-                for doc_id, text in zip(batch["doc_id"].array, batch["text"])
-                for item_id, (edits, budget, _) in matcher.find(plain(text)).items()
-            ]
-            yield pd.DataFrame(rows, columns=["doc_id", "item_id", "n_edits", "budget"])
+            at, rows = [], []
+            for n, text in enumerate(batch["text"]):
+                for item_id, (edits, budget, _) in matcher.find(plain(text)).items():
+                    at.append(n)
+                    rows.append((None if isinstance(item_id, tuple) else item_id, edits, budget))
+            out = pd.DataFrame(rows, columns=["item_id", "n_edits", "budget"], dtype=object)
+            out = out.astype({"item_id": "Int64", "n_edits": "int32", "budget": "int32"})
+            out.insert(0, "doc_id", [i if known else None for i, known in zip(batch["doc_id"].iloc[at], batch["known"].iloc[at])])
+            yield out.astype({"doc_id": "Int64" if whole else object})
 
     return run
 

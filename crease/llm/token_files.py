@@ -153,8 +153,9 @@ class Encoder:
         return out
 
 
-def write_file(place: fs.FileSystem, path: str, doc_ids: list[int], ids: list[bytes], dtype: np.dtype) -> None:
-    """One Arrow file of the documents, in the order given."""
+def write_file(place: fs.FileSystem, path: str, doc_ids: list[int | None], ids: list[bytes], dtype: np.dtype) -> None:
+    """One Arrow file of the documents, in the order given. The metadata has a doc_id for each, 0
+    where it is null, and a byte for each that tells whether it is known."""
     flat = np.frombuffer(b"".join(ids), dtype)
     rows = -(-len(flat) // LENGTH)
     padded = np.zeros(rows * LENGTH, dtype)
@@ -165,7 +166,11 @@ def write_file(place: fs.FileSystem, path: str, doc_ids: list[int], ids: list[by
     lengths = np.array([len(x) // dtype.itemsize for x in ids], "<i8")
     schema = pa.schema(
         [("ids", pa.list_(kind, LENGTH)), ("mask", pa.list_(pa.bool_(), LENGTH))],
-        metadata={b"doc_ids": np.array(doc_ids, "<i8").tobytes(), b"lengths": lengths.tobytes()},
+        metadata={
+            b"doc_ids": np.array([i or 0 for i in doc_ids], "<i8").tobytes(),
+            b"known": bytes(i is not None for i in doc_ids),
+            b"lengths": lengths.tobytes(),
+        },
     )
     draft = f"{path.rpartition('/')[0]}/_{uuid.uuid4().hex}.draft"
     with place.open_output_stream(draft) as out, pa.ipc.new_file(out, schema) as writer:
@@ -176,8 +181,28 @@ def write_file(place: fs.FileSystem, path: str, doc_ids: list[int], ids: list[by
     place.move(draft, path)
 
 
-def read_file(content: bytes | pa.Buffer) -> Iterator[tuple[int, int, np.ndarray]]:
-    """Documents of a file: doc_id, ids before it in the file, its ids. No id is copied but at the seams of batches."""
+def sequence(file: pa.Buffer, i: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence ``i`` of a file, counted from 0: its ids, without a copy, and its mask.
+
+    ``file`` is a memory map's or any other buffer; the ids are a view of it. Masks are bits
+    in the file and are unpacked for the one sequence. An ``i`` outside is an IndexError.
+    """
+    reader = pa.ipc.open_file(file)
+    if i < 0 or i // BATCH >= reader.num_record_batches:
+        raise IndexError(i)
+    batch = reader.get_batch(i // BATCH)
+    if i % BATCH >= batch.num_rows:
+        raise IndexError(i)
+    ids, mask = (batch.column(name).slice(i % BATCH, 1).flatten() for name in ("ids", "mask"))
+    return ids.to_numpy(), mask.to_numpy(zero_copy_only=False)
+
+
+def read_file(content: bytes | pa.Buffer) -> Iterator[tuple[int | None, int, np.ndarray]]:
+    """Documents of a file: doc_id or None, ids before it in the file, its ids.
+
+    The ids of all batches are put together once, a copy of at most a file's ids. A file whose
+    mask and documents differ is a ValueError.
+    """
     reader = pa.ipc.open_file(pa.BufferReader(content) if isinstance(content, bytes) else content)
     batches = [reader.get_batch(i) for i in range(reader.num_record_batches)]
     parts = [b.column("ids").flatten().to_numpy() for b in batches]
@@ -188,23 +213,32 @@ def read_file(content: bytes | pa.Buffer) -> Iterator[tuple[int, int, np.ndarray
     if real != lengths.sum():
         raise ValueError("the file's mask and its documents differ")
     starts = np.cumsum(lengths) - lengths
-    for doc_id, start, n in zip(doc_ids.tolist(), starts.tolist(), lengths.tolist()):
-        yield doc_id, start, flat[start : start + n]
+    for doc_id, known, start, n in zip(doc_ids.tolist(), meta[b"known"], starts.tolist(), lengths.tolist()):
+        yield doc_id if known else None, start, flat[start : start + n]
 
 
 def write(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end: int = END) -> DataFrame:
     """Write the documents' ids to ``folder`` in ascending doc_id order; one row for each file.
 
-    Null texts are empty: their ids are the end id alone. A null doc_id is a ValueError
-    in its task, as it has no place in the order. Rows with equal ids stand in the order of
-    their texts. An empty table gives no files. The row: file, part, number, n_docs, n_ids.
+    Null texts are empty: their ids are the end id alone. Documents without a doc_id stand
+    last. Rows with equal ids, or without one, stand in the order of a hash of their texts and
+    then of the texts, and may lie in several ranges; repeated rows are written as often as
+    they are there. An empty table gives no files. The row: file, part, number, n_docs, n_ids.
     """
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.select("doc_id", "text", F.xxhash64("text").alias("among"))
     size = rows.agg(F.sum(F.octet_length("text") + 1)).head()[0] or 0
     ranges = max(1, -(-size // RANGE_BYTES))
-    ordered = rows.repartitionByRange(ranges, "doc_id").sortWithinPartitions("doc_id", "text")
-    ordered = ordered.withColumn("part", F.spark_partition_id())
+    order = [F.col("doc_id").asc_nulls_last(), "among"]
+    ordered = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order, "text")
+    # Pandas has no null among whole numbers, so whether an id is known is a column.
+    ordered = ordered.select(
+        F.coalesce("doc_id", F.lit(0).cast("long")).alias("doc_id"),
+        F.col("doc_id").isNotNull().alias("known"),
+        "text",
+        F.spark_partition_id().alias("part"),
+    )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         gc.collect()  # what a task before this one left in the same worker
@@ -226,10 +260,10 @@ def write(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end: int = E
             return pd.DataFrame({"file": [name], "part": [part], "number": [number], "n_docs": [len(held)], "n_ids": [n]})
 
         for batch in batches:
-            if batch["doc_id"].isna().any():
-                raise ValueError("a document without doc_id has no place in the order")
             part = int(batch["part"].iloc[0]) if len(batch) else part
             texts, keys = batch["text"].tolist(), batch["doc_id"].tolist()
+            if not batch["known"].all():
+                keys = [i if known else None for i, known in zip(keys, batch["known"])]
             for i in range(0, len(texts), 256):
                 for doc_id, ids in zip(keys[i : i + 256], encoder.encode(texts[i : i + 256])):
                     held.append(ids)
@@ -246,7 +280,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end: int = E
 
 
 def read(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
-    """Documents as the files have them: doc_id, start, n_tokens, ids_crc32.
+    """Documents as the files have them: doc_id (null where it was), start, n_tokens, ids_crc32.
 
     Spark reads the files, each as one value of bounded size, so they may lie wherever it
     can read. ``start`` counts the ids of all documents before; the sums run over one row a file.
@@ -259,7 +293,9 @@ def read(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
                     (path.rpartition("/")[2], doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()))
                     for doc_id, start, ids in read_file(content)
                 ]
-                yield pd.DataFrame(rows, columns=["file", "doc_id", "inside", "n_tokens", "ids_crc32"])
+                out = pd.DataFrame(rows, columns=["file", "doc_id", "inside", "n_tokens", "ids_crc32"], dtype=object)
+                # A whole number that may be null; never by way of a double.
+                yield out.astype({"doc_id": "Int64", "inside": "int64", "n_tokens": "int64", "ids_crc32": "int64"})
 
     before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
     offsets = files.select("file", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("before"))

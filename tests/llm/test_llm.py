@@ -422,3 +422,55 @@ def test_edits_within_the_budget(spark):
     assert got == [(1, 9, 0), (1, 9, 0), (2, 9, 3)]
     assert sorted(r["doc_id"] for r in decontaminate.without_items(docs, items).collect()) == [3, 4, 5]
     assert decontaminate.matches(docs, items.limit(0)).count() == 0
+
+
+def test_items_without_an_id_and_items_over_blocks(spark, monkeypatch):
+    rng = random.Random(8)
+    one, two, three, absent = (" ".join(rng.choice(WORDS) for _ in range(30)) for _ in range(4))
+    big = 2**60 + 1
+    docs = spark.createDataFrame([(big, f"x {one} y {two} z"), (None, three), (4, "nothing")], "doc_id long, text string")
+    edited = one[:40] + one[41:]
+    items = spark.createDataFrame([(7, edited), (7, one), (None, two), (None, three), (None, absent)], "item_id long, text string")
+    want = [(big, 7, 0), (big, None, 0), (None, None, 0)]
+    for size in (1, 10**6):
+        monkeypatch.setattr(decontaminate, "BLOCK_CHARS", size)
+        got = [(r["doc_id"], r["item_id"], r["n_edits"]) for r in decontaminate.matches(docs, items).collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr), size
+        assert [r["doc_id"] for r in decontaminate.without_items(docs, items).collect()] == [4]
+
+
+def test_tokens_of_documents_without_an_id(spark, monkeypatch):
+    monkeypatch.setattr(token_files, "FILE_IDS", 500)
+    monkeypatch.setattr(token_files, "RANGE_BYTES", 3000)
+    big = 2**60 + 1
+    data = [(None, f"null {i} " * 9) for i in range(90)] + [(big, "last of all"), (3, "a b"), (3, "a b"), (3, None)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    found = sorted(token_files.encode(docs).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in found] == [3, 3, 3, big] + [None] * 90
+    ends = [r["start"] + r["n_tokens"] for r in found]
+    assert [r["start"] for r in found] == [0, *ends[:-1]]
+    encoder = token_files.Encoder(token_files.TOKENIZER)
+    want = sorted(zlib.crc32(np.frombuffer(x, encoder.dtype).astype("<u4").tobytes()) for x in encoder.encode([t or "" for _, t in data]))
+    assert sorted(r["ids_crc32"] for r in found) == want
+
+
+def test_a_sequence_is_a_view_of_the_mapped_file(tmp_path):
+    import pyarrow as pa
+    from pyarrow import fs
+
+    length = token_files.LENGTH
+    ids = np.arange(300 * length + 5, dtype="<u4")
+    path = f"{tmp_path}/ids.arrow"
+    token_files.write_file(fs.LocalFileSystem(), path, [5, None], [ids[:7].tobytes(), ids[7:].tobytes()], ids.dtype)
+    with pa.memory_map(path) as mapped:
+        file = mapped.read_buffer()
+        for i in (0, 1, 255, 256, 299):
+            found, mask = token_files.sequence(file, i)
+            assert (found == ids[i * length : (i + 1) * length]).all() and mask.all()
+            assert file.address <= found.__array_interface__["data"][0] < file.address + file.size
+        found, mask = token_files.sequence(file, 300)
+        assert mask.sum() == 5 and (found[:5] == ids[-5:]).all()
+        for i in (-1, 301, 10**6):
+            with pytest.raises(IndexError):
+                token_files.sequence(file, i)
+        assert [(d, s, len(x)) for d, s, x in token_files.read_file(file)] == [(5, 0, 7), (None, 7, len(ids) - 7)]

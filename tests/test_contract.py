@@ -3,8 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
-from contract import model_queries
+from contract import document_queries, model_queries
 from contract.check import compare, oracle
+from crease import schemas
+from crease.operators import normalize
 
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
@@ -42,3 +44,13 @@ def test_entry_has_rows(spark):
     result = entry.entry(spark)
     assert result.columns == ["phase", "batter", "runs", "balls", "strike_rate"]
     assert result.count() > 0
+
+
+def test_documents_are_made_without_casts_and_innings_are_reduced_before_they_are_exploded(spark, sf):
+    documents = document_queries.documents(spark, sf)
+    for part in ("info", "innings"):
+        wanted = schemas.MATCH_DOCUMENT[part].dataType
+        assert documents.schema[part].dataType.simpleString() == wanted.simpleString()
+    plan = normalize.innings_table(documents)._jdf.queryExecution().executedPlan().toString()
+    assert "cast(named_struct" not in plan and "cast(array(named_struct" not in plan
+    assert "Generate inline(transform(" in plan and "Exchange" not in plan

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyarrow import fs
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -128,6 +129,27 @@ def _(spark, sf):
     return tables.load_metrics(spark, path, found.schema)
 
 
+def _write_files(documents: DataFrame, path: str) -> None:
+    """A file for each row (name, text). Tasks write them by Arrow's file system, each put in place by one rename.
+
+    Spark's writer commits every file on its own: the driver moves them one after another when all tasks are done.
+    """
+    folder = path if ":" in path else f"file://{path}"
+
+    def write(rows) -> None:
+        place, root = fs.FileSystem.from_uri(folder)
+        place.create_dir(root, recursive=True)
+        for row in rows:
+            draft = f"{root}/_{uuid.uuid4().hex}.draft"
+            with place.open_output_stream(draft) as out:
+                out.write(row["text"].encode())
+            place.move(draft, f"{root}/{row['name']}.json")
+
+    place, root = fs.FileSystem.from_uri(folder)
+    place.create_dir(root, recursive=True)  # also there when no row is
+    documents.select("name", "text").foreachPartition(write)
+
+
 def _match_files(spark, sf) -> str:
     """A folder with a JSON document for each match; every tenth is no match document."""
     path = _folder(spark, "matches")
@@ -136,8 +158,11 @@ def _match_files(spark, sf) -> str:
         "bowler",
         F.struct(F.col("batter_runs").alias("batter"), "extras", F.col("total_runs").alias("total")).alias("runs"),
     )
+    # The balls of a match meet once; the three groupings stay where they are.
     overs = (
         A.balls(spark, sf)
+        .filter(F.col("match_number").isNotNull())
+        .repartition("match_number")
         .groupBy("match_number", "season", "innings", "batting_team", "over")
         .agg(F.collect_list(ball).alias("deliveries"))
     )
@@ -148,12 +173,9 @@ def _match_files(spark, sf) -> str:
         F.collect_list(F.struct(F.col("batting_team").alias("team"), "overs")).alias("innings")
     )
     number = F.col("match_number").cast("string")
-    good = documents.filter("match_number % 10 <> 0").select(
-        F.struct(F.col("season").alias("season"), number.alias("venue")).alias("info"), "innings"
-    )
-    bad = documents.filter("match_number % 10 = 0").select(F.concat(F.lit("bad "), number).alias("info"))
-    for some in (good, bad):
-        some.write.mode("append").option("maxRecordsPerFile", 1).json(path)
+    good = F.to_json(F.struct(F.struct(F.col("season").alias("season"), number.alias("venue")).alias("info"), "innings"))
+    bad = F.to_json(F.struct(F.concat(F.lit("bad "), number).alias("info")))
+    _write_files(documents.select(number.alias("name"), F.when(F.col("match_number") % 10 == 0, bad).otherwise(good).alias("text")), path)
     return path
 
 

@@ -40,6 +40,8 @@ SAMPLE, SAMPLE_LEAST = 8, 2
 CHUNK, SENT = 4_000_000, 100_000
 #: The bit map has 16 bits for each phrase, but no more than 2 ** 30 (128 MB); so many phrases are expected for each word.
 LEAST_BITS, MOST_BITS, KNOWN = 20, 30, 8
+#: Keys that a task gathers before it sends them; at least 2 ** BUCKET_BITS buckets of keys, of no more than so many sent keys, about.
+GATHERED, BUCKET_BITS, BUCKET = 2_000_000, 10, 4_000_000
 
 _TEXT = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + 9 * b"\n")
 _END, _BLANK = -1, -2
@@ -245,65 +247,104 @@ def count_chunk(ids, hashes, before: Bits, known: Bits, longest: int, sieve: Bit
         old[at[done]] = before.has(key[at[done]])
 
 
-def _counted(cut: DataFrame, before: Bits, known: Bits, longest: int, sieve: Bits | None, by_key: bool) -> DataFrame:
-    """Rows (key, f), or (h0 .. h3, key, f), of the phrases of each chunk."""
+def _opened(cut: DataFrame, before: Bits, known: Bits, longest: int, sieve: Bits | None):
+    """Function of a batch of chunks: keys, rows of hashes and counts of the phrases of each chunk, by length."""
     context = cut.sparkSession.sparkContext
     sent = [bits and context.broadcast(bits.bits) for bits in (before, known, sieve)]
-    names = ["key", "f"] if by_key else [*_HASHES, "key", "f"]
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         maps = [bits and Bits(bits.value) for bits in sent]
         for batch in batches:
             for hashes, ids in zip(batch.column(0), batch.column(1)):
                 hashes = _array(hashes, np.uint64)
-                if not len(hashes):
-                    continue
-                for keys, grams, counts in count_chunk(_array(ids, np.int32), hashes, maps[0], maps[1], longest, maps[2]):
-                    for i in range(0, len(keys), SENT):
-                        part = slice(i, i + SENT)
-                        columns = [keys[part].view(np.int64), counts[part].astype(np.int64)]
-                        if not by_key:
-                            none = np.zeros(len(columns[0]), np.int64)
-                            own = [np.ascontiguousarray(grams[part, j]).view(np.int64) for j in range(grams.shape[1])]
-                            columns = [*own, *[none] * (LONGEST - len(own)), *columns]
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+                if len(hashes):
+                    yield from count_chunk(_array(ids, np.int32), hashes, maps[0], maps[1], longest, maps[2])
                 pa.default_memory_pool().release_unused()
 
-    return cut.select("hashes", "ids").mapInArrow(run, ", ".join(f"{c} bigint" for c in names))
+    return run
 
 
 _HASHES = ["h0", "h1", "h2", "h3"]
 
 
-def sieved(cut: DataFrame, before: Bits, known: Bits, least: int, longest: int) -> DataFrame:
-    """Keys (key) whose open phrases have ``least`` occurrences together."""
-    rows = _counted(cut, before, known, longest, None, True)
-    return staged(rows.groupBy("key").agg(F.sum("f").alias("f")).where(F.col("f") >= least).select("key"), "keys")
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in ascending order, each once, and the sums of their counts."""
+    key, count = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    return key[first], np.add.reduceat(count[order], first, dtype=np.int64)
+
+
+def sieved(cut: DataFrame, before: Bits, known: Bits, least: int, longest: int, size: int) -> DataFrame:
+    """Keys (key) whose open phrases have ``least`` occurrences together, in texts of ``size`` words.
+
+    Nearly all keys are rare, so they are no rows: a bucket has the keys that begin with the same
+    bits, and a row is what a task has of a bucket. A count above ``least`` tells no more than ``least``."""
+    opened, small = _opened(cut, before, known, longest, None), np.min_scalar_type(least)
+    bits = max(BUCKET_BITS, (size * (longest - 1) // BUCKET).bit_length())
+
+    def sent(keys: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
+        key, count = _summed(keys, counts)
+        count = np.minimum(count, least).astype(small)
+        bucket = (key >> np.uint64(64 - bits)).astype(np.int64)
+        at = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
+        columns = [bucket[at[:-1]], *(pa.array([x[a:b].tobytes() for a, b in itertools.pairwise(at)], pa.binary()) for x in (key, count))]
+        return pa.RecordBatch.from_arrays([pa.array(columns[0]), *columns[1:]], ["bucket", "keys", "counts"])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts = [], []
+        for key, _, count in opened(batches):
+            keys.append(key)
+            counts.append(count)
+            if sum(map(len, keys)) >= GATHERED:
+                yield sent(keys, counts)
+                keys, counts = [], []
+        if keys:
+            yield sent(keys, counts)
+
+    def total(rows: pa.Table) -> pa.Table:
+        key, count = _summed(*([_array(x, kind) for x in rows[name]] for name, kind in (("keys", np.uint64), ("counts", small))))
+        return pa.table({"key": key[count >= least].view(np.int64)})
+
+    rows = cut.select("hashes", "ids").mapInArrow(gather, "bucket bigint, keys binary, counts binary")
+    return staged(rows.groupBy("bucket").applyInArrow(total, "key bigint"), "keys")
 
 
 def counted(cut: DataFrame, before: Bits, known: Bits, sieve: Bits | None) -> DataFrame:
     """Open phrases (gram, key, f) with LEAST occurrences, by all their words."""
-    rows = _counted(cut, before, known, LONGEST, sieve, False)
+    opened = _opened(cut, before, known, LONGEST, sieve)
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, grams, counts in opened(batches):
+            for i in range(0, len(keys), SENT):
+                part = slice(i, i + SENT)
+                own = [np.ascontiguousarray(grams[part, j]).view(np.int64) for j in range(grams.shape[1])]
+                none = np.zeros(len(own[0]), np.int64)
+                columns = [*own, *[none] * (LONGEST - len(own)), keys[part].view(np.int64), counts[part].astype(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [*_HASHES, "key", "f"])
+
+    rows = cut.select("hashes", "ids").mapInArrow(listed, ", ".join(f"{c} bigint" for c in [*_HASHES, "key", "f"]))
     summed = rows.groupBy(*_HASHES, "key").agg(F.sum("f").alias("f")).where(F.col("f") >= LEAST)
     gram = F.concat(*[F.when(F.col(c) != 0, _bytes(c)).otherwise(F.unhex(F.lit(""))) for c in _HASHES])
     return staged(summed.select(gram.alias("gram"), "key", "f"), "phrases")
 
 
-def proposed(sample: DataFrame, words_: Bits) -> Bits:
+def proposed(sample: DataFrame, words_: Bits, size: int) -> Bits:
     """``words_`` and the phrases that the sample proposes, level by level; the longest open nothing and are left out."""
     before, known = Bits(np.zeros_like(words_.bits)), words_
     while known:
-        before, known = known, added(known, sieved(sample, before, known, SAMPLE_LEAST, LONGEST - 1))
+        before, known = known, added(known, sieved(sample, before, known, SAMPLE_LEAST, LONGEST - 1, size))
     return before
 
 
-def mine(cut: DataFrame, known: Bits) -> DataFrame:
-    """All phrases (gram, f) with LEAST occurrences; ``known`` has their words, and what is proposed.
+def mine(cut: DataFrame, known: Bits, size: int) -> DataFrame:
+    """All phrases (gram, f) with LEAST occurrences in ``size`` words; ``known`` has their words, and what is proposed.
 
     The border of the first pass is large: it is counted by key first, and only phrases whose
     key has enough by all their words. The later passes count what failures open."""
     before = Bits(np.zeros_like(known.bits))
-    keys = sieved(cut, before, known, LEAST, LONGEST)
+    keys = sieved(cut, before, known, LEAST, LONGEST, size)
     sieve, found = added(Bits.empty(keys.count()), keys) or Bits.empty(0), None
     while known:
         more = counted(cut, before, known, sieve)
@@ -359,4 +400,5 @@ def collocations(docs: DataFrame) -> DataFrame:
     often = named.where(F.col("f") >= LEAST).select(F.expr("hash & ~3L").alias("key"))
     known = Bits.empty(often.count() * KNOWN)
     known = added(known, often) or known
-    return top_phrases(named, mine(cut, proposed(cut.where("sample = 1"), known)))
+    size = named.agg(F.sum("f")).head()[0] or 0
+    return top_phrases(named, mine(cut, proposed(cut.where("sample = 1"), known, size), size))

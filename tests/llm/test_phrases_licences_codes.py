@@ -72,6 +72,26 @@ def test_collocations_against_brute_force(spark, monkeypatch, settings):
     assert want and got_phrases(docs) == want
 
 
+def test_rare_keys_are_never_rows(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "GATHERED", 40)
+    monkeypatch.setattr(collocations, "CHUNK", 500)
+    docs = spark.createDataFrame(phrase_texts(), "doc_id long, text string, lang string")
+    cut, named = collocations.words(docs)
+    known = collocations.added(collocations.Bits.empty(1000), named.selectExpr("hash & ~3L as key"))
+    before = collocations.Bits(np.zeros_like(known.bits))
+    plans, store = [], collocations.staged
+
+    def staged(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, name)
+
+    monkeypatch.setattr(collocations, "staged", staged)
+    keys = [r["key"] for r in collocations.sieved(cut, before, known, 30, 2, 5000).collect()]
+    pairs = [r for r in collocations.counted(cut, before, known, None).collect() if len(r["gram"]) == 16]
+    assert sorted(keys) == sorted({r["key"] for r in pairs}) and len(keys) > 10
+    assert "FlatMapGroupsInArrow" in plans[0] and "Aggregate" not in plans[0]
+
+
 def test_collocations_of_nothing(spark):
     schema = "doc_id long, text string, lang string"
     assert got_phrases(spark.createDataFrame([], schema)) == []

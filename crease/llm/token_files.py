@@ -14,6 +14,7 @@ again, after its executor was lost or beside a slow copy, writes the same files.
 from __future__ import annotations
 
 import gc
+import itertools
 import os
 import re
 import sys
@@ -23,9 +24,9 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,12 +39,20 @@ TOKENIZER, END = public_tokenizers.path("byte_bpe_50k.json"), 2
 LENGTH, BATCH, FILE_IDS = 2048, 256, 4_000_000
 #: Bytes of a range, about, and pieces whose ids a task remembers.
 RANGE_BYTES, REMEMBERED = 48_000_000, 1_000_000
+#: Bytes of texts whose pieces are told apart together, about.
+TEXT_BYTES = 4_000_000
 
 
 #: White space beside a blank or a line end: only the tokenizer itself knows how to cut there.
 _UNEVEN = re.compile(r" (?:(?=[^\S ])|(?<=[^\S ] ))|\n(?:(?=\s)|(?<=[^\S\n]\n))")
+#: All white space but the blank and the line end; a text without it is cut wherever they stand alone.
+_OTHER_SPACES = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Signs after a word that are cut off it; an apostrophe is not among them.
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Letters before this one are letters to every version of Unicode that a tokenizer may know.
+_LATER = "\u0250"
+#: The signs by which a byte-level model knows the bytes that are not printed as they are.
+_BYTES = {b: c for c, b in enumerate([*range(33), *range(127, 161), 173], 256)}
 
 
 class Encoder:
@@ -67,6 +76,12 @@ class Encoder:
         before = self.tokenizer.pre_tokenizer
         cuts = type(before).__name__ == "ByteLevel" and before.use_regex and not before.add_prefix_space
         self.cuts = cuts and self.tokenizer.normalizer is None
+        # Words of letters go to the model itself, unless the tokenizer has words of its own beside it.
+        own = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not t.special]
+        self.model = self.tokenizer.model if self.cuts and not own else None
+        if self.cuts and hasattr(self.tokenizer.model, "_resize_cache"):
+            # Pieces are remembered here; the model's own memory of words stays with the process when the encoder is gone.
+            self.tokenizer.model._resize_cache(0)
         vocabulary = self.tokenizer.get_vocab(True)
         # Ids of the tokens that begin with a blank, and with a line end.
         self.begins = {sign: np.zeros(max(vocabulary.values()) + 1, bool) for sign in " \n"}
@@ -86,6 +101,18 @@ class Encoder:
                     ids.byteswap()
                 yield ids.tobytes()
 
+    def _plain(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words of letters before ``_LATER``, each after a blank: such a word is one piece to the
+        tokenizer, which is left out, and its model gets the word in the signs that stand for its bytes."""
+        kind, tokenize = "H" if self.small else "I", self.model.tokenize
+        for word in words:
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(_BYTES)
+            ids = array(kind, [token.id for token in tokenize("\u0120" + word)])
+            if sys.byteorder == "big":
+                ids.byteswap()
+            yield ids.tobytes()
+
     def _words(self, words: list[str], sign: str) -> Iterator[bytes]:
         """Ids of words of letters, each after a blank or a line end. They are encoded many at a
         time: a word begins where a token begins with that sign."""
@@ -114,8 +141,12 @@ class Encoder:
                 made.append((piece, letters, tail))
             else:
                 plain.add(piece)
-        some = [p for p in plain if p.isalpha()]
-        known.update(zip(some, self._words(some, " ")))
+        letters = [p for p in plain if p.isalpha()]
+        early = [p for p in letters if p.isascii() or max(p) < _LATER] if self.model else []
+        known.update(zip(early, self._plain(early)))
+        if len(early) < len(letters):
+            some = [p for p in letters if p not in known]
+            known.update(zip(some, self._words(some, " ")))
         some = [p for p in plain if p[0] == "\n" and p[1:].isalpha()]
         known.update(zip(some, self._words([p[1:] for p in some], "\n")))
         some = [p for p in plain if p not in known]
@@ -123,33 +154,45 @@ class Encoder:
         for piece, letters, tail in made:
             known[piece] = known[letters] + signs[tail]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text and the end id, as little-endian bytes of ``dtype``."""
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Ids of each text and the end id, as little-endian bytes of ``dtype``.
+
+        The pieces of all the texts are told apart first, so that each is looked up once."""
         if len(self.known) > REMEMBERED:
             self.known.clear()
             self.signs.clear()
-        known = self.known
-        cut, missing, whole = [], set(), []
-        for n, text in enumerate(texts):
-            parts = text.replace("\n", " \n").split(" ")
-            if not self.cuts or "" in parts or "\n" in parts or _UNEVEN.search(text):
-                whole.append(n)
-                cut.append((None, [], []))
-                continue
-            ids = list(map(known.get, parts))
-            ids[0] = b""
-            gaps = [i for i, x in enumerate(ids) if x is None] if None in ids else []
-            new = [parts[i] for i in gaps]
-            missing.update(new)
-            cut.append((parts[0], ids, [*zip(gaps, new)]))
-        self._learn(list(missing))
-        direct = whole + [n for n, (first, _, _) in enumerate(cut) if first is not None]
-        heads = dict(zip(direct, self._encode([texts[n] for n in whole] + [cut[n][0] for n in direct[len(whole) :]])))
+        if not len(texts):
+            return []
+        known, texts = self.known, pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        ends = cut.offsets.to_numpy()
+        coded = cut.flatten().dictionary_encode()
+        numbers, starts, ends = coded.indices.to_numpy(), (ends - ends[0])[:-1], (ends - ends[0])[1:]
+        # One string is turned into many of Python's sooner than many of Arrow's.
+        once = pc.binary_join(pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary), " ")[0].as_py()
+        pieces = once.split(" ")
+        if self.cuts:
+            uneven = pc.is_in(coded.dictionary, pa.array(["", "\n"])).to_numpy(zero_copy_only=False)
+            whole = np.logical_or.reduceat(uneven[numbers], starts)
+        else:
+            whole = np.ones(len(texts), bool)
+        if any([c in once for c in _OTHER_SPACES]):
+            whole |= [_UNEVEN.search(text) is not None for text in texts.to_pylist()]
+        # The first piece of a text has no blank before it, and those of a whole text need not be known.
+        used = np.repeat(~whole, ends - starts)
+        used[starts] = False
+        there = np.zeros(len(pieces), bool)
+        there[numbers[used]] = True
+        ids = list(map(known.get, pieces))
+        gaps = [i for i in np.flatnonzero(there).tolist() if ids[i] is None]
+        self._learn([pieces[i] for i in gaps])
+        for i in gaps:
+            ids[i] = known[pieces[i]]
+        direct = [texts[n].as_py() if all_ else pieces[numbers[starts[n]]] for n, all_ in enumerate(whole.tolist())]
         out = []
-        for n, (_, ids, gaps) in enumerate(cut):
-            for i, piece in gaps:
-                ids[i] = known[piece]
-            out.append(heads[n] + b"".join(ids) + self.end)
+        for head, all_, start, end in zip(self._encode(direct), whole.tolist(), starts.tolist(), ends.tolist()):
+            rest = [] if all_ else map(ids.__getitem__, numbers[start + 1 : end].tolist())
+            out.append(b"".join([head, *rest, self.end]))
         return out
 
 
@@ -232,15 +275,9 @@ def write(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end: int = E
     ranges = max(1, -(-size // RANGE_BYTES))
     order = [F.col("doc_id").asc_nulls_last(), "among"]
     ordered = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order, "text")
-    # Pandas has no null among whole numbers, so whether an id is known is a column.
-    ordered = ordered.select(
-        F.coalesce("doc_id", F.lit(0).cast("long")).alias("doc_id"),
-        F.col("doc_id").isNotNull().alias("known"),
-        "text",
-        F.spark_partition_id().alias("part"),
-    )
+    ordered = ordered.select("doc_id", "text", F.spark_partition_id().alias("part"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.collect()  # what a task before this one left in the same worker
         gc.disable()  # nothing here is cyclic, and there are very many small objects
         try:
@@ -248,24 +285,26 @@ def write(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end: int = E
         finally:
             gc.enable()
 
-    def written(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer, end)
         place, root = fs.FileSystem.from_uri(folder)
         place.create_dir(root, recursive=True)
         part, number, held, doc_ids, n = 0, 0, [], [], 0
 
-        def flush() -> pd.DataFrame:
+        def flush() -> pa.RecordBatch:
             name = f"ids-{part:08d}-{number:06d}.arrow"
             write_file(place, f"{root}/{name}", doc_ids, held, encoder.dtype)
-            return pd.DataFrame({"file": [name], "part": [part], "number": [number], "n_docs": [len(held)], "n_ids": [n]})
+            row = {"file": name, "part": part, "number": number, "n_docs": len(held), "n_ids": n}
+            return pa.RecordBatch.from_pylist([row])
 
         for batch in batches:
-            part = int(batch["part"].iloc[0]) if len(batch) else part
-            texts, keys = batch["text"].tolist(), batch["doc_id"].tolist()
-            if not batch["known"].all():
-                keys = [i if known else None for i, known in zip(keys, batch["known"])]
-            for i in range(0, len(texts), 256):
-                for doc_id, ids in zip(keys[i : i + 256], encoder.encode(texts[i : i + 256])):
+            part = batch.column(2)[0].as_py() if len(batch) else part
+            # A part of the batch at a time, by its bytes, bounds what is held beside it.
+            at = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(), dtype=np.int64) // TEXT_BYTES
+            for _, same in itertools.groupby(range(len(batch)), at.__getitem__):
+                rows = [*same]
+                some = batch.slice(rows[0], len(rows))
+                for doc_id, ids in zip(some.column(0).to_pylist(), encoder.encode(some.column(1))):
                     held.append(ids)
                     doc_ids.append(doc_id)
                     n += len(ids) // encoder.dtype.itemsize
@@ -276,7 +315,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end: int = E
             yield flush()
 
     # Storing the list of files is what runs the tasks, once.
-    return staged(ordered.mapInPandas(run, "file string, part long, number long, n_docs long, n_ids long"), "files")
+    return staged(ordered.mapInArrow(run, "file string, part long, number long, n_docs long, n_ids long"), "files")
 
 
 def read(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
@@ -286,21 +325,21 @@ def read(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
     can read. ``start`` counts the ids of all documents before; the sums run over one row a file.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
+            for path, content in zip(batch.column(0), batch.column(1)):
                 rows = [
-                    (path.rpartition("/")[2], doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()))
-                    for doc_id, start, ids in read_file(content)
+                    (doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()))
+                    for doc_id, start, ids in read_file(content.as_buffer())
                 ]
-                out = pd.DataFrame(rows, columns=["file", "doc_id", "inside", "n_tokens", "ids_crc32"], dtype=object)
-                # A whole number that may be null; never by way of a double.
-                yield out.astype({"doc_id": "Int64", "inside": "int64", "n_tokens": "int64", "ids_crc32": "int64"})
+                columns = [pa.array(column, pa.int64()) for column in zip(*rows)]
+                file = pa.repeat(path.as_py().rpartition("/")[2], len(rows))
+                yield pa.RecordBatch.from_arrays([file, *columns], ["file", "doc_id", "inside", "n_tokens", "ids_crc32"])
 
     before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
     offsets = files.select("file", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("before"))
     content = spark.read.format("binaryFile").option("pathGlobFilter", "*.arrow").load(folder).select("path", "content")
-    found = content.mapInPandas(run, "file string, doc_id long, inside long, n_tokens long, ids_crc32 long")
+    found = content.mapInArrow(run, "file string, doc_id long, inside long, n_tokens long, ids_crc32 long")
     return found.join(offsets, "file").select(
         "doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32"
     )

@@ -3,10 +3,12 @@
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from crease.llm import decontaminate, html_text, jaccard_join, mixing, ppm, quality, secret_scan, sharding, token_files, toxicity
@@ -275,6 +277,24 @@ def test_pieces_give_the_ids_of_the_whole():
     assert encoder.encode(odd) == direct and encoder.encode(odd) == direct
 
 
+def test_plain_words_go_to_the_model_alone():
+    encoder = token_files.Encoder(token_files.TOKENIZER)
+    texts = ["First word, größe été. ǅungla naïve\nline", "x\xa0y word \u3000z", "a\tb word c", "漢字 word Русский ʰx ªb ĸŉſ ɐb", "two  blanks", "", "one"]
+    want = [np.array([*e.ids, 2], encoder.dtype).tobytes() for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    true, seen = encoder.tokenizer, []
+
+    class Watched:
+        def encode_batch_fast(self, some, **how):
+            seen.extend(some)
+            return true.encode_batch_fast(some, **how)
+
+    encoder.tokenizer = Watched()
+    assert encoder.encode(texts) == want == encoder.encode(pa.array(texts)) and encoder.encode([]) == []
+    assert not [s for s in seen if re.search("größe|naïve", s)] and any("line" in s for s in seen)
+    wide = pa.array(["gone", *texts, "gone"]).slice(1, len(texts))
+    assert encoder.encode(wide) == want
+
+
 def test_toxic_sentences(spark):
     rng = random.Random(5)
     rows = []

@@ -38,6 +38,8 @@ LONGEST, LEAST, COVERS, TOP = 4, 30, 80, 2000
 SAMPLE, SAMPLE_LEAST = 8, 2
 #: Bytes of text in a chunk, about, and phrases sent back at once.
 CHUNK, SENT = 4_000_000, 100_000
+#: Bytes of a row group of chunks, about: a task holds one of them, and Spark cuts files between them. A chunk has pages of its own.
+GROUP = 16_000_000
 #: The bit map has 16 bits for each phrase, but no more than 2 ** 30 (128 MB); so many phrases are expected for each word.
 LEAST_BITS, MOST_BITS, KNOWN = 20, 30, 8
 #: Keys that a task gathers before it sends them; at least 2 ** BUCKET_BITS buckets of keys, of no more than so many sent keys, about.
@@ -117,7 +119,10 @@ def chunks(docs: DataFrame, seed: int) -> DataFrame:
         text.cast("binary").alias("text"),
     )
     path = f"{shared_folder(docs.sparkSession)}/chunks-{uuid.uuid4().hex}"
-    rows.mapInArrow(_cutter(seed), CHUNKS).write.partitionBy("sample").parquet(path)
+    # Sizes of pages and row groups are looked at after each row, not after a hundred: some rows are megabytes.
+    checks = {"parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1, "parquet.enable.dictionary": False}
+    written = rows.mapInArrow(_cutter(seed), CHUNKS).write.options(**checks, **{"parquet.block.size": GROUP, "compression": "zstd"})
+    written.partitionBy("sample").parquet(path)
     return docs.sparkSession.read.schema(CHUNKS).parquet(path)
 
 
@@ -276,6 +281,19 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return key[first], np.add.reduceat(count[order], first, dtype=np.int64)
 
 
+def _bucketed(keys: list[np.ndarray], counts: list[np.ndarray], least: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """A row for each bucket, the keys that begin with the same ``bits``; batches of SENT keys and less than a bucket more."""
+    key, count = _summed(keys, counts)
+    count = np.minimum(count, least).astype(np.min_scalar_type(least))
+    bucket = (key >> np.uint64(64 - bits)).astype(np.int64)
+    at = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
+    parts = np.append(np.searchsorted(at, np.arange(0, len(key), SENT)), len(at) - 1)
+    for first, last in itertools.pairwise(np.unique(parts)):
+        own = at[first : last + 1]
+        columns = [bucket[own[:-1]], *(pa.array([x[a:b].tobytes() for a, b in itertools.pairwise(own)], pa.binary()) for x in (key, count))]
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0]), *columns[1:]], ["bucket", "keys", "counts"])
+
+
 def sieved(cut: DataFrame, before: Bits, known: Bits, least: int, longest: int, size: int) -> DataFrame:
     """Keys (key) whose open phrases have ``least`` occurrences together, in texts of ``size`` words.
 
@@ -284,24 +302,16 @@ def sieved(cut: DataFrame, before: Bits, known: Bits, least: int, longest: int,
     opened, small = _opened(cut, before, known, longest, None), np.min_scalar_type(least)
     bits = max(BUCKET_BITS, (size * (longest - 1) // BUCKET).bit_length())
 
-    def sent(keys: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
-        key, count = _summed(keys, counts)
-        count = np.minimum(count, least).astype(small)
-        bucket = (key >> np.uint64(64 - bits)).astype(np.int64)
-        at = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
-        columns = [bucket[at[:-1]], *(pa.array([x[a:b].tobytes() for a, b in itertools.pairwise(at)], pa.binary()) for x in (key, count))]
-        return pa.RecordBatch.from_arrays([pa.array(columns[0]), *columns[1:]], ["bucket", "keys", "counts"])
-
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = [], []
         for key, _, count in opened(batches):
             keys.append(key)
             counts.append(count)
             if sum(map(len, keys)) >= GATHERED:
-                yield sent(keys, counts)
+                yield from _bucketed(keys, counts, least, bits)
                 keys, counts = [], []
         if keys:
-            yield sent(keys, counts)
+            yield from _bucketed(keys, counts, least, bits)
 
     def total(rows: pa.Table) -> pa.Table:
         key, count = _summed(*([_array(x, kind) for x in rows[name]] for name, kind in (("keys", np.uint64), ("counts", small))))
@@ -316,16 +326,25 @@ def counted(cut: DataFrame, before: Bits, known: Bits, sieve: Bits | None) -> Da
     opened = _opened(cut, before, known, LONGEST, sieve)
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, grams, counts in opened(batches):
-            for i in range(0, len(keys), SENT):
+        for _, grams, counts in opened(batches):
+            for i in range(0, len(counts), SENT):
                 part = slice(i, i + SENT)
                 own = [np.ascontiguousarray(grams[part, j]).view(np.int64) for j in range(grams.shape[1])]
                 none = np.zeros(len(own[0]), np.int64)
-                columns = [*own, *[none] * (LONGEST - len(own)), keys[part].view(np.int64), counts[part].astype(np.int64)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [*_HASHES, "key", "f"])
+                columns = [*own, *[none] * (LONGEST - len(own)), counts[part].astype(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [*_HASHES, "f"])
 
-    rows = cut.select("hashes", "ids").mapInArrow(listed, ", ".join(f"{c} bigint" for c in [*_HASHES, "key", "f"]))
-    summed = rows.groupBy(*_HASHES, "key").agg(F.sum("f").alias("f")).where(F.col("f") >= LEAST)
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [batch.column(i).to_numpy().view(np.uint64) for i in range(LONGEST)]
+            key = _key(hashes[0], 1)
+            for n, own in enumerate(hashes[1:], 2):
+                key = np.where(own != 0, _longer(key, own, n), key)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(key.view(np.int64))], [*_HASHES, "f", "key"])
+
+    kinds = ", ".join(f"{c} bigint" for c in [*_HASHES, "f"])
+    rows = cut.select("hashes", "ids").mapInArrow(listed, kinds)
+    summed = rows.groupBy(*_HASHES).agg(F.sum("f").alias("f")).where(F.col("f") >= LEAST).mapInArrow(keyed, f"{kinds}, key bigint")
     gram = F.concat(*[F.when(F.col(c) != 0, _bytes(c)).otherwise(F.unhex(F.lit(""))) for c in _HASHES])
     return staged(summed.select(gram.alias("gram"), "key", "f"), "phrases")
 

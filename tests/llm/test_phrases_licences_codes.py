@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from crease.llm import collocations, licence_scan, vector_codes
@@ -92,6 +93,48 @@ def test_rare_keys_are_never_rows(spark, monkeypatch):
     assert "FlatMapGroupsInArrow" in plans[0] and "Aggregate" not in plans[0]
 
 
+def test_tasks_hold_few_chunks_and_keys_at_once(spark, monkeypatch):
+    for name, value in {"CHUNK": 500, "GROUP": 4000, "SENT": 50}.items():
+        monkeypatch.setattr(collocations, name, value)
+    docs = spark.createDataFrame(phrase_texts(), "doc_id long, text string, lang string").coalesce(1)
+    cut, _ = collocations.words(docs)
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in cut.inputFiles()]
+    groups = [f.row_group(i) for f in files for i in range(f.num_row_groups)]
+    assert len(groups) > 10 and max(g.total_byte_size for g in groups) < 8000
+    rng = np.random.default_rng(1)
+    key, count = rng.integers(0, 2**64 - 1, 3000, np.uint64), rng.integers(1, 50, 3000)
+    sent = list(collocations._bucketed([key[:1000], key[1000:]], [count[:1000], count[1000:]], 30, 8))
+    sizes = [sum(len(k) // 8 for k in batch["keys"].to_pylist()) for batch in sent]
+    assert sum(sizes) == 3000 and len(sizes) > 30 and max(sizes) < 100
+    rows = [r for batch in sent for r in batch.to_pylist()]
+    order = np.argsort(key)
+    assert b"".join(r["keys"] for r in rows) == key[order].tobytes()
+    assert b"".join(r["counts"] for r in rows) == np.minimum(count, 30)[order].astype(np.uint8).tobytes()
+    assert all((np.frombuffer(r["keys"], np.uint64) >> np.uint64(56) == r["bucket"]).all() for r in rows)
+
+
+def test_counted_rows_are_words_and_counts_alone(spark, monkeypatch):
+    docs = spark.createDataFrame(phrase_texts(), "doc_id long, text string, lang string").repartition(2)
+    cut, named = collocations.words(docs)
+    known = collocations.added(collocations.Bits.empty(1000), named.selectExpr("hash & ~3L as key"))
+    plans, store = [], collocations.staged
+
+    def staged(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, name)
+
+    monkeypatch.setattr(collocations, "staged", staged)
+    rows = collocations.counted(cut, collocations.Bits(np.zeros_like(known.bits)), known, None).collect()
+    assert re.findall(r"HashAggregate\(keys=\[(.*?)\]", plans[0]) and "key" not in "".join(re.findall(r"keys=\[(.*?)\]", plans[0]))
+    for r in rows:
+        hashes = np.frombuffer(bytes(r["gram"]), ">u8").astype(np.uint64)
+        key = collocations._key(hashes[:1], 1)
+        for n in range(2, len(hashes) + 1):
+            key = collocations._longer(key, hashes[n - 1 : n], n)
+        assert key.view(np.int64)[0] == r["key"]
+    assert len(rows) > 10
+
+
 def test_collocations_of_nothing(spark):
     schema = "doc_id long, text string, lang string"
     assert got_phrases(spark.createDataFrame([], schema)) == []

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import zlib
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,3 +54,12 @@ def settled(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of frames that are no longer referred to; it does so only after garbage is collected."""
     gc.collect()
     spark._jvm.System.gc()
+
+
+def freed() -> None:
+    """Give back what tasks before this one left in the same worker: garbage, and free memory that allocators keep for themselves."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

@@ -23,10 +23,9 @@ the pairs within components too and returns them all.
 
 from __future__ import annotations
 
-import gc
 import itertools
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -35,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crease.llm.common import settled
+from crease.llm.common import freed, settled
 from crease.llm.components import components
 from crease.session import staged as _staged
 
@@ -49,8 +48,10 @@ SMALL_GROUP, BLOCK_SHINGLES = 24, 60_000
 LEAST_ROOM = 100
 #: Cells into which the elements of a set are counted, for a bound of what two sets share.
 CELLS = 256
-#: Ids that may be sent to every task (16 MB); beyond that the join is shuffled.
-MOST_SENT = 1_000_000
+#: Ids that may be sent to every task (16 MB); beyond that a bit map of so many bits an id is, and what it leaves is shuffled.
+MOST_SENT, ID_BITS = 1_000_000, 16
+#: Bits of a row of a bit map, as Spark's functions have them.
+MAP_BITS = 32_768
 #: The cost of an index entry is 1; of a chance match, as many entries; an element is shared by chance so often.
 MATCH_COST, SHARED = 200.0, 0.105
 #: Bytes of a key in an entry, besides those that its bucket tells, entries of a bucket, about, and buckets at least.
@@ -257,7 +258,7 @@ def described(docs: DataFrame, words: int, seed: int) -> DataFrame:
     """(doc_id, n, k1, k2, cid): the size of the set, what identifies it, and its class id, null for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.collect()  # the tables of the task before this one in the same worker
+        freed()
         for batch in batches:
             for ids, texts in _parts(batch):
                 _, _, sizes, (k1, k2, cid) = _described(texts, words, seed)
@@ -273,7 +274,7 @@ def entries(docs: DataFrame, words: int, percent: int, seed: int, buckets: int)
     A task has the entries of a class once, however many copies it reads. Nothing is stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.collect()  # the tables of the task before this one in the same worker
+        freed()
         scheme, done = Scheme(percent), set()
         for batch in batches:
             for _, texts in _parts(batch):
@@ -304,6 +305,7 @@ def centres(found: DataFrame, buckets: int) -> DataFrame:
     """(centre, cid): for each class that shares a key with others the least class that has it. A task has whole buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        freed()
         names, cids, keys = [], [], []
         for batch in batches:
             blob = batch.column(2)
@@ -328,32 +330,90 @@ def centres(found: DataFrame, buckets: int) -> DataFrame:
     return found.repartition(buckets, "bucket").mapInArrow(run, "centre long, cid long").distinct()
 
 
-def shingle_sets(docs: DataFrame, words: int, seed: int) -> DataFrame:
-    """(cid, n, tokens, cells): the sets themselves, without empty ones, and how many elements are in each cell."""
+def cell_counts(docs: DataFrame, words: int, seed: int) -> DataFrame:
+    """(cid, cells): how many elements of a set are in each cell, without empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.collect()  # the tables of the task before this one in the same worker
+        freed()
         for batch in batches:
             for _, texts in _parts(batch):
                 owner, token, sizes, (_, _, cid) = _described(texts, words, seed)
                 some = sizes > 0
-                offsets = np.append(0, np.cumsum(sizes[some])).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(token.view(np.int64)))
                 flat = owner * CELLS + (token >> _U(40)).astype(np.int64) % CELLS
                 counts = np.bincount(flat, minlength=len(texts) * CELLS).reshape(-1, CELLS)[some].astype(np.int32)
                 cells = pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1, dtype=np.int32) * CELLS), pa.array(counts.ravel()))
-                columns = [pa.array(cid[some]), pa.array(sizes[some].astype(np.int64)), lists, cells]
-                yield pa.RecordBatch.from_arrays(columns, ["cid", "n", "tokens", "cells"])
+                yield pa.RecordBatch.from_arrays([pa.array(cid[some]), cells], ["cid", "cells"])
+
+    return _read(docs).mapInArrow(run, "cid long, cells array<int>")
+
+
+def shingle_sets(docs: DataFrame, words: int, seed: int) -> DataFrame:
+    """(cid, tokens): the sets themselves, without empty ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        freed()
+        for batch in batches:
+            for _, texts in _parts(batch):
+                _, token, sizes, (_, _, cid) = _described(texts, words, seed)
+                some = sizes > 0
+                offsets = np.append(0, np.cumsum(sizes[some])).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(token.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(cid[some]), lists], ["cid", "tokens"])
+
+    return _read(docs).mapInArrow(run, "cid long, tokens array<long>")
+
 
-    return _read(docs).mapInArrow(run, "cid long, n long, tokens array<long>, cells array<int>")
+def _with_flag(rows: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """``rows`` with a flag that is true where their doc_id is one of the stored ids, and for one in ID_BITS of the others."""
+    (column,) = ids.columns
+    bits = max(MAP_BITS, 1 << (ID_BITS * ids.count()).bit_length())
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    row, at = (f"__{part}_{uuid.uuid4().hex}" for part in ("row", "at"))
+    maps = ids.select(place(column).alias(at)).groupBy(F.expr(f"{at} div {MAP_BITS}").alias(row))
+    maps = maps.agg(F.bitmap_construct_agg(F.expr(f"{at} % {MAP_BITS}")).alias(name))
+    found = rows.withColumn(at, place("doc_id")).withColumn(row, F.expr(f"{at} div {MAP_BITS}")).join(F.broadcast(maps), row, "left")
+    byte = f"cast(conv(hex(substring({name}, cast({at} % {MAP_BITS} div 8 as int) + 1, 1)), 16, 10) as int)"
+    return found.withColumn(name, F.expr(f"coalesce(shiftright({byte}, cast({at} % 8 as int)) & 1 = 1, false)")).drop(row, at)
 
 
-def _sent(ids: DataFrame) -> DataFrame:
-    """Stored ids, to be broadcast if they were counted to be few enough."""
-    return F.broadcast(ids) if ids.count() <= MOST_SENT else ids
+def _maybe_among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose doc_id is one of the stored ids, null included, and, where these are many, some others. Nothing is shuffled."""
+    (column,) = ids.columns
+    if ids.count() <= MOST_SENT:
+        return rows.join(F.broadcast(ids), rows["doc_id"].eqNullSafe(ids[column]), "left_semi")
+    flag = "__flag_" + uuid.uuid4().hex
+    return _with_flag(rows, ids, flag).where(flag).drop(flag)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose doc_id is one of the stored ids, none of them null. Where these are many, only what a bit map leaves is shuffled."""
+    if ids.count() <= MOST_SENT:
+        return rows.join(F.broadcast(ids), "doc_id", "left_semi")
+    return _maybe_among(rows, ids).join(ids, "doc_id", "left_semi")
+
+
+def _not_among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose doc_id is none of the stored ids; neither may be null. Where ids are many, only what a bit map leaves is shuffled."""
+    if ids.count() <= MOST_SENT:
+        return rows.join(F.broadcast(ids), "doc_id", "left_anti").select(*rows.columns)
+    flag = "__flag_" + uuid.uuid4().hex
+    found = _with_flag(rows, ids, flag)
+    surely = found.where(~F.col(flag)).select(*rows.columns)
+    return surely.unionByName(found.where(flag).join(ids, "doc_id", "left_anti").select(*rows.columns))
+
+
+def _tokens(docs: DataFrame, sets: DataFrame, words: int, seed: int) -> Callable[[DataFrame], DataFrame]:
+    """What makes the sets (cid, tokens) of chosen classes (cid) from their texts again: they take more room than the texts."""
+
+    def of(chosen: DataFrame) -> DataFrame:
+        chosen = staged(sets.join(chosen, "cid").select("cid", "first"), "chosen")
+        texts = _maybe_among(docs, staged(chosen.select(F.col("first").alias("__id")).distinct(), "ids"))
+        return shingle_sets(texts, words, seed).join(chosen.select("cid"), "cid").dropDuplicates(["cid"])
+
+    return of
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, tokens: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """Pairs (a, b) with the bounds ``lo`` and ``hi`` of 1 minus their Jaccard similarity, and whether they are linked; stored.
 
     Two sets share no more than the smaller count of each cell adds up to. Pairs that this leaves
@@ -363,8 +423,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     bound = pairs.join(one, "a").join(two, "b").select("a", "b", most.alias("most"), (F.col("n_a") + F.col("n_b")).alias("both"))
     might = F.expr(f"100 * most >= {percent} * (both - most)")
     bound = staged(bound.select("a", "b", might.alias("might"), F.expr("1 - most / (both - most)").alias("lo")), "bounds")
-    one = sets.select(F.col("cid").alias("a"), F.col("tokens").alias("ta"))
-    two = sets.select(F.col("cid").alias("b"), F.col("tokens").alias("tb"))
+    some = staged(tokens(bound.where("might").select(F.explode(F.array("a", "b")).alias("cid")).distinct()), "tokens")
+    one = some.select(F.col("cid").alias("a"), F.col("tokens").alias("ta"))
+    two = some.select(F.col("cid").alias("b"), F.col("tokens").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb"))
     met = bound.where("might").select("a", "b").join(one, "a").join(two, "b")
     met = met.select("a", "b", both.alias("both"), (F.size("ta") + F.size("tb") - both).alias("all"))
@@ -373,6 +434,24 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return staged(met.unionByName(bound.where("not might").select("a", "b", "lo", F.lit(1.0).alias("hi"), F.lit(False).alias("linked"))), "near")
 
 
+def _block_bounds(percent: int):
+    """Members of the two blocks of a group, or of one, whose cells allow a link with one of another component on the other side."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        comp, block, n = (group[c].to_numpy() for c in ("comp", "block", "n"))
+        left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+        cells = np.stack(list(group["cells"]))
+        others, some = cells[right], np.zeros(len(group), bool)
+        for k in left.tolist():
+            most = np.minimum(cells[k], others).sum(1)
+            might = (100 * most >= percent * (n[k] + n[right] - most)) & (comp[k] != comp[right])
+            some[k] |= might.any()
+            some[right[might]] = True
+        return group.loc[some, ["centre", "i", "j", "block", "cid", "comp"]]
+
+    return run
+
+
 def _block_links(percent: int):
     """Links between the two blocks of a group, or within one, that join different components."""
 
@@ -404,24 +483,23 @@ def _block_links(percent: int):
     return run
 
 
-def _met_at_centres(base: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """The sets of classes that share a key with others, and each of them with its centres, verified; both stored."""
+def _met_at_centres(base: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int, seed: int) -> tuple[DataFrame, Callable, DataFrame]:
+    """The classes that share a key with others (cid, first, n, cells), what makes their sets, and each of them with its centres, verified; stored."""
     # A set of n shingles has fewer than n + 2 entries in a scheme and is in two at most.
     most = 2 * (classes.agg(F.sum(F.col("n") + 2)).head()[0] or 0)
     buckets = max(LEAST_BUCKETS, -(-most // BUCKET_ENTRIES))
     members = staged(centres(entries(docs, words, percent, seed, buckets), buckets), "members")
 
     needed = members.select("cid").unionByName(members.select(F.col("centre").alias("cid"))).distinct()
-    needed = staged(needed.join(classes, "cid").select("cid", "first"), "needed")
-    ids = _sent(needed.select(F.col("first").alias("__id")).distinct())
-    texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["__id"]), "left_semi")
-    sets = shingle_sets(texts, words, seed).join(needed.select("cid"), "cid").dropDuplicates(["cid"])
-    sets = staged(sets, "sets")
+    needed = staged(needed.join(classes, "cid").select("cid", "first", "n"), "needed")
+    texts = _maybe_among(docs, staged(needed.select(F.col("first").alias("__id")).distinct(), "ids"))
+    sets = staged(cell_counts(texts, words, seed).join(needed, "cid").dropDuplicates(["cid"]), "sets")
+    tokens = _tokens(docs, sets, words, seed)
 
-    return sets, _verified(members.select(F.col("centre").alias("a"), F.col("cid").alias("b")), sets, percent)
+    return sets, tokens, _verified(members.select(F.col("centre").alias("a"), F.col("cid").alias("b")), sets, tokens, percent)
 
 
-def _met_beside_centres(sets: DataFrame, near: DataFrame, comps: DataFrame | None, percent: int) -> DataFrame:
+def _met_beside_centres(sets: DataFrame, tokens: Callable, near: DataFrame, comps: DataFrame | None, percent: int) -> DataFrame:
     """Links (a, b) between members of one centre: all of them, or, with the components (node, component) that the links
     with centres make, as many as join those."""
     spread = near.select(F.col("a").alias("centre"), F.col("b").alias("cid"), "lo", "hi")
@@ -443,7 +521,7 @@ def _met_beside_centres(sets: DataFrame, near: DataFrame, comps: DataFrame | Non
         .select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"))
         .distinct()
     )
-    more = _verified(staged(pairs, "pairs"), sets, percent).where("linked").select("a", "b")
+    more = _verified(staged(pairs, "pairs"), sets, tokens, percent).where("linked").select("a", "b")
 
     line = Window.partitionBy("centre").orderBy("n", "cid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     room_of = F.col("n") if comps is not None else F.greatest("n", F.lit(LEAST_ROOM))
@@ -454,17 +532,21 @@ def _met_beside_centres(sets: DataFrame, near: DataFrame, comps: DataFrame | Non
     units = left.join(right, F.expr(f"l.centre = r.centre and l.block <= r.block and 100 * l.hi >= {percent} * r.lo"))
     units = units.select(F.col("l.centre").alias("centre"), F.col("l.block").alias("i"), F.col("r.block").alias("j"))
     sides = units.select("centre", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
-    dealt = sides.join(blocked.select("centre", "block", "cid", "comp"), ["centre", "block"]).join(sets.select("cid", "tokens"), "cid")
+    dealt = sides.join(blocked.select("centre", "block", "cid", "comp", "n"), ["centre", "block"]).join(sets.select("cid", "cells"), "cid")
+    # Cells take a tenth of the room of the elements, which only members with a possible link bring together.
+    likely = dealt.groupBy("centre", "i", "j").applyInPandas(_block_bounds(percent), "centre long, i long, j long, block long, cid long, comp long")
+    likely = staged(likely, "likely")
+    dealt = likely.join(tokens(likely.select("cid").distinct()), "cid")
     by_blocks = dealt.groupBy("centre", "i", "j").applyInPandas(_block_links(percent), "a long, b long")
     return more.unionByName(by_blocks)
 
 
 def class_components(base: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int, seed: int) -> DataFrame:
     """(node, component) of the classes that are linked with others. ``base`` and ``classes`` are stored."""
-    sets, near = _met_at_centres(base, classes, docs, words, percent, seed)
+    sets, tokens, near = _met_at_centres(base, classes, docs, words, percent, seed)
     links = near.where("linked").select("a", "b")
     comps = staged(components(links), "components")
-    return components(links.unionByName(_met_beside_centres(sets, near, comps, percent)))
+    return components(links.unionByName(_met_beside_centres(sets, tokens, near, comps, percent)))
 
 
 def _classes(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame, int]:
@@ -487,8 +569,8 @@ def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[
     texts and those without words are in no class: their cid is null. The pairs grow with the square of a group of near copies.
     """
     base, classes, seed = _classes(docs, words)
-    sets, near = _met_at_centres(base, classes, docs, words, percent, seed)
-    found = near.where("linked").select("a", "b").unionByName(_met_beside_centres(sets, near, None, percent))
+    sets, tokens, near = _met_at_centres(base, classes, docs, words, percent, seed)
+    found = near.where("linked").select("a", "b").unionByName(_met_beside_centres(sets, tokens, near, None, percent))
     pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     return pairs, base.select("doc_id", "cid")
 
@@ -542,11 +624,11 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     verdict = staged(verdict.select("doc_id", "cid", "stays"), "verdicts")
     several = staged(base.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "several")
     gone = verdict.where("not stays and doc_id is not null").select("doc_id").unionByName(several).distinct()
-    alone = docs.where("doc_id is not null").join(_sent(staged(gone, "gone")), "doc_id", "left_anti").select(*docs.columns)
+    alone = _not_among(docs.where("doc_id is not null"), staged(gone, "gone"))
 
     # Rows without an id of their own: by id and class.
     name = "__class_" + uuid.uuid4().hex
-    shared = docs.where("doc_id is null").unionByName(docs.join(_sent(several), "doc_id", "left_semi").select(*docs.columns))
+    shared = docs.where("doc_id is null").unionByName(_among(docs, several).select(*docs.columns))
     shared = _with_class(shared, words, seed, name)
     stays = verdict.where("stays").select(F.col("doc_id").alias("__id"), F.col("cid").alias("__cid")).distinct()
     same = shared["doc_id"].eqNullSafe(stays["__id"]) & (shared[name] == stays["__cid"])

@@ -31,6 +31,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from crease.llm.common import freed
 from crease.session import shared_folder, staged
 
 #: The tokenizer of the registered query, and the id that ends a document.
@@ -38,7 +39,7 @@ TOKENIZER, END = public_tokenizers.path("byte_bpe_50k.json"), 2
 #: Ids of a sequence, sequences of a batch, and ids from which on a file is closed.
 LENGTH, BATCH, FILE_IDS = 2048, 256, 4_000_000
 #: Bytes of a range, about, and pieces whose ids a task remembers.
-RANGE_BYTES, REMEMBERED = 48_000_000, 1_000_000
+RANGE_BYTES, REMEMBERED = 48_000_000, 400_000
 #: Bytes of texts whose pieces are told apart together, about.
 TEXT_BYTES = 4_000_000
 
@@ -278,7 +279,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end: int = E
     ordered = ordered.select("doc_id", "text", F.spark_partition_id().alias("part"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.collect()  # what a task before this one left in the same worker
+        freed()
         gc.disable()  # nothing here is cyclic, and there are very many small objects
         try:
             yield from written(batches)

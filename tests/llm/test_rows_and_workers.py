@@ -65,3 +65,34 @@ def test_workers_need_no_copy_of_the_package(tmp_path):
     script = SCRIPT.format(root=ROOT, folder=str(tmp_path / "shared"))
     run = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
     assert "workers without the package: fine" in run.stdout, run.stderr[-3000:]
+
+
+def test_many_ids_are_found_by_a_bit_map(spark, monkeypatch):
+    rows = [(5, COPY), (8, COPY), (8, OTHER), (9, COPY.upper()), (None, COPY), (None, OTHER), (None, "alone here"), (7, None), (7, None)]
+    rows += [(20 + i, f"{i} b{i} c{i} d{i} e{i} f{i}") for i in range(40)]
+    want = kept(spark, rows)
+    monkeypatch.setattr(jaccard_join, "MOST_SENT", 0)
+    assert kept(spark, rows) == want
+    docs, ids = spark.range(4000).selectExpr("id as doc_id", "'x' as text"), spark.range(0, 4000, 40).selectExpr("id as i")
+    found = jaccard_join._maybe_among(docs, ids)
+    assert "hashpartitioning(doc_id" not in found._jdf.queryExecution().toString()
+    assert found.columns == docs.columns and {r[0] for r in ids.collect()} <= {r[0] for r in found.collect()} and found.count() < 800
+    assert jaccard_join._among(docs, ids.toDF("doc_id")).count() == 100 and jaccard_join._not_among(docs, ids.toDF("doc_id")).count() == 3900
+
+
+def test_elements_are_stored_of_sets_that_may_be_linked_only(spark, monkeypatch):
+    """Texts with one half in common share keys, but their cells tell that they are not similar."""
+    half = " ".join(f"w{i}" for i in range(30))
+    rows = [(i, half + " " + " ".join(f"x{i}y{k}" for k in range(20))) for i in range(60)] + [(100, half), (101, half + " more")]
+    stored, staged = Counter(), jaccard_join.staged
+
+    def counted(df, name):
+        df = staged(df, name)
+        stored[name, "tokens" in df.columns] += df.count()
+        return df
+
+    monkeypatch.setattr(jaccard_join, "staged", counted)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i if i < 101 else 100 for i, _ in rows}
+    assert stored["sets", False] > 20
+    assert sum(n for (_, tokens), n in stored.items() if tokens) < 10
